@@ -41,6 +41,9 @@ def session(app: str = "millrace", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+_local_root: list[str] = []
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
@@ -53,9 +56,9 @@ def shared_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not _local_root:
+        _local_root.append(tempfile.mkdtemp(prefix="millrace-"))
+    return _local_root[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
