@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.scalars import scalar
 from millrace.session import scratch_path, settings
 from millrace.sources.files import MICROS
 
@@ -157,10 +158,8 @@ def compact(spark: SparkSession, path: str, target: str, by: list[str] | None =
 
 def keep_recent(df: DataFrame, ts: str, days: int) -> DataFrame:
     """Rows of the last ``days`` days before the newest one."""
-    newest = df.agg(F.max(ts).alias("newest")).first()["newest"]
-    if newest is None:
-        return df
-    return df.filter(F.col(ts) >= F.lit(newest).cast(df.schema[ts].dataType) - F.expr(f"INTERVAL {days} DAYS"))
+    newest = scalar(df, F.max(ts))
+    return df.filter(F.col(ts) >= newest - F.expr(f"INTERVAL {days} DAYS"))
 
 
 def many_small_files(df: DataFrame, files: int, label: str) -> str:
