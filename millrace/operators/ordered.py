@@ -89,24 +89,31 @@ def with_previous(o: Ordered, **columns: str) -> Ordered:
     return o.with_df(out.drop("_prev", "_carry"))
 
 
-def with_running_sum(o: Ordered, name: str, value: Column) -> Ordered:
-    """Add ``name`` = sum of ``value`` from the first row of the key to this row."""
+def _with_running(o: Ordered, name: str, value: Column, agg, merge) -> Ordered:
     base = o.with_df(o.df.withColumn("_v", value))
     carry = _chain(
         base,
-        F.sum("_v"),
-        lambda part, w: F.sum(part).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        agg("_v"),
+        lambda part, w: agg(part).over(w.rowsBetween(Window.unboundedPreceding, -1)),
     )
     upto = base.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = base.df.withColumn("_run", F.sum("_v").over(upto))
-    df = _attach(base, df, carry)
-    # A sum over nulls only stays null, as in a plain running sum.
-    total = F.when(F.col("_carry").isNull(), F.col("_run")).otherwise(
-        F.col("_carry") + F.coalesce(F.col("_run"), F.lit(0))
-    )
+    df = _attach(base, base.df.withColumn("_run", agg("_v").over(upto)), carry)
+    both = merge(F.col("_carry"), F.col("_run"))
+    # One side null (no value so far) leaves the other, as in a plain running window.
+    total = F.coalesce(both, F.col("_carry"), F.col("_run"))
     return o.with_df(df.withColumn(name, total).drop("_v", "_run", "_carry"))
 
 
+def with_running_sum(o: Ordered, name: str, value: Column) -> Ordered:
+    """Add ``name`` = sum of ``value`` from the first row of the key to this row."""
+    return _with_running(o, name, value, F.sum, lambda a, b: a + b)
+
+
+def with_running_max(o: Ordered, name: str, value: Column) -> Ordered:
+    """Add ``name`` = largest ``value`` from the first row of the key to this row."""
+    return _with_running(o, name, value, F.max, lambda a, b: F.greatest(a, b))
+
+
 def with_row_number(o: Ordered, name: str) -> Ordered:
     """Add the 1-based position of the row within its key."""
     return with_running_sum(o, name, F.lit(1).cast("bigint"))
