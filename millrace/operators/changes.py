@@ -54,23 +54,16 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str],
     inserted with ``insert`` unless ``insert_when`` says otherwise.
     """
     require_unique(source, keys)
-    t = target.withColumn("_in_t", F.lit(True)).alias("t")
+    # The target stays on the left of a left join: a small source is broadcast and
+    # the target not shuffled, a large one is split by AQE where a key is frequent.
+    t = target.alias("t")
     s = source.withColumn("_in_s", F.lit(True)).alias("s")
-    on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    both = t.join(s, on, "full_outer")
-    in_t, in_s = F.col("t._in_t").isNotNull(), F.col("s._in_s").isNotNull()
-
-    insertable = insert is not None
-    wanted = insert_when if insert_when is not None else F.lit(True)
-    action = F.when(in_t & ~in_s, "keep").when(
-        ~in_t, F.when(F.coalesce(wanted, F.lit(False)) & F.lit(insertable), "insert").otherwise("skip")
-    )
+    both = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "left")
+    action = F.when(F.col("s._in_s").isNull(), "keep")
     for i, (condition, values) in enumerate(matched):
         test = condition if condition is not None else F.lit(True)
-        action = action.when(test, "skip" if values is None else f"update{i}")
-    action = action.otherwise("keep")
-    both = both.withColumn("_action", action).filter("_action <> 'skip'")
-
+        action = action.when(test, "delete" if values is None else f"update{i}")
+    both = both.withColumn("_action", action.otherwise("keep")).filter("_action <> 'delete'")
     out = []
     for name in target.columns:
         value = F.when(F.col("_action") == "keep", F.col(f"t.{name}"))
@@ -78,10 +71,21 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str],
             if values is not None:
                 new = values.get(name, F.col(f"t.{name}"))
                 value = value.when(F.col("_action") == f"update{i}", new)
-        if insertable:
-            value = value.when(F.col("_action") == "insert", insert.get(name, F.lit(None)))
         out.append(value.alias(name))
-    return both.select(*out)
+    kept = both.select(*out)
+    if insert is None:
+        return kept
+
+    # Only target keys the source asks for are compared with it.
+    known = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
+    fresh = source.join(known, keys, "left_anti").alias("s")
+    if insert_when is not None:
+        fresh = fresh.filter(insert_when)
+    types = {f.name: f.dataType for f in target.schema}
+    added = fresh.select(*[
+        insert.get(c, F.lit(None)).cast(types[c]).alias(c) for c in target.columns
+    ])
+    return kept.unionByName(added)
 
 
 def committed(log: DataFrame, write_id: int | None, aborted: DataFrame | None) -> DataFrame:
@@ -114,15 +118,14 @@ def minor_compaction(log: DataFrame, keys: list[str], lo: int, hi: int,
     )
 
 
-def change_feed(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Difference of two snapshots as rows ``D`` (old) and ``I`` (new); a change is both."""
-    rest = [c for c in old.columns if c not in keys]
-    a = old.select(*keys, F.struct(*rest).alias("_old"))
-    b = new.select(*keys, F.struct(*rest).alias("_new"))
-    both = a.join(b, keys, "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new")))
-    sides = F.array(
-        F.struct(F.lit("D").alias("op"), F.col("_old").alias("row")),
-        F.struct(F.lit("I").alias("op"), F.col("_new").alias("row")),
-    )
-    rows = both.select(*keys, F.explode(sides).alias("side")).filter("side.row IS NOT NULL")
-    return rows.select(*keys, "side.op", "side.row.*")
+def change_feed(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Difference of two snapshots as rows ``D`` (old) and ``I`` (new); a change is both.
+
+    Equal rows cancel out in one aggregate, NULLs being equal to each other.
+    """
+    signed = old.withColumn("_sign", F.lit(-1)).unionByName(new.withColumn("_sign", F.lit(1)))
+    net = signed.groupBy(*old.columns).agg(F.sum("_sign").alias("_net")).filter("_net <> 0")
+    return net.select(
+        *old.columns, F.when(F.col("_net") < 0, "D").otherwise("I").alias("op"),
+        F.explode(F.sequence(F.lit(1), F.abs("_net"))).alias("_copy"),
+    ).drop("_copy")

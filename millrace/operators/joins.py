@@ -113,31 +113,7 @@ def like_join(texts: DataFrame, text_id: str, text: str,
     return checked.select(F.col("_tid").alias(text_id), F.col("_pid").alias(pattern_id))
 
 
-# -------------------------------------------------------------- bucketed tables
-
-def bucketed_table(df: DataFrame, key: str, buckets: int, label: str = "bucketed") -> str:
-    """Save ``df`` bucketed and sorted by ``key``, one file per bucket; returns its name.
-
-    Pay the shuffle once here; joins and groupings on ``key`` between tables with
-    the same bucket count then need none.
-    """
-    spark = df.sparkSession
-    name = scratch_name(label)
-    (
-        df.repartition(buckets, key)
-        .write.bucketBy(buckets, key).sortBy(key)
-        .option("path", scratch_path(spark, name))
-        .saveAsTable(name)
-    )
-    return name
-
-
-def bucketed_join(spark: SparkSession, left: str, right: str, on: Column) -> DataFrame:
-    """Join two bucketed tables by name without moving rows."""
-    return spark.table(left).alias("l").join(spark.table(right).hint("merge").alias("r"), on)
-
-
-# ------------------------------------------------------------------ salted join
+# ---------------------------------------------------------- salted and bucketed
 
 def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     """Keys that hold more than ``share`` of the rows: at most ``1 / share`` of them."""
@@ -146,9 +122,9 @@ def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     return counts.filter(F.col("_n") > total * share).select(key)
 
 
-def salted_join(fact: DataFrame, dim: DataFrame, key: str, salts: int,
-                share: float | None = None) -> DataFrame:
-    """Inner join with the hot keys of ``fact`` spread over ``salts`` partitions.
+def salt_pair(fact: DataFrame, dim: DataFrame, key: str, salts: int,
+              share: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a column ``_salt`` to join on next to ``key``.
 
     Only hot keys are salted, so only their dimension rows are copied.  The salt
     comes from the row's content, which makes a rerun of a lost task repeat it;
@@ -168,9 +144,45 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, salts: int,
         .withColumn("_salt", F.explode(copies))
         .drop("_hot")
     )
+    return left, right
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, salts: int,
+                share: float | None = None) -> DataFrame:
+    """Inner join with the hot keys of ``fact`` spread over ``salts`` partitions."""
+    left, right = salt_pair(fact, dim, key, salts, share)
     return left.join(right.hint("merge"), [key, "_salt"]).drop("_salt")
 
 
+def bucketed_table(df: DataFrame, keys: list[str], buckets: int, label: str = "bucketed") -> str:
+    """Save ``df`` bucketed and sorted by ``keys``, one file per bucket; returns its name."""
+    name = scratch_name(label)
+    (
+        df.repartition(buckets, *keys)
+        .write.bucketBy(buckets, *keys).sortBy(*keys)
+        .option("path", scratch_path(df.sparkSession, name))
+        .saveAsTable(name)
+    )
+    return name
+
+
+def bucketed_pair(fact: DataFrame, dim: DataFrame, key: str, buckets: int,
+                  salts: int = 8) -> tuple[str, str]:
+    """Save two tables for many later joins on ``key`` without a shuffle.
+
+    The shuffle is paid once here.  A hot key is salted before, since nothing
+    splits a bucket later.
+    """
+    left, right = salt_pair(fact, dim, key, salts)
+    keys = [key, "_salt"]
+    return bucketed_table(left, keys, buckets, "fact"), bucketed_table(right, keys, buckets, "dim")
+
+
+def bucketed_join(spark: SparkSession, left: str, right: str, key: str) -> DataFrame:
+    """Inner join of a saved pair: no exchange in the plan."""
+    return spark.table(left).join(spark.table(right).hint("merge"), [key, "_salt"]).drop("_salt")
+
+
 def fanout_count(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Pairs per key of ``left JOIN right``, from the counts of both sides."""
     a = left.groupBy(key).agg(F.count("*").alias("_a"))

@@ -56,12 +56,12 @@ def ordered(df: DataFrame, keys: list[str], order: list[str],
 
 def _chain(o: Ordered, partial: Column, over) -> DataFrame:
     """Fold per-(chunk, key) partials over the earlier chunks of the key."""
-    per = o.df.groupBy(CHUNK, *o.keys).agg(partial.alias("_part"))
+    per = o.df.groupBy(CHUNK, *o.keys).agg(partial.alias("__part"))
     w = Window.partitionBy(*o.keys).orderBy(CHUNK) if o.keys else Window.orderBy(CHUNK)
-    per = per.withColumn("_carry", over(F.col("_part"), w))
+    per = per.withColumn("__carry", over(F.col("__part"), w))
     # One row per chunk at most: the key it shares with the chunk before.
     names = [F.col(k).alias(f"_k{i}") for i, k in enumerate(o.keys)]
-    return per.filter("_carry IS NOT NULL").select(F.col(CHUNK).alias("_c"), *names, "_carry")
+    return per.filter("__carry IS NOT NULL").select(F.col(CHUNK).alias("_c"), *names, "__carry")
 
 
 def _attach(o: Ordered, df: DataFrame, carry: DataFrame) -> DataFrame:
@@ -80,28 +80,28 @@ def with_previous(o: Ordered, **columns: str) -> Ordered:
         F.max_by(payload, F.struct(*o.order)),
         lambda part, w: F.lag(part).over(w),
     )
-    df = o.df.withColumn("_prev", F.lag(payload).over(o.window()))
+    df = o.df.withColumn("__prev", F.lag(payload).over(o.window()))
     df = _attach(o, df, carry)
-    prev = F.coalesce(F.col("_prev"), F.col("_carry"))
-    out = df.withColumn("_prev", prev)
+    prev = F.coalesce(F.col("__prev"), F.col("__carry"))
+    out = df.withColumn("__prev", prev)
     for name in columns:
-        out = out.withColumn(name, F.col("_prev")[name])
-    return o.with_df(out.drop("_prev", "_carry"))
+        out = out.withColumn(name, F.col("__prev")[name])
+    return o.with_df(out.drop("__prev", "__carry"))
 
 
 def _with_running(o: Ordered, name: str, value: Column, agg, merge) -> Ordered:
-    base = o.with_df(o.df.withColumn("_v", value))
+    base = o.with_df(o.df.withColumn("__v", value))
     carry = _chain(
         base,
-        agg("_v"),
+        agg("__v"),
         lambda part, w: agg(part).over(w.rowsBetween(Window.unboundedPreceding, -1)),
     )
     upto = base.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = _attach(base, base.df.withColumn("_run", agg("_v").over(upto)), carry)
-    both = merge(F.col("_carry"), F.col("_run"))
+    df = _attach(base, base.df.withColumn("__run", agg("__v").over(upto)), carry)
+    both = merge(F.col("__carry"), F.col("__run"))
     # One side null (no value so far) leaves the other, as in a plain running window.
-    total = F.coalesce(both, F.col("_carry"), F.col("_run"))
-    return o.with_df(df.withColumn(name, total).drop("_v", "_run", "_carry"))
+    total = F.coalesce(both, F.col("__carry"), F.col("__run"))
+    return o.with_df(df.withColumn(name, total).drop("__v", "__run", "__carry"))
 
 
 def with_running_sum(o: Ordered, name: str, value: Column) -> Ordered:

@@ -123,7 +123,7 @@ def change_feed_split(spark, sf):
         "c_acctbal", F.expr("CASE WHEN c_custkey % 6 = 0 THEN c_acctbal + 5 ELSE c_acctbal END")
     )
     added = old.filter("c_custkey % 6 = 2").withColumn("c_custkey", F.col("c_custkey") + 1_000_000_000)
-    return changes.change_feed(old, changed.unionByName(added), ["c_custkey"])
+    return changes.change_feed(old, changed.unionByName(added))
 
 
 @query("compact_minor", LOG_SQL.format(lo=2, hi=5))

@@ -72,11 +72,15 @@ def batch_dedup(spark, sf):
 def medallion_gold(spark, sf):
     events = load(spark, sf, "events", "event_id", "user_id", "event_type", "value").withColumn("arrival", F.lit(0))
     bronze = events.unionByName(events.filter("event_id % 3 = 0").withColumn("arrival", F.lit(1)))
-    silver = quality.first_copy(bronze, ["event_id"], "arrival").join(
+    clean = quality.first_copy(bronze, ["event_id"], "arrival")
+    # Summed per user first: a busy user meets the dimensions as one row per type.
+    silver = clean.groupBy("user_id", "event_type").agg(
+        F.count("*").alias("n"), F.sum("value").alias("value")
+    ).join(
         load(spark, sf, "customer", "c_custkey", "c_nationkey"), F.expr("user_id = c_custkey")
     ).join(load(spark, sf, "nation", "n_nationkey", "n_name"), F.expr("c_nationkey = n_nationkey"))
     return silver.groupBy("n_name", "event_type").agg(
-        F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("value")
+        F.sum("n").alias("n"), F.round(F.sum("value"), 2).alias("value")
     )
 
 

@@ -112,14 +112,14 @@ def audit_summary(spark, sf):
 
 
 def _edges(spark, sf):
-    """A binary tree over the part keys; every eleventh step masks."""
-    return load(spark, sf, "part", "p_partkey").filter("p_partkey > 0").select(
+    """A binary tree over the part keys; steps to the smallest sizes mask."""
+    return load(spark, sf, "part", "p_partkey", "p_size").filter("p_partkey > 0").select(
         F.floor(F.col("p_partkey") / 2).cast("bigint").alias("src"), F.col("p_partkey").alias("dst"),
-        (F.col("p_partkey") % 11 == 0).alias("masks"),
+        (F.col("p_size") <= 5).alias("masks"),
     )
 
 
-EDGES = "e AS (SELECT p_partkey // 2 AS src, p_partkey AS dst, p_partkey % 11 = 0 AS masks FROM part WHERE p_partkey > 0)"
+EDGES = "e AS (SELECT p_partkey // 2 AS src, p_partkey AS dst, p_size <= 5 AS masks FROM part WHERE p_partkey > 0)"
 
 
 @query("lineage_reach", f"""
@@ -139,16 +139,15 @@ def lineage_reach(spark, sf):
 
 
 def _tags(spark, sf):
-    return load(spark, sf, "part", "p_partkey").filter("p_partkey IN (3, 5, 40)").select(
-        F.col("p_partkey").alias("node"),
-        F.when(F.col("p_partkey") == 5, "PCI").otherwise("PII").alias("tag"),
+    return load(spark, sf, "part", "p_partkey", "p_size").filter("p_size IN (20, 30)").select(
+        F.col("p_partkey").alias("node"), F.when(F.col("p_size") == 20, "PCI").otherwise("PII").alias("tag"),
     )
 
 
 TAGS = f"""
     WITH RECURSIVE {EDGES},
-    tags AS (SELECT p_partkey AS node, CASE WHEN p_partkey = 5 THEN 'PCI' ELSE 'PII' END AS tag
-             FROM part WHERE p_partkey IN (3, 5, 40)),
+    tags AS (SELECT p_partkey AS node, CASE WHEN p_size = 20 THEN 'PCI' ELSE 'PII' END AS tag
+             FROM part WHERE p_size IN (20, 30)),
     t AS (SELECT node, tag FROM tags UNION SELECT dst, tag FROM t JOIN e ON src = node WHERE NOT masks)
 """
 
@@ -161,18 +160,20 @@ def tag_propagation(spark, sf):
 @query("impact_analysis", f"""
     WITH RECURSIVE {EDGES},
     i AS (SELECT p_partkey AS changed, p_partkey AS affected, 0 AS depth FROM part
-          WHERE p_partkey > 0 AND p_partkey % 100 = 10
+          WHERE p_partkey > 0 AND p_brand = 'Brand#7'
           UNION SELECT changed, dst, depth + 1 FROM i JOIN e ON src = affected)
     SELECT changed, affected, depth FROM i WHERE depth > 0
 """)
 def impact_analysis(spark, sf):
-    changed = load(spark, sf, "part", "p_partkey").filter("p_partkey > 0 AND p_partkey % 100 = 10")
+    changed = load(spark, sf, "part", "p_partkey", "p_brand").filter("p_partkey > 0 AND p_brand = 'Brand#7'")
     return lineage.impact(_edges(spark, sf), changed.select(F.col("p_partkey").alias("node")))
 
 
 @query("unmasked_leaks", TAGS + """
-    SELECT node, tag FROM t WHERE node % 2 = 1 AND (node, tag) NOT IN (SELECT (node, tag) FROM tags)
+    SELECT node, tag FROM t JOIN part ON p_partkey = node WHERE p_type = 'ECONOMY' AND (node, tag) NOT IN (SELECT (node, tag) FROM tags)
 """)
 def unmasked_leaks(spark, sf):
-    exposed = load(spark, sf, "part", "p_partkey").filter("p_partkey % 2 = 1").select(F.col("p_partkey").alias("node"))
+    exposed = load(spark, sf, "part", "p_partkey", "p_type").filter("p_type = 'ECONOMY'").select(
+        F.col("p_partkey").alias("node")
+    )
     return lineage.unmasked_leaks(_edges(spark, sf), _tags(spark, sf), exposed)

@@ -119,9 +119,8 @@ def join_expr_key(spark, sf):
 def join_bucketed(spark, sf):
     items = load(spark, sf, "lineitem", "l_orderkey", "l_quantity")
     orders = load(spark, sf, "orders", "o_orderkey", "o_orderstatus")
-    left = joins.bucketed_table(items, "l_orderkey", 8, "items")
-    right = joins.bucketed_table(orders, "o_orderkey", 8, "orders")
-    joined = joins.bucketed_join(spark, left, right, F.expr("l.l_orderkey = r.o_orderkey"))
+    left, right = joins.bucketed_pair(items, orders.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey", 8)
+    joined = joins.bucketed_join(spark, left, right, "l_orderkey")
     return joined.groupBy("o_orderstatus").agg(
         F.count("*").alias("n_items"), F.sum("l_quantity").alias("quantity")
     )

@@ -35,7 +35,7 @@ def etl_filter_partition_write(spark, sf):
     done = load(spark, sf, "orders", "o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority").filter(
         "o_orderstatus = 'F'"
     ).withColumn("ingested_at", F.current_timestamp())
-    sinks.parquet(done.repartition(4), path, ["o_orderpriority"])
+    sinks.parquet(done.hint("rebalance", "o_orderpriority"), path, ["o_orderpriority"])
     return files.partitioned(spark, path).groupBy("o_orderpriority").agg(
         F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
     )

@@ -83,8 +83,8 @@ def late_data_report(spark, sf):
     events = load(spark, sf, "events", "event_id", "ts", "event_type")
     sink, cp = scratch_path(spark, "late-out"), scratch_path(spark, "cp")
     dropped = []
-    arrivals = ["event_id % 10 = 0 AND ts < TIMESTAMP_NTZ'2024-01-10'", "ts >= TIMESTAMP_NTZ'2024-01-10'",
-                "event_id % 10 = 1 AND ts < TIMESTAMP_NTZ'2024-01-05'"]
+    arrivals = ["event_id % 2 = 0 AND ts < TIMESTAMP_NTZ'2024-01-10'", "ts >= TIMESTAMP_NTZ'2024-01-10'",
+                "event_id % 2 = 1 AND ts < TIMESTAMP_NTZ'2024-01-10'"]
     for path in _landing(spark, events, *arrivals):
         stream = runs.table_stream(spark, path, events.schema)
         counts = windows.window_counts(stream, "ts", ["event_type"], "10 minutes", None, "10 minutes")
@@ -174,11 +174,11 @@ def stream_hourly_ingest(spark, sf):
     SELECT event_id, user_id, c_mktsegment FROM events JOIN customer ON user_id = c_custkey
 """)
 def stream_static_join(spark, sf):
-    customers = load(spark, sf, "customer", "c_custkey", "c_mktsegment")
-    joined = windows.enrich(_stream(spark, sf), customers, F.expr("user_id = c_custkey"))
+    customers = load(spark, sf, "customer", "c_custkey", "c_mktsegment").withColumnRenamed("c_custkey", "user_id")
+    events = _stream(spark, sf).select("event_id", "user_id")
     path = scratch_path(spark, "enriched")
-    runs.finish(runs.to_parquet(joined.select("event_id", "user_id", "c_mktsegment"), path, scratch_path(spark, "cp")))
-    return spark.read.parquet(path)
+    runs.finish(runs.enrich(events, customers, "user_id", path, scratch_path(spark, "cp")))
+    return spark.read.parquet(path).drop("batch")
 
 
 PAIRS = """

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import scalar
-from millrace.session import scratch_path, settings
+from millrace.session import scratch_path, settings, shuffle_width
 from millrace.sources.files import MICROS
 
 MB = 1024 * 1024
@@ -163,7 +163,7 @@ def keep_recent(df: DataFrame, ts: str, days: int) -> DataFrame:
 
 
 def many_small_files(df: DataFrame, files: int, label: str) -> str:
-    """Write ``df`` as that many files, as a busy landing zone would."""
+    """Write ``df`` as at least that many files, as a busy landing zone would."""
     path = scratch_path(df.sparkSession, label)
-    df.repartition(files).write.parquet(path)
+    df.repartition(max(files, shuffle_width(df.sparkSession))).write.parquet(path)
     return path

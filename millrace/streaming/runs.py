@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.changes import last_change
+from millrace.operators.joins import salted_join
 from millrace.sources import sinks
 
 
@@ -64,6 +65,28 @@ def to_batches(df: DataFrame, path: str, checkpoint: str, mode: str = "update",
     )
 
 
+def enrich(stream: DataFrame, table: DataFrame, key: str, path: str, checkpoint: str,
+           salts: int = 8, every: str | None = None) -> StreamingQuery:
+    """Join a stream to a table, batch by batch, with the batch's hot keys salted.
+
+    A stream has no adaptive execution, so a plain join would send a busy key to
+    one task; each micro-batch is joined as the table it is.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            out = salted_join(batch, table, key, salts)
+            out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return (
+        stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+        .trigger(**trigger_options(every)).start()
+    )
+
+
 def latest_state(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """The current row of each key in an upsert log."""
     log = spark.read.option("basePath", path).parquet(path).withColumnRenamed("batch", "write_id")

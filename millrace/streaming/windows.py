@@ -76,9 +76,9 @@ def sessionize(df: DataFrame, key: str, ts: str, tie: str, gap_seconds: int) ->
 
     A key's rows are spread over ordered chunks, so one busy key is many tasks.
     """
-    o = with_previous(ordered(df.select(key, ts, tie), [key], [ts, tie]), _prev=ts)
+    o = with_previous(ordered(df.select(key, ts, tie), [key], [ts, tie]), _before=ts)
     gap = F.expr(f"INTERVAL {gap_seconds} SECONDS")
-    starts = F.col("_prev").isNull() | (F.col(ts) >= F.col("_prev") + gap)
+    starts = F.col("_before").isNull() | (F.col(ts) >= F.col("_before") + gap)
     o = with_running_sum(o, "_session", starts.cast("bigint"))
     return o.rows().groupBy(key, "_session").agg(
         F.min(ts).alias("session_start"), (F.max(ts) + gap).alias("session_end"),
@@ -86,11 +86,6 @@ def sessionize(df: DataFrame, key: str, ts: str, tie: str, gap_seconds: int) ->
     ).drop("_session")
 
 
-def enrich(stream: DataFrame, table: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Stream joined to a table that is read anew in each batch."""
-    return stream.join(table, on, how)
-
-
 def interval_join_streams(a: DataFrame, b: DataFrame, key: str, a_ts: str, b_ts: str,
                           hi_seconds: int, delay: str) -> DataFrame:
     """Inner join of two streams, ``b_ts`` within ``hi_seconds`` after ``a_ts``.
@@ -113,13 +108,16 @@ def interval_join_streams(a: DataFrame, b: DataFrame, key: str, a_ts: str, b_ts:
 
 def fraud_alerts(events: DataFrame, customers: DataFrame, ts: str, size: str,
                  limit: float, delay: str | None = None) -> DataFrame:
-    """Purchase sums per user and window above a share of the user's balance limit."""
+    """Purchase sums per user and window above ``limit``, with the user's segment.
+
+    Sums come before the join, so a busy user reaches it as one row per window.
+    """
     if delay:
         events = event_time(events, ts).withWatermark(ts, delay)
-    joined = events.filter("event_type = 'purchase'").join(customers, F.expr("user_id = c_custkey"))
-    sums = joined.groupBy(F.window(ts, size).alias("w"), "user_id", "c_mktsegment").agg(
+    sums = events.filter("event_type = 'purchase'").groupBy(F.window(ts, size).alias("w"), "user_id").agg(
         F.count("*").alias("n"), F.sum("value").alias("spent")
     )
-    return sums.filter(F.col("spent") > limit).select(
+    joined = sums.filter(F.col("spent") > limit).join(customers, F.expr("user_id = c_custkey"))
+    return joined.select(
         F.col("w.start").cast("timestamp_ntz").alias("window_start"), "user_id", "c_mktsegment", "n", "spent"
     )
