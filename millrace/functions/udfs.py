@@ -43,9 +43,14 @@ def aggregate(df: DataFrame, keys: list[str], columns: list[str],
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.groupby(keys, dropna=False).apply(
-                lambda g: per_batch(g), include_groups=False
-            ).reset_index(keys).reset_index(drop=True)
+            parts = []
+            for _, group in batch.groupby(keys, dropna=False, sort=False):
+                part = per_batch(group)
+                for name in keys:
+                    part[name] = [group[name].iloc[0]] * len(part)
+                parts.append(part)
+            if parts:
+                yield pd.concat(parts, ignore_index=True)
 
     partial = df.select(*keys, *columns).mapInPandas(run, f"{key_ddl}, {partial_ddl}")
     merged = partial.groupBy(*keys).agg(*[c.alias(n) for n, c in merge.items()])

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators import joins
 from millrace.plans.registry import query
-from millrace.session import scratch_path, settings
-from millrace.streaming import runs, windows
+from millrace.session import ROCKSDB_PROVIDER, scratch_path, settings
+from millrace.streaming import runs, state, windows
 from millrace.sources import sinks, topics
 from millrace.tables import load, path_of
 
@@ -148,6 +148,17 @@ def stream_sessions(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("stream_sessions_custom", "SELECT * FROM (" + SESSIONS.format(gap=1800) + """)
+    WHERE session_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
+""")
+def stream_sessions_custom(spark, sf):
+    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB_PROVIDER):
+        sessions = state.custom_sessions(_stream(spark, sf), "user_id", "ts", 1800, "10 minutes")
+        path = scratch_path(spark, "sessions")
+        runs.finish(runs.to_parquet(sessions, path, scratch_path(spark, "cp")))
+    return spark.read.parquet(path)
+
+
 @query("stream_upsert_sink", _slide(60, 60))
 def stream_upsert_sink(spark, sf):
     events = load(spark, sf, "events", "event_id", "ts", "event_type")
