@@ -86,7 +86,10 @@ def like_join(texts: DataFrame, text_id: str, text: str,
             F.sequence(F.lit(1), F.greatest(F.length("_text") - n + 1, F.lit(1))),
             lambda i: F.substr(F.col("_text"), i, F.lit(n)),
         )
-        return F.array_distinct(cut)
+        # A text shorter than the piece has none; a shorter piece would count twice.
+        return F.when(F.length("_text") >= n, F.array_distinct(cut)).otherwise(
+            F.array().cast("array<string>")
+        )
 
     # Which piece lengths occur at all: at most GRAM + 1 values.
     sizes = sorted(r["_size"] for r in pats.select("_size").distinct().collect())

@@ -66,7 +66,7 @@ class Sessions(StatefulProcessor):
         ends = {end for _, end, _ in spans}
         for end in ends - before:
             self.handle.registerTimer(-(-end // 1000))
-        yield pd.DataFrame({self.key: [], "start_us": [], "end_us": [], "n": []})
+        yield self._frame(key, [])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
@@ -77,9 +77,14 @@ class Sessions(StatefulProcessor):
             self.open.put(left)
         elif spans:
             self.open.clear()
-        yield pd.DataFrame({
-            self.key: [key[0]] * len(done), "start_us": [s[0] for s in done],
-            "end_us": [s[1] for s in done], "n": [s[2] for s in done],
+        yield self._frame(key, done)
+
+    def _frame(self, key, spans) -> pd.DataFrame:
+        # Plain object strings: the state serializer takes no chunked Arrow strings.
+        kind = object if isinstance(key[0], str) else None
+        return pd.DataFrame({
+            self.key: pd.Series([key[0]] * len(spans), dtype=kind),
+            **{name: [s[i] for s in spans] for i, name in enumerate(("start_us", "end_us", "n"))},
         })
 
     def close(self) -> None:
