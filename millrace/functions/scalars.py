@@ -49,20 +49,6 @@ def mask_last(text: Column, keep: int = 4, fill: str = "x") -> Column:
     )
 
 
-def words_alnum(text: Column) -> Column:
-    """Tokens after dropping all but letters, digits and blanks from the whole text."""
-    clean = F.lower(F.regexp_replace(text, r"[^a-zA-Z0-9\s]", ""))
-    return F.filter(F.split(clean, r"\s+"), lambda w: w != "")
-
-
-def words_alpha(text: Column) -> Column:
-    """Tokens split first, then stripped of all but letters."""
-    tokens = F.transform(
-        F.split(text, r"\s+"), lambda w: F.lower(F.regexp_replace(w, "[^a-zA-Z]", ""))
-    )
-    return F.filter(tokens, lambda w: w != "")
-
-
 def words_spaced(line: Column) -> Column:
     """The pieces between single spaces, empty ones included."""
     return F.split(line, " ")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import scalars
-from millrace.operators import arranging, changes
+from millrace.operators import arranging, changes, text
 from millrace.operators.ordered import dense_ids, ordered, with_previous
 from millrace.plans.registry import query
 from millrace.session import scratch_path
@@ -97,10 +97,7 @@ def cluster_by_partition_stats(spark, sf):
            count(*) AS n_words, sum(n)::BIGINT AS n_tokens FROM w GROUP BY 1
 """)
 def alphabet_partition(spark, sf):
-    words = load(spark, sf, "documents", "text").select(
-        F.explode(scalars.words_alnum(F.col("text"))).alias("word")
-    )
-    counts = words.groupBy("word").agg(F.count("*").alias("n"))
+    counts = text.count_alnum(load(spark, sf, "documents", "text"), "text")
     lines = counts.select(
         F.concat_ws("\t", "word", F.col("n").cast("string")).alias("value"),
         scalars.alphabet_part(F.col("word"), 3).alias("part"),
