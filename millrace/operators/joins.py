@@ -202,19 +202,16 @@ def interval_join(a: DataFrame, b: DataFrame, key: str, a_ts: str, b_ts: str,
     Both sides are cut into slots as wide as the interval, so rows meet only
     within a key and slot; each ``a`` row looks into the slots its interval touches.
     """
-    width = max(hi_seconds - lo_seconds, 1)
+    width = max(hi_seconds - lo_seconds, 1) * 1_000_000
 
-    def slot(seconds: Column) -> Column:
-        return F.floor(seconds / width).cast("bigint")
-
-    def epoch(c: str) -> Column:
-        return F.unix_micros(F.col(c).cast("timestamp")) / F.lit(1_000_000)
+    def slot(ts: str, shift_seconds: int = 0) -> Column:
+        micros = F.unix_micros(F.col(ts).cast("timestamp")) + F.lit(shift_seconds * 1_000_000)
+        return F.floor(micros / width).cast("bigint")
 
     left = a.withColumn(
-        "_slot",
-        F.explode(F.sequence(slot(epoch(a_ts) + lo_seconds), slot(epoch(a_ts) + hi_seconds))),
+        "_slot", F.explode(F.sequence(slot(a_ts, lo_seconds), slot(a_ts, hi_seconds)))
     )
-    right = b.withColumn("_slot", slot(epoch(b_ts)))
+    right = b.withColumn("_slot", slot(b_ts))
     lo = F.expr(f"INTERVAL '{lo_seconds}' SECOND")
     hi = F.expr(f"INTERVAL '{hi_seconds}' SECOND")
     joined = left.join(right, [key, "_slot"])

@@ -16,9 +16,11 @@ from millrace.operators.ordered import (
 )
 
 
-def seconds(ts: Column) -> Column:
-    """Epoch seconds with fraction."""
-    return F.unix_micros(ts.cast("timestamp")) / F.lit(1_000_000)
+def seconds_between(start: Column, end: Column) -> Column:
+    """Seconds with fraction, from whole microseconds: epoch doubles would lose digits."""
+    return (
+        F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+    ) / F.lit(1_000_000)
 
 
 def series_key(labels: Column) -> Column:
@@ -52,7 +54,7 @@ def increase(samples: DataFrame, series: list[str], ts: str, tie: str, value: st
     rows = _deltas(samples, series, ts, tie, value, window)
     agg = rows.groupBy(*series, "window_start").agg(
         F.sum("_step").alias("increase"), F.count("*").alias("n_samples"),
-        (seconds(F.max(ts)) - seconds(F.min(ts))).alias("_span"),
+        seconds_between(F.min(ts), F.max(ts)).alias("_span"),
     ).filter("n_samples >= 2")
     rate = F.when(F.col("_span") > 0, F.col("increase") / F.col("_span"))
     return agg.withColumn("rate", rate).drop("_span")
@@ -63,7 +65,7 @@ def instant_rate(samples: DataFrame, series: list[str], ts: str, tie: str, value
     rows = _deltas(samples, series, ts, tie, value, window)
     last = rows.groupBy(*series, "window_start").agg(
         F.max_by(
-            F.struct("_step", (seconds(F.col(ts)) - seconds(F.col("_prev_ts"))).alias("_span")),
+            F.struct("_step", seconds_between(F.col("_prev_ts"), F.col(ts)).alias("_span")),
             F.struct(ts, tie),
         ).alias("_last")
     ).filter("_last._step IS NOT NULL")
@@ -76,7 +78,7 @@ def predict_linear(samples: DataFrame, series: list[str], ts: str, value: str, w
                    horizon_seconds: int) -> DataFrame:
     """Least-squares forecast ``horizon_seconds`` after the newest sample of each window."""
     rows = _in_windows(samples, ts, window)
-    x = seconds(F.col(ts)) - seconds(F.col("window_start"))
+    x = seconds_between(F.col("window_start"), F.col(ts))
     rows = rows.withColumn("_x", x)
     fit = rows.groupBy(*series, "window_start").agg(
         F.regr_slope(value, "_x").alias("_slope"), F.regr_intercept(value, "_x").alias("_icept"),
@@ -148,12 +150,12 @@ def alerts(samples: DataFrame, series: list[str], ts: str, condition: Column,
     """
     rows = samples.withColumn("_bad", F.coalesce(condition, F.lit(False)))
     o = with_previous(ordered(rows, series, [ts]), _prev_ts=ts, _prev_bad="_bad")
-    gap = seconds(F.col(ts)) - seconds(F.col("_prev_ts"))
+    gap = seconds_between(F.col("_prev_ts"), F.col(ts))
     starts = F.col("_bad") & (
         F.col("_prev_ts").isNull() | ~F.col("_prev_bad") | (gap > step_seconds)
     )
     o = with_running_max(o, "active_since", F.when(starts, F.col(ts)))
-    held = seconds(F.col(ts)) - seconds(F.col("active_since"))
+    held = seconds_between(F.col("active_since"), F.col(ts))
     return o.rows().filter("_bad").withColumn(
         "state", F.when(held >= hold_seconds, "firing").otherwise("pending")
     ).drop("_bad", "_prev_ts", "_prev_bad")

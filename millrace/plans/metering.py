@@ -43,12 +43,11 @@ def metric_rate(spark, sf):
 
 
 @query("metric_irate", COUNTER + """
-    SELECT event_type, window_start, round(arg_max(step / ((epoch_us(ts) - epoch_us(pts)) / 1000000), event_id), 6) AS irate
+    SELECT event_type, window_start, arg_max(step / ((epoch_us(ts) - epoch_us(pts)) / 1000000), event_id) AS irate
     FROM d WHERE pv IS NOT NULL GROUP BY ALL
 """)
 def metric_irate(spark, sf):
-    out = metrics.instant_rate(_counter(spark, sf), ["event_type"], "ts", "event_id", "v", "6 hours")
-    return out.withColumn("irate", F.round("irate", 6))
+    return metrics.instant_rate(_counter(spark, sf), ["event_type"], "ts", "event_id", "v", "6 hours")
 
 
 @query("metric_predict_linear", """

@@ -56,29 +56,45 @@ class Sessions(StatefulProcessor):
         self.open = handle.getListState("open", "start_us BIGINT, end_us BIGINT, n BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        spans = [(int(a), int(b), int(n)) for a, b, n in self.open.get()] if self.open.exists() else []
-        before = {end for _, end, _ in spans}
+        spans = self._spans()
+        earliest = self._due(spans)
         for batch in rows:
             new = zip(batch["start_us"], batch["end_us"], batch["n"])
             spans = merge_spans(spans + [(int(a), int(b), int(n)) for a, b, n in new])
         if spans:
             self.open.put(spans)
-        ends = {end for _, end, _ in spans}
-        for end in ends - before:
-            self.handle.registerTimer(-(-end // 1000))
+        # One timer per key, for the span that ends first.
+        if self._due(spans) != earliest:
+            if earliest is not None:
+                self.handle.deleteTimer(earliest)
+            self.handle.registerTimer(self._due(spans))
         yield self._frame(key, [])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
-        spans = [(int(a), int(b), int(n)) for a, b, n in self.open.get()] if self.open.exists() else []
-        done = [s for s in spans if -(-s[1] // 1000) <= now]
-        left = [s for s in spans if -(-s[1] // 1000) > now]
+        spans = self._spans()
+        done = [s for s in spans if self._due([s]) <= now]
+        left = [s for s in spans if self._due([s]) > now]
         if left:
             self.open.put(left)
+            self.handle.registerTimer(self._due(left))
         elif spans:
             self.open.clear()
         yield self._frame(key, done)
 
+    def close(self) -> None:
+        pass
+
+    def _spans(self) -> list[tuple[int, int, int]]:
+        if not self.open.exists():
+            return []
+        return [(int(a), int(b), int(n)) for a, b, n in self.open.get()]
+
+    @staticmethod
+    def _due(spans) -> int | None:
+        """The first millisecond at which one of the spans has ended."""
+        return min((-(-end // 1000) for _, end, _ in spans), default=None)
+
     def _frame(self, key, spans) -> pd.DataFrame:
         # Plain object strings: the state serializer takes no chunked Arrow strings.
         kind = object if isinstance(key[0], str) else None
@@ -87,9 +103,6 @@ class Sessions(StatefulProcessor):
             **{name: [s[i] for s in spans] for i, name in enumerate(("start_us", "end_us", "n"))},
         })
 
-    def close(self) -> None:
-        pass
-
 
 def custom_sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, delay: str) -> DataFrame:
     """Sessions of a stream through ``Sessions``; needs the RocksDB state store."""
