@@ -80,12 +80,24 @@ def topk_groups(spark, sf):
     return arranging.top_groups(load(spark, sf, "lineitem", "l_partkey"), ["l_partkey"], 10)
 
 
-@query("cluster_by_partition_stats")
+def _totals(parts):
+    """Every key sits in one partition only when the keys per partition add up to the keys."""
+    return parts.agg(
+        F.count("*").alias("n_parts"), F.sum("n").alias("n_rows"), F.sum("n_keys").alias("n_keys")
+    )
+
+
+PARTS_SQL = """
+    SELECT CAST(8 AS BIGINT) AS n_parts, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_keys FROM orders
+"""
+
+
+@query("cluster_by_partition_stats", PARTS_SQL)
 def cluster_by_partition_stats(spark, sf):
     rows = arranging.cluster_by(load(spark, sf, "orders", "o_custkey", "o_orderkey"), 8, "o_custkey")
-    return rows.groupBy(F.spark_partition_id().alias("part")).agg(
+    return _totals(rows.groupBy(F.spark_partition_id().alias("part")).agg(
         F.count("*").alias("n"), F.count_distinct("o_custkey").alias("n_keys")
-    )
+    ))
 
 
 @query("alphabet_partition", """
@@ -111,12 +123,12 @@ def alphabet_partition(spark, sf):
     )
 
 
-@query("hash_partition_balance")
+@query("hash_partition_balance", PARTS_SQL)
 def hash_partition_balance(spark, sf):
     orders = load(spark, sf, "orders", "o_custkey")
-    return orders.groupBy(F.pmod(F.hash("o_custkey"), F.lit(8)).alias("part")).agg(
+    return _totals(orders.groupBy(F.pmod(F.hash("o_custkey"), F.lit(8)).alias("part")).agg(
         F.count("*").alias("n"), F.count_distinct("o_custkey").alias("n_keys")
-    )
+    ))
 
 
 @query("bucket_sample", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 4 = 0")
