@@ -1,12 +1,13 @@
-"""Per-key ordered computations that do not put a whole key into one task.
+"""Per-key ordered computations that do not put a large key into one task.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task, which
-fails once a single key holds a large share of the table.  Here the rows are
-range partitioned on (keys, order), so a large key is spread over many chunks.
-Window functions run inside (chunk, key), and what has to cross a chunk border
-is carried over separately.  Only a key that continues from the chunk before
-needs a carry, hence at most one carry row per chunk: it is broadcast safely
-whatever the size of the data.
+fails once a single key holds a large share of the table.  Here keys are counted
+first.  Those below a share keep the plain window and its one shuffle.  Rows of a
+large key are range partitioned on (keys, order) and so spread over many chunks;
+window functions run inside (chunk, key), and what has to cross a chunk border is
+carried over separately.  Only a key that continues from the chunk before needs a
+carry, hence at most one carry row per chunk: it is broadcast safely whatever the
+size of the data.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ CHUNK = "_chunk"
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows tagged with a chunk number that grows with (keys, order)."""
+    """Rows tagged with a chunk number; within a key it grows with ``order``."""
 
     df: DataFrame
     keys: tuple[str, ...]
@@ -39,24 +40,49 @@ class Ordered:
         return self.df.drop(CHUNK)
 
 
-def ordered(df: DataFrame, keys: list[str], order: list[str],
-            chunks: int | None = None) -> Ordered:
-    """Spread ``df`` over chunks by (keys, order); ``order`` must break all ties in a key.
+def _large_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """Keys above ``share`` of the rows, at most ``1 / share`` of them."""
+    total = df.count()
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    names = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    return counts.filter(F.col("_n") > total * share).select(*names)
+
 
-    The tagged rows are written to the shared folder: the range borders come
-    from a sample, so chunk numbers have to be fixed before they are used twice.
+def ordered(df: DataFrame, keys: list[str], order: list[str],
+            chunks: int | None = None, share: float | None = None) -> Ordered:
+    """Tag ``df`` with chunks; ``order`` must break all ties within a key.
+
+    Keys above ``share`` of the rows (all rows when there are no keys) are spread
+    over ``chunks``; the others stay whole in chunk 0.  The spread rows are written
+    to the shared folder: range borders come from a sample, so chunk numbers have
+    to be fixed before they are used twice.  ``df`` is read up to four times (total,
+    key counts, small keys, large keys): write a costly one through before.
     """
     n = chunks or shuffle_width(df.sparkSession)
-    tagged = (
-        df.repartitionByRange(n, *keys, *order)
-        .withColumn(CHUNK, F.spark_partition_id())
-    )
-    return Ordered(write_through(tagged, "ordered"), tuple(keys), tuple(order))
+
+    def spread(rows: DataFrame) -> DataFrame:
+        tagged = rows.repartitionByRange(n, *keys, *order).withColumn(
+            CHUNK, F.spark_partition_id() + 1
+        )
+        return write_through(tagged, "ordered")
+
+    if not keys:
+        return Ordered(spread(df), (), tuple(order))
+    large = _large_keys(df, keys, share or 1.0 / n)
+    whole = df.withColumn(CHUNK, F.lit(0))
+    if large.take(1):
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        small = whole.join(F.broadcast(large), same, "left_anti")
+        whole = small.unionByName(spread(df.join(F.broadcast(large), same, "left_semi")))
+    return Ordered(whole, tuple(keys), tuple(order))
 
 
 def _chain(o: Ordered, partial: Column, over) -> DataFrame:
     """Fold per-(chunk, key) partials over the earlier chunks of the key."""
-    per = o.df.groupBy(CHUNK, *o.keys).agg(partial.alias("__part"))
+    # Chunk 0 holds whole keys, which carry nothing.
+    per = o.df.filter(F.col(CHUNK) > 0).groupBy(CHUNK, *o.keys).agg(partial.alias("__part"))
     w = Window.partitionBy(*o.keys).orderBy(CHUNK) if o.keys else Window.orderBy(CHUNK)
     per = per.withColumn("__carry", over(F.col("__part"), w))
     # One row per chunk at most: the key it shares with the chunk before.
@@ -130,14 +156,12 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str,
 
     Equal values are counted first, so only distinct values are sorted.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count("*").alias("_n")
+    counts = write_through(
+        df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n")), "counts"
     )
     o = with_running_sum(ordered(counts, keys, [value]), "_upto", F.col("_n"))
     rows = o.rows().withColumn("_from", F.col("_upto") - F.col("_n"))
-    totals = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.count("*").alias("_total")
-    )
+    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     if keys:
         same = [rows[k].eqNullSafe(totals[k]) for k in keys]
         rows = rows.join(totals, same).drop(*[totals[k] for k in keys])

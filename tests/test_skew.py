@@ -33,16 +33,19 @@ def test_ordered_steps_equal_plain_windows(skewed):
         "id", "k", "v", F.lag("v").over(w).alias("p"), F.sum("v").over(upto).alias("s"),
         F.max("v").over(upto).alias("m"), F.row_number().over(w).cast("bigint").alias("r"),
     )
-    o = with_previous(ordered(skewed, ["k"], ["id"], 16), p="v")
-    o = with_running_max(with_running_sum(o, "s", F.col("v")), "m", F.col("v"))
-    same(with_row_number(o, "r").rows().select(want.columns), want)
+    # Only the large key spread; every key spread; none spread.
+    for share in (0.3, 1e-9, 1.0):
+        o = with_previous(ordered(skewed, ["k"], ["id"], 16, share), p="v")
+        o = with_running_max(with_running_sum(o, "s", F.col("v")), "m", F.col("v"))
+        same(with_row_number(o, "r").rows().select(want.columns), want)
 
 
 def test_one_key_is_spread_over_chunks(skewed):
     o = ordered(skewed, ["k"], ["id"], 16)
-    sizes = [r["n"] for r in o.df.groupBy(CHUNK).agg(F.count("*").alias("n")).collect()]
-    assert max(sizes) < 30_000 / 4
+    sizes = [r["n"] for r in o.df.groupBy(CHUNK, "k").agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 30_000 / 8
     assert o.df.filter("k = 7").select(CHUNK).distinct().count() > 8
+    assert o.df.filter("k <> 7").select(CHUNK).distinct().collect()[0][0] == 0
 
 
 def test_dense_ids_without_gaps(skewed):
