@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.ordered import large_keys
 from millrace.session import scratch_name, scratch_path, shuffle_width
 
 # A table up to this many rows may be sent to every executor.
@@ -118,13 +119,6 @@ def like_join(texts: DataFrame, text_id: str, text: str,
 
 # ---------------------------------------------------------- salted and bucketed
 
-def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows: at most ``1 / share`` of them."""
-    counts = df.groupBy(key).agg(F.count("*").alias("_n"))
-    total = df.count()
-    return counts.filter(F.col("_n") > total * share).select(key)
-
-
 def salt_pair(fact: DataFrame, dim: DataFrame, key: str, salts: int,
               share: float | None = None) -> tuple[DataFrame, DataFrame]:
     """Both sides with a column ``_salt`` to join on next to ``key``.
@@ -134,7 +128,7 @@ def salt_pair(fact: DataFrame, dim: DataFrame, key: str, salts: int,
     copies of one row share a salt, and AQE splits that partition further.
     """
     share = share or 1.0 / shuffle_width(fact.sparkSession)
-    hot = hot_keys(fact, key, share).withColumn("_hot", F.lit(True))
+    hot = large_keys(fact, [key], share).select(F.col("_k0").alias(key), F.lit(True).alias("_hot"))
     content = F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")
     left = fact.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), content).otherwise(0)

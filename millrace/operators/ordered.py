@@ -40,12 +40,17 @@ class Ordered:
         return self.df.drop(CHUNK)
 
 
-def _large_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """Keys above ``share`` of the rows, at most ``1 / share`` of them."""
+def large_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """Keys above ``share`` of the rows, in columns ``_k0, _k1, ...``.
+
+    There are at most ``1 / share`` of them, so they are fetched and come back as a
+    local table: using it often does not count the keys again.
+    """
     total = df.count()
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     names = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    return counts.filter(F.col("_n") > total * share).select(*names)
+    large = counts.filter(F.col("_n") > total * share).select(*names)
+    return df.sparkSession.createDataFrame(large.collect(), large.schema)
 
 
 def ordered(df: DataFrame, keys: list[str], order: list[str],
@@ -68,7 +73,7 @@ def ordered(df: DataFrame, keys: list[str], order: list[str],
 
     if not keys:
         return Ordered(spread(df), (), tuple(order))
-    large = _large_keys(df, keys, share or 1.0 / n)
+    large = large_keys(df, keys, share or 1.0 / n)
     whole = df.withColumn(CHUNK, F.lit(0))
     if large.take(1):
         same = F.lit(True)

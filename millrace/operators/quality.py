@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import scratch_path
+
 
 def _is_object(text: Column) -> Column:
     """True when the text parses as one JSON object."""
@@ -35,12 +37,18 @@ def with_reject_reason(df: DataFrame, value: str, required: dict[str, str]) -> D
 
 
 def split_bad(df: DataFrame, value: str, required: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Good rows with typed columns, and dead letters with their origin and reason."""
-    checked = with_reject_reason(df, value, required)
-    good = checked.filter(F.size("violations") == 0).drop("violations")
-    bad = checked.filter(F.size("violations") > 0).withColumn(
-        "reason", F.array_join("violations", ",")
-    )
+    """Good rows with typed columns, and dead letters with their origin and reason.
+
+    The text is parsed once: both kinds are written to directories of their own in
+    the shared folder, and each result reads one of them.
+    """
+    spark = df.sparkSession
+    checked = with_reject_reason(df, value, required).withColumn("_good", F.size("violations") == 0)
+    path = scratch_path(spark, "split")
+    checked.write.partitionBy("_good").parquet(path)
+    rows = spark.read.schema(checked.schema).parquet(path)
+    good = rows.filter("_good").drop("violations", "_good")
+    bad = rows.filter("NOT _good").withColumn("reason", F.array_join("violations", ","))
     origin = [c for c in ("topic", "partition", "offset", "key", value) if c in df.columns]
     return good, bad.select(*origin, "reason")
 

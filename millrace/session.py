@@ -8,6 +8,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROCKSDB_PROVIDER = (
+    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+)
+
 # Settings every job wants.  Shuffle width is left to the caller: AQE merges small
 # partitions, so on a cluster start wide (two to three tasks per core or more).
 DEFAULTS = {
@@ -22,13 +26,10 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.orc.filterPushdown": "true",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
-ROCKSDB_PROVIDER = (
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-)
-
 
 def session(app: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
     """A session with ``DEFAULTS``; ``conf`` keys use ``__`` for dots."""

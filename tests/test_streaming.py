@@ -124,6 +124,10 @@ def test_triggers_and_kafka_options(spark):
         topics.read_topic(spark, "broker:9092", "clicks", True, max_per_trigger=1000)
 
 
+def test_state_lives_in_rocksdb_by_default(spark):
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == ROCKSDB_PROVIDER
+
+
 def test_files_per_trigger_limit(spark, arrivals, tmp_path):
     for m in range(3):
         path = arrivals(("a", at(m), m))

@@ -70,6 +70,7 @@ def compare(spark, con, sf_dir: str, name: str):
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="0.01")
+    ap.add_argument("--parts", default="8")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     registry.load_all()
@@ -78,7 +79,7 @@ def main() -> int:
         if not args.names or any(fnmatch.fnmatch(n, p) for p in args.names)
     ]
     sf_dir = f"/root/testdata/sf{args.sf}"
-    spark = session("compare", "local[8]", spark__sql__shuffle__partitions="8",
+    spark = session("compare", "local[8]", spark__sql__shuffle__partitions=args.parts,
                     spark__ui__enabled="false",
                     spark__ui__showConsoleProgress="false", spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
