@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import large_keys
-from millrace.session import scratch_name, scratch_path, shuffle_width
+from millrace.session import scratch_name, scratch_path, shuffle_width, write_through
 
 # A table up to this many rows may be sent to every executor.
 BROADCAST_ROWS = 200_000
@@ -99,7 +99,12 @@ def like_join(texts: DataFrame, text_id: str, text: str,
     text_grams = base.select(
         "_tid", F.explode(F.concat(*[grams(n) for n in sizes])).alias("_gram")
     )
-    wanted = text_grams.join(options.select("_gram").distinct(), "_gram", "left_semi")
+    # Pieces no pattern uses are dropped where they are cut when the patterns are few.
+    # The rest is read twice, for its frequencies and for the candidates.
+    pieces_used = options.select("_gram").distinct()
+    if fits_broadcast(pieces_used):
+        pieces_used = F.broadcast(pieces_used)
+    wanted = write_through(text_grams.join(pieces_used, "_gram", "left_semi"), "pieces")
     frequency = wanted.groupBy("_gram").agg(F.count("*").alias("_freq"))
     # A piece no text contains cannot match, so patterns lost here have no pairs.
     anchors = (

@@ -93,6 +93,13 @@ def latest_state(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return last_change(log, keys).drop("write_id")
 
 
+def fold_state(spark: SparkSession, path: str, keys: list[str], target: str) -> str:
+    """Compact an upsert log: its current rows become the one batch of a new log."""
+    newest = spark.read.option("basePath", path).parquet(path).agg(F.max("batch")).first()[0]
+    latest_state(spark, path, keys).write.parquet(f"{target}/batch={newest}")
+    return target
+
+
 def hourly_ingest(df: DataFrame, ts_ms: str, path: str, checkpoint: str,
                   every: str | None = "10 seconds") -> StreamingQuery:
     """Micro-batches into hourly partitions; offsets are committed after the write."""

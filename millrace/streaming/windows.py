@@ -22,13 +22,30 @@ def event_time(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
+def _seconds(interval: str) -> int | None:
+    """Length of ``"<n> <unit>"`` in seconds, None for units without a fixed one."""
+    number, unit = interval.split()
+    sizes = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}
+    size = sizes.get(unit.rstrip("s"))
+    return int(number) * size if size else None
+
+
 def window_counts(df: DataFrame, ts: str, keys: list[str], size: str, slide: str | None = None,
                   delay: str | None = None) -> DataFrame:
-    """Rows per window and key; partial counts are made before the shuffle."""
+    """Rows per window and key; partial counts are made before the shuffle.
+
+    Overlapping windows of a table are added up from counts per slide, so that a
+    row is not copied into every window it belongs to.  A stream keeps one step.
+    """
     if delay:
         df = event_time(df, ts).withWatermark(ts, delay)
     window = F.window(ts, size, slide) if slide else F.window(ts, size)
-    counts = df.groupBy(window.alias("w"), *keys).agg(F.count("*").alias("n"))
+    whole, step = _seconds(size), _seconds(slide) if slide else None
+    if not df.isStreaming and step and whole and whole > step and whole % step == 0:
+        slots = df.groupBy(F.window(ts, slide)["start"].alias(ts), *keys).agg(F.count("*").alias("n"))
+        counts = slots.groupBy(window.alias("w"), *keys).agg(F.sum("n").alias("n"))
+    else:
+        counts = df.groupBy(window.alias("w"), *keys).agg(F.count("*").alias("n"))
     return counts.select(
         F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys, "n",

@@ -75,6 +75,24 @@ def test_restart_and_upsert_log(spark, arrivals, tmp_path):
     assert rows(runs.latest_state(spark, log, keys), "k", "n") == [("a", 2), ("b", 1)]
 
 
+def test_folded_log_gives_the_same_state(spark, tmp_path):
+    log, folded = str(tmp_path / "log"), str(tmp_path / "folded")
+    for batch, data in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 5)]]):
+        spark.createDataFrame(data, "k STRING, n INT").write.parquet(f"{log}/batch={batch}")
+    runs.fold_state(spark, log, ["k"], folded)
+    want = [("a", 2), ("b", 1), ("c", 5)]
+    assert rows(runs.latest_state(spark, folded, ["k"]), "k", "n") == want == rows(runs.latest_state(spark, log, ["k"]), "k", "n")
+
+
+@pytest.mark.parametrize("size,slide", [("10 minutes", "5 minutes"), ("10 minutes", "4 minutes"), ("1 hour", "1 minute"), ("1 day", None)])
+def test_window_counts_equal_one_step_counts(spark, size, slide):
+    df = spark.range(500).select((F.col("id") % 3).alias("k"), F.timestamp_seconds(F.col("id") * 61).cast("timestamp_ntz").alias("ts"))
+    w = F.window("ts", size, slide) if slide else F.window("ts", size)
+    want = df.groupBy(w.alias("w"), "k").count().select(F.col("w.start").alias("s"), "k", F.col("count").alias("n"))
+    got = windows.window_counts(df, "ts", ["k"], size, slide)
+    assert rows(got, "window_start", "k", "n") == rows(want, "s", "k", "n")
+
+
 def test_dedup_keeps_one_of_many_copies(spark, arrivals, tmp_path):
     path = arrivals(*[("a", at(i % 7), 1 if i % 3 else i) for i in range(60)])
     stream = runs.table_stream(spark, path, spark.read.parquet(path).schema)
