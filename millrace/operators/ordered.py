@@ -111,13 +111,16 @@ def with_previous(o: Ordered, **columns: str) -> Ordered:
         F.max_by(payload, F.struct(*o.order)),
         lambda part, w: F.lag(part).over(w),
     )
-    df = o.df.withColumn("__prev", F.lag(payload).over(o.window()))
-    df = _attach(o, df, carry)
-    prev = F.coalesce(F.col("__prev"), F.col("__carry"))
-    out = df.withColumn("__prev", prev)
+    w = o.window()
+    # Lags of plain columns are cheaper than one of a struct; the flag tells a first
+    # row from one whose predecessor holds NULL.
+    lags = {f"__lag_{name}": F.lag(c).over(w) for name, c in columns.items()}
+    df = _attach(o, o.df.withColumns({**lags, "__first": F.lag(F.lit(True)).over(w).isNull()}), carry)
     for name in columns:
-        out = out.withColumn(name, F.col("__prev")[name])
-    return o.with_df(out.drop("__prev", "__carry"))
+        df = df.withColumn(
+            name, F.when(F.col("__first"), F.col("__carry")[name]).otherwise(F.col(f"__lag_{name}"))
+        )
+    return o.with_df(df.drop("__first", "__carry", *lags))
 
 
 def _with_running(o: Ordered, name: str, value: Column, agg, merge) -> Ordered:
