@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, mixing, secrets
+from millrace.llm import exact, mixing, packing, secrets
 from millrace.plans.registry import Query
 from millrace.tables import load
 
@@ -53,3 +53,16 @@ def blob_ledger(spark, sf):
 """)
 def salted_exact_dedup(spark, sf):
     return exact.groups(load(spark, sf, "documents", "doc_id", "text"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op9_swap_packing")
+def swap_packing(spark, sf):
+    parts = packing.pieces(load(spark, sf, "documents", "doc_id", "text"), tokenizer_path())
+    return packing.pack(parts).select(
+        "doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset")
