@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, mixing, packing, secrets
+from millrace.llm import exact, language, mixing, packing, secrets, simhash, toxicity
+from millrace.llm.common import crc_mod
 from millrace.plans.registry import Query
 from millrace.tables import load
 
@@ -66,3 +67,26 @@ def swap_packing(spark, sf):
     parts = packing.pieces(load(spark, sf, "documents", "doc_id", "text"), tokenizer_path())
     return packing.pack(parts).select(
         "doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op3_simhash_variants")
+def simhash_variants(spark, sf):
+    found = simhash.near_duplicates(load(spark, sf, "documents", "doc_id", "text"), shingle=4, bits=64, distance=4)
+    return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op8_ecoc_language")
+def ecoc_language(spark, sf):
+    docs = load(spark, sf, "documents", "doc_id", "text", "lang").withColumn("held_out", crc_mod("doc_id", 4) == 2)
+    model = language.train(docs.filter("NOT held_out"))
+    found = language.predict(docs, model)
+    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op10_kneser_ney_toxicity")
+def kneser_ney_toxicity(spark, sf):
+    docs = load(spark, sf, "documents", "doc_id", "text")
+    learn = docs.filter(crc_mod("doc_id", 5) != 0)
+    model = toxicity.train(toxicity.labelled(learn, load(spark, sf, "labels", "doc_id", "toxic")))
+    return toxicity.score(docs, model).select(
+        "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")

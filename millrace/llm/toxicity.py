@@ -3,8 +3,11 @@
 One word-bigram model learns from toxic texts, one from ordinary texts.  Words that
 are rare in a class fall back to continuation counts both classes share, so a rare
 word says nothing about the class; an expression that one class uses does.  The
-difference of the two log-likelihoods, divided by the length, is mapped to 0..1 by a
-logistic curve fitted on labelled texts the counts have not seen.
+log-likelihood ratio of the toxic expressions, divided by the length, is mapped to 0..1
+by a logistic curve fitted on labelled texts the counts have not seen.  Words below
+``Model.least`` count nothing: where the classes differ by little, they differ by
+their mix of languages and topics, and in a long text that would outweigh an insult.
+A pair counts once per text and equal texts count once, so copies do not make a word toxic.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ class Model:
     pairs: np.ndarray  # first * words + second
     extra: np.ndarray  # class x pair: discounted share of the pair
     curve: np.ndarray  # intercept, slopes
-    least: float = 2.0  # log factor below which the classes count as agreeing on a word
+    least: float = 2.5  # words less toxic than by this log factor count nothing
 
     def ratios(self, texts: list[str | None]) -> np.ndarray:
         """Two columns per text: log-likelihood ratio per word and per root of the words."""
@@ -58,7 +61,7 @@ class Model:
             hit = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
             p += np.where(self.pairs[hit] == key, self.extra[:, hit], 0.0)
         ratio = np.log(p[TOXIC]) - np.log(p[ORDINARY])
-        ratio[np.abs(ratio) < self.least] = 0.0
+        ratio[ratio < self.least] = 0.0
         upto = np.concatenate([[0.0], np.cumsum(ratio)])
         ends = np.cumsum(size)
         total = upto[ends] - upto[ends - size]
@@ -178,14 +181,15 @@ def train(rows: DataFrame, per_class: int = 4000) -> Model | None:
     share = {c: min(1.0, per_class / totals[c]) for c in totals}
     unit = F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(1 << 20)) / float(1 << 20)
     limit = F.when(F.col("toxic") == TOXIC, share[TOXIC]).otherwise(share[ORDINARY])
-    drawn = rows.filter(unit < limit).withColumn("fold", F.pmod(F.xxhash64(F.lit(4), "text"), F.lit(3)))
+    once = rows.filter(unit < limit).groupBy("text").agg(F.max("toxic").alias("toxic"))
+    drawn = once.withColumn("fold", F.pmod(F.xxhash64(F.lit(4), "text"), F.lit(3)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: Counter = Counter()
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = words(text)
-                grams.update((label, v, w) for v, w in zip((START, *own), own))
+                grams.update({(label, v, w) for v, w in zip((START, *own), own)})
         c, v, w = zip(*grams) if grams else ((), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()), pa.array(v, pa.binary()), pa.array(w, pa.binary()),
                                           pa.array(grams.values(), pa.int64())], names=["toxic", "v", "w", "n"])
