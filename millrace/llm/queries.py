@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, language, mixing, packing, secrets, simhash, toxicity
-from millrace.llm.common import crc_mod
+from millrace.llm import exact, fingerprints, language, mixing, packing, secrets, simhash, toxicity
+from millrace.llm.common import crc_mod, whole
 from millrace.plans.registry import Query
 from millrace.tables import load
 
@@ -90,3 +90,21 @@ def kneser_ney_toxicity(spark, sf):
     model = toxicity.train(toxicity.labelled(learn, load(spark, sf, "labels", "doc_id", "toxic")))
     return toxicity.score(docs, model).select(
         "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op6_one_permutation_minhash")
+def one_permutation_minhash(spark, sf):
+    rows = load(spark, sf, "documents", "doc_id", "text").select("doc_id", whole("text").alias("text"))
+    own = rows.withColumn("stored", fingerprints.fingerprint(F.col("text")))
+    pairs = fingerprints.with_next(own, "text", "stored")
+    size = F.char_length("text")
+    third = F.floor(size / 3).cast("int")
+    edited = F.concat(F.left("text", size - third), F.left("next_text", third))
+    pairs = pairs.select("doc_id", size.cast("long").alias("n_chars"), "stored", "next_stored", edited.alias("edited"))
+    pairs = pairs.select("doc_id", "n_chars", "stored", "next_stored", F.sha2("edited", 256).alias("edited_sha256"),
+                         fingerprints.fingerprint(F.col("edited")).alias("changed"))
+    return pairs.select(
+        "doc_id", "n_chars", "edited_sha256", fingerprints.packed(F.col("stored")).alias("fingerprint"),
+        fingerprints.packed(F.col("changed")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("stored"), F.col("changed")).alias("near_edited"),
+        fingerprints.likeness(F.col("stored"), F.col("next_stored")).alias("near_next"))
