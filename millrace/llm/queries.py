@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, fingerprints, language, mixing, packing, secrets, simhash, toxicity
+from millrace.llm import exact, fingerprints, language, mixing, packing, secrets, simhash, suffix_tree, toxicity
 from millrace.llm.common import crc_mod, whole
 from millrace.plans.registry import Query
 from millrace.tables import load
@@ -108,3 +108,11 @@ def one_permutation_minhash(spark, sf):
         fingerprints.packed(F.col("changed")).alias("edited_fingerprint"),
         fingerprints.likeness(F.col("stored"), F.col("changed")).alias("near_edited"),
         fingerprints.likeness(F.col("stored"), F.col("next_stored")).alias("near_next"))
+
+
+@query("op5_suffix_tree_scores")
+def suffix_tree_scores(spark, sf):
+    docs = load(spark, sf, "documents", "doc_id", "text")
+    fit = suffix_tree.train(docs.filter(crc_mod("doc_id", 7) != 2))
+    found = suffix_tree.score(docs, fit)
+    return found.withColumn("held_out", crc_mod("doc_id", 7) == 2)
