@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, fingerprints, language, mixing, packing, secrets, simhash, suffix_tree, toxicity
+from millrace.llm import exact, fingerprints, language, mixing, packing, repeats, secrets, simhash, suffix_tree, toxicity
 from millrace.llm.common import crc_mod, whole
 from millrace.plans.registry import Query
 from millrace.tables import load
@@ -116,3 +116,11 @@ def suffix_tree_scores(spark, sf):
     fit = suffix_tree.train(docs.filter(crc_mod("doc_id", 7) != 2))
     found = suffix_tree.score(docs, fit)
     return found.withColumn("held_out", crc_mod("doc_id", 7) == 2)
+
+
+@query("op2_column_wise_suffix_dedup")
+def column_wise_suffix_dedup(spark, sf):
+    found = repeats.find(load(spark, sf, "documents", "doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
