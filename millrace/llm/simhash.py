@@ -58,14 +58,18 @@ def fingerprint(text: str | None, shingle: int, bits: int = 64) -> bytes:
 
 def fingerprints(docs: DataFrame, shingle: int = 4, bits: int = 64, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (binary) of every row; null text has no words, ids may be null or repeat."""
+    """``doc_id, row, fp`` of every row: ``row`` hashes id and text, ``fp`` is binary.
+
+    Null text has no words; ids may be null or repeat.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    schema = StructType([rows.schema["doc_id"], StructField("fp", BinaryType())])
+    rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
+    schema = StructType([rows.schema["doc_id"], rows.schema["row"], StructField("fp", BinaryType())])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t.as_py(), shingle, bits) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps, pa.binary())], names=schema.names)
 
     return rows.mapInArrow(mark, schema)
 
@@ -249,25 +253,30 @@ def link(fps: DataFrame, bits: int, distance: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, bits: int = 128, distance: int = 19,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: ``doc_id, fp, component_id`` (smallest id reachable, itself included).
+    """One row per row: ``doc_id, fp, component_id, row, stays``.
 
-    Documents link when their fingerprints differ in at most ``distance`` bits.  The
-    defaults stand for a shingle similarity of 0.8: the angle of two documents that
-    share that much is expected to differ in 19 of 128 bits.  Equal fingerprints
+    Documents link when their fingerprints differ in at most ``distance`` bits;
+    ``component_id`` is the smallest id reachable, itself included, and ``stays`` marks
+    its row.  The defaults stand for a shingle similarity of 0.8: two documents that
+    share that much are expected to differ in 19 of 128 bits.  Equal fingerprints
     always link; texts without words share the zero fingerprint.  Null ids are larger
-    than all others; repeated rows each keep their row; an empty table stays empty.
+    than all others; repeated rows each keep their row and stay or go together; an
+    empty table stays empty; only id and text are read.
     """
     marked = write_through(fingerprints(docs, shingle, bits, id_col, text_col), "simhash")
     root = link(marked, bits, distance).select(F.col("node").alias("fp"), F.col("root").alias("_root"))
-    by_fp = marked.groupBy("fp").agg(F.min("doc_id").alias("_least"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    by_fp = marked.groupBy("fp").agg(F.min(first).alias("_least"))
     by_fp = lookup(by_fp, root, "fp").withColumn("_root", F.coalesce("_root", "fp"))
-    by_root = by_fp.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    return lookup(marked, lookup(by_fp, by_root, "_root").select("fp", "component_id"), "fp") \
-        .select("doc_id", "fp", "component_id")
+    by_root = by_fp.groupBy("_root").agg(F.min("_least").alias("_first"))
+    firsts = lookup(by_fp, by_root, "_root").select(
+        "fp", F.col("_first.doc_id").alias("component_id"), F.col("_first.row").alias("_row"))
+    return lookup(marked, firsts, "fp").select(
+        "doc_id", "fp", "component_id", "row", (F.col("row") == F.col("_row")).alias("stays"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` of which no linked one has a smaller id; all their columns."""
+    """The rows of ``docs`` that stay, one document of each group, with all their columns."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
+    gone = found.filter("NOT stays").select(F.col("row").alias("_gone")).distinct()
+    return docs.join(gone, F.xxhash64(id_col, text_col) == F.col("_gone"), "left_anti")
