@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.session import write_through
@@ -30,11 +30,6 @@ def crc_mod(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % modulus
 
 
-def same(left: DataFrame, right: DataFrame, *keys: str) -> Column:
-    """Null-safe equality on ``keys`` of both sides."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def lookup(rows: DataFrame, table: DataFrame, *keys: str) -> DataFrame:
     """Left join on null-safe ``keys``; ``table`` has one row per key and its keys go."""
     other = table.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
@@ -43,8 +38,16 @@ def lookup(rows: DataFrame, table: DataFrame, *keys: str) -> DataFrame:
     return rows.join(other, on, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
-__all__ = ["WORD", "whole", "lower_az", "crc_mod", "same", "lookup", "width", "write_through"]
+__all__ = ["WORD", "whole", "lower_az", "crc_mod", "lookup", "unused", "write_through"]

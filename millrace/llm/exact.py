@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import lower_az, whole, write_through
+from millrace.llm.common import lower_az, unused, whole, write_through
 
 
 def sha256_hex(text: Column) -> Column:
@@ -68,14 +68,15 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    digest, keep_digest, keep_id = unused(docs, "_digest", "_keep_digest", "_keep_id")
     rows = _rows(docs, id_col, text_col, sha256_hex)
     found = write_through(combine(rows, salts).select(
-        F.col("_digest").alias("_keep_digest"), F.col("keep_id").alias("_keep_id")), "exact")
-    marked = docs.withColumn("_digest", sha256_hex(lower_az(whole(text_col))))
-    kept = marked.join(found, (F.col("_digest") == F.col("_keep_digest"))
-                       & F.col(id_col).eqNullSafe(F.col("_keep_id")), "left_semi")
+        F.col("_digest").alias(keep_digest), F.col("keep_id").alias(keep_id)), "exact")
+    marked = docs.withColumn(digest, sha256_hex(lower_az(whole(text_col))))
+    kept = marked.join(found, (F.col(digest) == F.col(keep_digest))
+                       & F.col(id_col).eqNullSafe(F.col(keep_id)), "left_semi")
     # Only a table that repeats a row in id and text needs another look at its rows.
     repeated = rows.groupBy("_id", "_digest").agg(F.count("*").alias("_n")).filter("_n > 1")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates([id_col, "_digest"])
-    return kept.drop("_digest")
+        kept = kept.dropDuplicates([id_col, digest])
+    return kept.drop(digest)

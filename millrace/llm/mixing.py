@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, lookup, whole, write_through
+from millrace.llm.common import WORD, lookup, unused, whole, write_through
 from millrace.operators.ordered import dense_ids
 
 BINS = 4096
@@ -111,17 +111,20 @@ def apply(docs: DataFrame, **options) -> DataFrame:
 
     Documents whose rows agree in id, source and size share their copies' number per row.
     """
-    from_id, from_source = options.get("id_col", "doc_id"), options.get("source_col", "source")
+    own_id, own_source, text = (options.get(k, d) for k, d in (
+        ("id_col", "doc_id"), ("source_col", "source"), ("text_col", "text")))
+    p_id, p_source, p_size, copies, rows, size, each, copy = unused(
+        docs, "_p_id", "_p_source", "_p_size", "_copies", "_rows", "_size", "_each", "_copy")
     plan = mix(docs, **options).groupBy("doc_id", "source", "size").agg(
-        F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    plan = plan.select(F.col("doc_id").alias("_p_id"), F.col("source").alias("_p_source"),
-                       F.col("size").alias("_p_size"), "_copies", "_rows")
-    sized = docs.withColumn("_size", F.regexp_count(whole(options.get("text_col", "text")), F.lit(WORD)).cast("long"))
-    out = sized.join(plan, F.col(from_id).eqNullSafe(F.col("_p_id"))
-                     & F.col(from_source).eqNullSafe(F.col("_p_source")) & (F.col("_size") == F.col("_p_size")))
+        F.sum("copies").alias("_sum"), F.count("*").alias("_many"))
+    plan = plan.select(*[F.col(a).alias(b) for a, b in (
+        ("doc_id", p_id), ("source", p_source), ("size", p_size), ("_sum", copies), ("_many", rows))])
+    sized = docs.withColumn(size, F.regexp_count(whole(text), F.lit(WORD)).cast("long"))
+    out = sized.join(plan, F.col(own_id).eqNullSafe(F.col(p_id))
+                     & F.col(own_source).eqNullSafe(F.col(p_source)) & (F.col(size) == F.col(p_size)))
     # Rows that repeat id, source and size split their copies evenly, the odd ones by the text's hash.
-    each = F.floor(F.col("_copies") / F.col("_rows"))
-    odd = F.when(F.col("_rows") > 1, F.pmod(F.xxhash64(whole(options.get("text_col", "text"))), F.col("_rows"))
-                 < F.col("_copies") - each * F.col("_rows")).otherwise(False)
-    times = (each + odd.cast("long")).cast("int")
-    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
+    out = out.withColumn(each, F.floor(F.col(copies) / F.col(rows)))
+    odd = F.when(F.col(rows) > 1, F.pmod(F.xxhash64(whole(text)), F.col(rows))
+                 < F.col(copies) - F.col(each) * F.col(rows)).otherwise(False)
+    times = (F.col(each) + odd.cast("long")).cast("int")
+    return out.withColumn(copy, F.explode(F.array_repeat(F.lit(0), times))).select(*[F.col(f"`{c}`") for c in docs.columns])

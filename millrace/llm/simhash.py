@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from millrace.llm.common import lookup, write_through
+from millrace.llm.common import lookup, unused, write_through
 from millrace.llm.components import components
 
 AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -278,5 +278,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, bits: int = 128, distance
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay, one document of each group, with all their columns."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    gone = found.filter("NOT stays").select(F.col("row").alias("_gone")).distinct()
-    return docs.join(gone, F.xxhash64(id_col, text_col) == F.col("_gone"), "left_anti")
+    name, = unused(docs, "_gone")
+    gone = found.filter("NOT stays").select(F.col("row").alias(name)).distinct()
+    return docs.join(gone, F.xxhash64(id_col, text_col) == F.col(name), "left_anti")
