@@ -86,8 +86,8 @@ def ecoc_language(spark, sf):
 @query("op10_kneser_ney_toxicity")
 def kneser_ney_toxicity(spark, sf):
     docs = load(spark, sf, "documents", "doc_id", "text")
-    learn = docs.filter(crc_mod("doc_id", 5) != 0)
-    model = toxicity.train(toxicity.labelled(learn, load(spark, sf, "labels", "doc_id", "toxic")))
+    labels = load(spark, sf, "labels", "doc_id", "toxic").filter(crc_mod("doc_id", 5) != 0)
+    model = toxicity.train(docs, labels)
     return toxicity.score(docs, model).select(
         "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.llm.common import write_through
+
 TOXIC, ORDINARY = 1, 0
 START, STEM, HEAD = b"\x00", b"\x01", 6  # marks that are no word; bytes of a word's beginning
 # Letters, digits and all non-ASCII bytes make words; A-Z are lower-cased.
@@ -159,30 +161,31 @@ def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 50,
     return np.concatenate([[beta[0]], beta[1:] / spread])
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             label_col: str = "toxic") -> DataFrame:
-    """``text, toxic`` of documents with a 0/1 label; rows with a null are left out."""
-    marks = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("toxic")).filter("toxic IN (0, 1)") \
-        .groupBy("_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
-    return rows.join(marks, "_id").select("text", "toxic")
-
-
-def train(rows: DataFrame, per_class: int = 4000) -> Model | None:
-    """Fit on about ``per_class`` labelled rows of each class (the documented bound).
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, id_col: str = "doc_id", text_col: str = "text",
+          label_col: str = "toxic") -> Model | None:
+    """Fit on about ``per_class`` labelled documents of each class (the documented bound).
 
-    Two thirds of them are counted, the rest fit the curve, weighted back to the
-    classes' true shares.  A row is drawn by the hash of its text.  None if a class has
-    fewer than two rows: then nothing is known and ``score`` says so.
+    They are drawn from the labels by the hash of the id, so the sample is known before
+    a text is read: at most about twice ``per_class`` ids are broadcast and no text but
+    the sample's moves.  Labels other than 0 and 1 and null ids and texts teach nothing;
+    of several labels the toxic one counts.  Two thirds of the sample are counted, the
+    rest fit the curve, weighted back to the classes' true shares.  None if a class has
+    fewer than two labels: then nothing is known and ``score`` says so.
     """
-    totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    marks = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("toxic")) \
+        .filter("_id IS NOT NULL AND toxic IN (0, 1)").groupBy("_id").agg(F.max("toxic").alias("toxic"))
+    totals = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if min(totals.get(TOXIC, 0), totals.get(ORDINARY, 0)) < 2:
         return None
     share = {c: min(1.0, per_class / totals[c]) for c in totals}
-    unit = F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(1 << 20)) / float(1 << 20)
+    unit = F.pmod(F.xxhash64(F.lit(3), "_id"), F.lit(1 << 20)) / float(1 << 20)
     limit = F.when(F.col("toxic") == TOXIC, share[TOXIC]).otherwise(share[ORDINARY])
-    once = rows.filter(unit < limit).groupBy("text").agg(F.max("toxic").alias("toxic"))
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
+    rows = texts.join(F.broadcast(marks.filter(unit < limit)), F.col("_doc") == F.col("_id"))
+    once = write_through(rows.groupBy("text").agg(F.max("toxic").alias("toxic")), "toxic-sample")
     drawn = once.withColumn("fold", F.pmod(F.xxhash64(F.lit(4), "text"), F.lit(3)))
+    if once.isEmpty():
+        return None
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: Counter = Counter()
@@ -201,7 +204,7 @@ def train(rows: DataFrame, per_class: int = 4000) -> Model | None:
         grams[c][v, w] = n
     del table
     model = estimate(grams)
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
