@@ -16,19 +16,41 @@ def scalar(df: DataFrame, value: Column) -> Column:
     return F.lit(text).cast(out.schema["v"].dataType)
 
 
-def epoch_parts(ms: Column) -> dict[str, Column]:
-    """UTC timestamp and its zero-padded parts from epoch milliseconds."""
-    ts = F.timestamp_millis(ms)
+def utc_from_micros(us: Column) -> Column:
+    """UTC timestamp without zone from epoch microseconds, whatever the session's zone."""
+    seconds = (us.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
+def utc_millis(ts: Column) -> Column:
+    """Epoch milliseconds of a timestamp without zone read as UTC, rounded down."""
+    millis = F.floor(F.expr("1000") * F.extract(F.lit("SECOND"), ts)).cast("bigint")
+    minutes = (F.unix_date(ts.cast("date")).cast("bigint") * 24 + F.hour(ts)) * 60 + F.minute(ts)
+    return minutes * 60_000 + millis
+
+
+def time_parts(ts: Column) -> dict[str, Column]:
+    """Zero-padded year, month, day and hour of a timestamp without zone."""
     return {
-        "ts": ts.cast("timestamp_ntz"),
-        "year": F.date_format(ts, "yyyy"), "month": F.date_format(ts, "MM"),
-        "day": F.date_format(ts, "dd"), "hour": F.date_format(ts, "HH"),
+        name: F.lpad(part(ts).cast("string"), size, "0")
+        for name, part, size in (("year", F.year, 4), ("month", F.month, 2), ("day", F.day, 2), ("hour", F.hour, 2))
     }
 
 
+def epoch_parts(ms: Column) -> dict[str, Column]:
+    """UTC timestamp and its zero-padded parts from epoch milliseconds."""
+    ts = utc_from_micros(ms * 1000)
+    return {"ts": ts, **time_parts(ts)}
+
+
 def parse_iso(text: Column) -> Column:
-    """ISO-8601 text to a timestamp without zone; NULL when it is not one."""
-    return F.try_to_timestamp(text).cast("timestamp_ntz")
+    """ISO-8601 text to a timestamp without zone; NULL when it is not one.
+
+    With a zone or ``Z`` it is taken to UTC, without one it stands as written.
+    """
+    zoned = text.rlike(r"(Z|[+-]\d\d:?\d\d)$") & text.contains(":")
+    return F.when(zoned, utc_from_micros(F.unix_micros(F.try_to_timestamp(text)))).otherwise(
+        text.try_cast("timestamp_ntz"))
 
 
 def wildcard(text: Column, pattern: str) -> Column:

@@ -18,8 +18,8 @@ def join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` is proven to hold at most ``rows`` rows (counting stops there)."""
-    return df.limit(rows + 1).count() <= rows
+    """True when ``df`` is proven to hold at most ``rows`` rows: a count summed up from all tasks."""
+    return df.count() <= rows
 
 
 def broadcast_join(left: DataFrame, right: DataFrame, on, how: str = "inner",

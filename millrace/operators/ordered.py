@@ -12,9 +12,10 @@ size of the data.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from millrace.session import shuffle_width, write_through
@@ -44,13 +45,19 @@ def large_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
     """Keys above ``share`` of the rows, in columns ``_k0, _k1, ...``.
 
     There are at most ``1 / share`` of them, so they are fetched and come back as a
-    local table: using it often does not count the keys again.
+    local table: using it often does not count the keys again.  The total is observed
+    while the keys are counted, so ``df`` is read once.
     """
-    total = df.count()
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    if not 0 < share <= 1:
+        raise ValueError("share must be above 0 and at most 1")
+    seen = Observation()
+    counts = df.observe(seen, F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(F.count("*").alias("_n"))
     names = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    large = counts.filter(F.col("_n") > total * share).select(*names)
-    return df.sparkSession.createDataFrame(large.collect(), large.schema)
+    top = counts.orderBy(F.desc("_n")).limit(math.ceil(1 / share)).select(*names, "_n")
+    rows = top.collect()
+    least = seen.get["n"] * share
+    schema = top.drop("_n").schema
+    return df.sparkSession.createDataFrame([r[:-1] for r in rows if r["_n"] > least], schema)
 
 
 def ordered(df: DataFrame, keys: list[str], order: list[str],
@@ -60,8 +67,8 @@ def ordered(df: DataFrame, keys: list[str], order: list[str],
     Keys above ``share`` of the rows (all rows when there are no keys) are spread
     over ``chunks``; the others stay whole in chunk 0.  The spread rows are written
     to the shared folder: range borders come from a sample, so chunk numbers have
-    to be fixed before they are used twice.  ``df`` is read up to four times (total,
-    key counts, small keys, large keys): write a costly one through before.
+    to be fixed before they are used twice.  ``df`` is read up to three times (key
+    counts, small keys, large keys): write a costly one through before.
     """
     n = chunks or shuffle_width(df.sparkSession)
 

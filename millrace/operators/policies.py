@@ -37,7 +37,8 @@ def decide(requests: DataFrame, memberships: DataFrame, resource_tags: DataFrame
     Tag policies are turned into resource policies first, so a deny wins whichever
     side it comes from.  Order: deny, its exception, allow, its exception (which
     denies), default.  Every distinct request is decided once, so a user who
-    repeats a request a billion times costs one decision.
+    repeats a request a billion times costs one decision.  No rule matches a NULL, so
+    a request with one gets the default.
     """
     by_tag = policies.filter("kind = 'tag'").join(
         resource_tags, policies["name"] == resource_tags["tag"]
@@ -60,7 +61,9 @@ def decide(requests: DataFrame, memberships: DataFrame, resource_tags: DataFrame
         .when(F.col("allow"), "ALLOW")
         .otherwise(default)
     )
-    return requests.join(flags.select(*key, decision.alias("decision")), key)
+    found = flags.select(*[F.col(k).alias(f"_{k}") for k in key], decision.alias("decision"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
+    return requests.join(found, same).drop(*[f"_{k}" for k in key])
 
 
 def audit_counts(decisions: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,10 +74,14 @@ def reconcile(src: DataFrame, dst: DataFrame, by: list[str]) -> DataFrame:
 
 
 def first_copy(df: DataFrame, ids: list[str], arrival: str) -> DataFrame:
-    """One row per id, the first to arrive.  Copies are reduced before the shuffle."""
+    """One row per id, the first to arrive.  Copies are reduced before the shuffle.
+
+    A row without an id is nobody's copy and stays.
+    """
     rest = [c for c in df.columns if c not in ids]
-    first = df.groupBy(*ids).agg(F.min_by(F.struct(*rest), F.col(arrival)).alias("_first"))
-    return first.select(*ids, "_first.*")
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ids])
+    first = df.filter(known).groupBy(*ids).agg(F.min_by(F.struct(*rest), F.col(arrival)).alias("_first"))
+    return first.select(*ids, "_first.*").unionByName(df.filter(~known))
 
 
 def route_by_volume(df: DataFrame, by: str, threshold: int) -> DataFrame:

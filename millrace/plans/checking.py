@@ -106,7 +106,7 @@ def bronze_to_parquet(spark, sf):
     typed = good.withColumn("timestamp", scalars.parse_iso(F.col("timestamp"))).filter("timestamp IS NOT NULL")
     path = scratch_path(spark, "silver")
     sinks.write_hourly(
-        typed.withColumn("ms", F.unix_millis(F.col("timestamp").cast("timestamp"))), "ms", path
+        typed.withColumn("ms", scalars.utc_millis(F.col("timestamp"))), "ms", path
     )
     back = sinks.read_hourly(spark, path)
     return back.groupBy(F.concat_ws("-", "year", "month", "day").alias("day")).agg(

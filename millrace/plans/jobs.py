@@ -64,7 +64,7 @@ def pi_sampling(spark, sf):
 """)
 def payments_dashboard(spark, sf):
     customer = load(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey").select(
-        "c_custkey", mask_hash(F.substring("c_name", 10, 100)).alias("card_hash"), "c_nationkey"
+        "c_custkey", mask_hash(F.expr("substring(c_name, 10)")).alias("card_hash"), "c_nationkey"
     )
     clean = load(spark, sf, "orders", "o_custkey", "o_totalprice").join(
         customer, F.expr("o_custkey = c_custkey")

@@ -40,7 +40,7 @@ def fn_math(spark, sf):
 """)
 def fn_epoch_parts(spark, sf):
     events = load(spark, sf, "events", "event_id", "ts")
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ms = scalars.utc_millis(F.col("ts"))
     return events.select("event_id", *[c.alias(n) for n, c in scalars.epoch_parts(ms).items()])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions import scalars
 from millrace.plans.registry import query
 from millrace.session import scratch_name, scratch_path
 from millrace.sources import files, sinks
@@ -20,7 +21,7 @@ def sink_hourly_partitions(spark, sf):
     path = scratch_path(spark, "hourly")
     events = load(spark, sf, "events", "event_id", "ts", "event_type").withColumn(
         "timestamp_ms",
-        F.when(F.col("event_id") % 50 != 0, F.unix_millis(F.col("ts").cast("timestamp"))),
+        F.when(F.col("event_id") % 50 != 0, scalars.utc_millis(F.col("ts"))),
     )
     sinks.write_hourly(events, "timestamp_ms", path, default_ms=1_706_745_600_000)
     return sinks.read_hourly(spark, path).groupBy(*sinks.HOUR).agg(F.count("*").alias("n"))
@@ -63,17 +64,17 @@ def sink_orc_partitioned(spark, sf):
 
 @query("dynamic_partition_insert", """
     SELECT status, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM (
-      SELECT o_orderstatus AS status, o_totalprice FROM orders WHERE o_orderstatus <> 'F'
-      UNION ALL SELECT 'late', o_totalprice FROM orders
-      WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1996-01-01')
+      SELECT CASE WHEN o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1996-01-01' THEN 'late' ELSE o_orderstatus END AS status,
+             o_totalprice FROM orders)
     GROUP BY status
 """)
 def dynamic_partition_insert(spark, sf):
     path = scratch_path(spark, "by-status")
     orders = load(spark, sf, "orders", "o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus")
-    plain = orders.select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("status"))
-    sinks.replace_partitions(plain.filter("status <> 'F'"), path, ["status"])
-    late = orders.filter("o_orderstatus = 'F' AND o_orderdate < TIMESTAMP_NTZ'1996-01-01'")
+    is_late = F.expr("o_orderstatus = 'F' AND o_orderdate < TIMESTAMP_NTZ'1996-01-01'")
+    plain = orders.filter(~is_late).select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("status"))
+    sinks.replace_partitions(plain, path, ["status"])
+    late = orders.filter(is_late)
     sinks.insert_static(late.select("o_orderkey", "o_totalprice"), path, status="late")
     return files.partitioned(spark, path).groupBy("status").agg(
         F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
@@ -87,7 +88,7 @@ def dynamic_partition_insert(spark, sf):
 def insert_overwrite_reload(spark, sf):
     name = scratch_name("reload")
     customer = load(spark, sf, "customer", "c_custkey", "c_name")
-    first = customer.filter("c_custkey % 3 = 0")
+    first = customer.filter("c_custkey % 3 <> 1")
     sinks.create_table_as(first, name, scratch_path(spark, name))
     customer.filter("c_custkey % 3 = 1").write.mode("overwrite").insertInto(name, overwrite=True)
     spark.sql(f"INSERT INTO {name} VALUES (CAST(-1 AS BIGINT), 'appended')")
@@ -125,9 +126,8 @@ def idempotent_date_load(spark, sf):
 @query("compact_small_files", "SELECT event_id, user_id, event_type, value FROM events")
 def compact_small_files(spark, sf):
     events = load(spark, sf, "events", "event_id", "user_id", "event_type", "value")
-    path = sinks.many_small_files(events, 200, "landing")
-    if sinks.needs_compaction(spark, path):
-        path = sinks.compact(spark, path, scratch_path(spark, "compacted"))
+    path = sinks.many_small_files(events, 500, "landing")
+    sinks.compact(spark, path)
     return spark.read.parquet(path)
 
 

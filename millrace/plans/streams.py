@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions import scalars
 from millrace.operators import joins
 from millrace.plans.registry import query
 from millrace.session import ROCKSDB_PROVIDER, scratch_path, settings
@@ -93,7 +94,7 @@ def late_data_report(spark, sf):
     for path in _landing(spark, events, *arrivals):
         stream = runs.table_stream(spark, path, events.schema)
         counts = windows.window_counts(stream, "ts", ["event_type"], "10 minutes", None, "10 minutes")
-        dropped.append(runs.dropped_late(runs.finish(runs.to_parquet(counts, sink, cp))))
+        dropped.append(runs.dropped_late(runs.to_parquet(counts, sink, cp)))
     kept = spark.read.parquet(sink).agg(F.sum("n").alias("kept"), F.count("*").alias("n_windows"))
     return kept.withColumn("late_dropped", F.lit(dropped[:2] == [0, 0] and dropped[2] > 0))
 
@@ -184,9 +185,9 @@ def stream_upsert_sink(spark, sf):
            strftime(ts, '%H') AS hour, count(*) AS n FROM events GROUP BY ALL
 """)
 def stream_hourly_ingest(spark, sf):
-    events = _stream(spark, sf).withColumn("timestamp_ms", F.unix_millis(F.col("ts").cast("timestamp")))
+    events = _stream(spark, sf).withColumn("timestamp_ms", scalars.utc_millis(F.col("ts")))
     path = scratch_path(spark, "ingest")
-    runs.finish(runs.hourly_ingest(events, "timestamp_ms", path, scratch_path(spark, "cp"), every=None))
+    runs.finish(runs.hourly_ingest(events, "timestamp_ms", path, scratch_path(spark, "cp"), default_ms=None, every=None))
     return sinks.read_hourly(spark, path).groupBy(*sinks.HOUR).agg(F.count("*").alias("n"))
 
 

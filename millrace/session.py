@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -42,24 +41,12 @@ def session(app: str = "millrace", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
-_local_root: list[str] = []
-
-
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach.
+    """The folder all executors can reach: ``spark.checkpoint.dir``, else the warehouse.
 
-    It is ``spark.checkpoint.dir``.  Only a local master may go without that
-    setting; a cluster without it is a configuration error, since a folder on
-    one machine would be lost with it.
+    Both are shared on a cluster; a folder of one machine would be lost with it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if not _local_root:
-        _local_root.append(tempfile.mkdtemp(prefix="millrace-"))
-    return _local_root[0]
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

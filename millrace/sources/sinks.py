@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import scalar
-from millrace.session import scratch_path, settings, shuffle_width
+from millrace.functions.scalars import epoch_parts, scalar
+from millrace.session import scratch_path, settings
 from millrace.sources.files import MICROS
 
 MB = 1024 * 1024
@@ -62,27 +62,25 @@ def gzip_text(lines: DataFrame, path: str, part: str) -> None:
 
 # ---------------------------------------------------------------- hourly layout
 
-def hour_columns(ts: Column) -> list[Column]:
-    """UTC year, month, day and hour as zero-padded text."""
-    return [
-        F.date_format(ts, pattern).alias(name)
-        for name, pattern in (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"))
-    ]
+def hour_columns(ms: Column) -> list[Column]:
+    """UTC year, month, day and hour of epoch milliseconds as zero-padded text."""
+    return [part.alias(name) for name, part in epoch_parts(ms).items() if name in HOUR]
 
 
 HOUR = ["year", "month", "day", "hour"]
 
 
 def write_hourly(df: DataFrame, ts_ms: str, path: str, default_ms: int | None = None,
-                 mode: str = "overwrite") -> None:
+                 mode: str = "overwrite", file_rows: int = 0) -> None:
     """Snappy Parquet in ``year=/month=/day=/hour=`` directories from epoch milliseconds.
 
-    A row without a time goes to ``default_ms``.  The rebalance step gives each
-    hour as many files as its size asks for, so a busy hour is not one task.
+    A row without a time goes to ``default_ms``; without that to the default partition.
+    No file holds more than ``file_rows`` rows (0: any number).  The rebalance step
+    gives each hour as many files as its size asks for, so a busy hour is not one task.
     """
     ms = F.coalesce(F.col(ts_ms), F.lit(default_ms).cast("bigint"))
-    out = df.select("*", *hour_columns(F.timestamp_millis(ms)))
-    parquet(out.hint("rebalance", *HOUR), path, HOUR, mode)
+    out = df.select("*", *hour_columns(ms))
+    parquet(out.hint("rebalance", *HOUR), path, HOUR, mode, maxRecordsPerFile=str(file_rows))
 
 
 def read_hourly(spark: SparkSession, path: str) -> DataFrame:
@@ -131,29 +129,42 @@ def file_sizes(spark: SparkSession, path: str, pattern: str = "*.parquet") -> Da
     )
 
 
-def needs_compaction(spark: SparkSession, path: str, small: int = SMALL_FILE) -> bool:
-    """True when the average file is below ``small`` bytes and a directory has several."""
-    row = (
-        file_sizes(spark, path).groupBy("dir")
-        .agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
-        .agg(F.max("n").alias("most"), (F.sum("bytes") / F.sum("n")).alias("average"))
-        .first()
-    )
-    return row["most"] is not None and row["most"] > 1 and row["average"] < small
+def needs_compaction(spark: SparkSession, path: str, small: int = SMALL_FILE) -> DataFrame:
+    """Directories with several files whose average size is below ``small`` bytes: ``dir, n, bytes``."""
+    return file_sizes(spark, path).groupBy("dir").agg(
+        F.count("*").alias("n"), F.sum("bytes").alias("bytes")
+    ).filter((F.col("n") > 1) & (F.col("bytes") < F.col("n") * small))
 
 
-def compact(spark: SparkSession, path: str, target: str, by: list[str] | None = None,
-            target_bytes: int = TARGET_FILE) -> str:
-    """Rewrite small files to about ``target_bytes`` each into ``target``.
+def compact(spark: SparkSession, path: str, small: int = SMALL_FILE, target_bytes: int = TARGET_FILE) -> list[str]:
+    """Rewrite the directories that need it, each to files of about ``target_bytes``; returns them.
 
-    AQE measures the shuffled data, joins small partitions and splits large ones,
-    so every directory gets a fitting file count without a size table.
+    Every directory is judged by itself and others stay untouched.  The rewrite goes
+    to a scratch folder first: AQE measures the shuffled data and fits the file count
+    of each directory.  Then the new directories are renamed into place, so a failed
+    run leaves the table as it was.  Directory names keep their text (``month=01``).
+    Only names travel to the driver.
     """
-    by = by or []
-    df = spark.read.parquet(path)
+    dirs = sorted(r["dir"] for r in needs_compaction(spark, path, small).select("dir").collect())
+    if not dirs:
+        return []
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    base = fs.makeQualified(hadoop(path)).toString().rstrip("/")
+    inner = {d: fs.makeQualified(hadoop(d)).toString().removeprefix(base).strip("/") for d in dirs}
+    with settings(spark, spark__sql__sources__partitionColumnTypeInference__enabled="false"):
+        rows = spark.read.option("basePath", base).parquet(*dirs)
+    by = [part.split("=", 1)[0] for part in inner[dirs[0]].split("/") if part]
+    staged = scratch_path(spark, "compact")
     with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_bytes)):
-        parquet(df.hint("rebalance", *by) if by else df.hint("rebalance"), target, by)
-    return target
+        parquet(rows.hint("rebalance", *by) if by else rows.hint("rebalance"), staged, by)
+    for part in inner.values():
+        old, new = hadoop(f"{base}/{part}" if part else base), hadoop(f"{staged}/{part}" if part else staged)
+        aside = hadoop(f"{staged}-replaced/{part or 'all'}")
+        fs.mkdirs(aside.getParent())
+        if not (fs.rename(old, aside) and fs.rename(new, old)):
+            raise OSError(f"cannot move {new} to {old}; its former files are in {aside}")
+    return dirs
 
 
 def keep_recent(df: DataFrame, ts: str, days: int) -> DataFrame:
@@ -162,8 +173,8 @@ def keep_recent(df: DataFrame, ts: str, days: int) -> DataFrame:
     return df.filter(F.col(ts) >= newest - F.expr(f"INTERVAL {days} DAYS"))
 
 
-def many_small_files(df: DataFrame, files: int, label: str) -> str:
-    """Write ``df`` as at least that many files, as a busy landing zone would."""
+def many_small_files(df: DataFrame, rows: int, label: str) -> str:
+    """Write ``df`` in files of at most ``rows`` rows, as a busy landing zone would."""
     path = scratch_path(df.sparkSession, label)
-    df.repartition(max(files, shuffle_width(df.sparkSession))).write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows).parquet(path)
     return path

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.changes import last_change
 from millrace.operators.joins import salted_join
+from millrace.session import scratch_path
 from millrace.sources import sinks
 
 
@@ -93,19 +94,38 @@ def latest_state(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return last_change(log, keys).drop("write_id")
 
 
-def fold_state(spark: SparkSession, path: str, keys: list[str], target: str) -> str:
-    """Compact an upsert log: its current rows become the one batch of a new log."""
-    newest = spark.read.option("basePath", path).parquet(path).agg(F.max("batch")).first()[0]
-    latest_state(spark, path, keys).write.parquet(f"{target}/batch={newest}")
-    return target
-
+def fold_state(spark: SparkSession, path: str, keys: list[str]) -> int:
+    """Compact an upsert log in place: its current rows become its newest batch; the batch's number.
 
-def hourly_ingest(df: DataFrame, ts_ms: str, path: str, checkpoint: str,
-                  every: str | None = "10 seconds") -> StreamingQuery:
-    """Micro-batches into hourly partitions; offsets are committed after the write."""
+    The fold is written aside and renamed over the newest batch, and only then older
+    ones go, so a reader or a failed fold always finds every key's current row.  Fold
+    between runs of the stream, which then goes on with the next batch number.
+    """
+    newest = spark.read.option("basePath", path).parquet(path).agg(F.max("batch")).first()[0]
+    aside = scratch_path(spark, "fold")
+    latest_state(spark, path, keys).write.parquet(aside)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    older = [f.getPath() for f in fs.listStatus(hadoop(path)) if f.getPath().getName().startswith("batch=")]
+    last = hadoop(f"{path}/batch={newest}")
+    if not (fs.delete(last, True) and fs.rename(hadoop(aside), last)):
+        raise OSError(f"cannot move {aside} to {last}")
+    for old in older:
+        if old.getName() != last.getName():
+            fs.delete(old, True)
+    return newest
+
+
+def hourly_ingest(df: DataFrame, ts_ms: str, path: str, checkpoint: str, default_ms: int | None,
+                  every: str | None = "10 seconds", file_rows: int = 1000) -> StreamingQuery:
+    """Micro-batches into hourly partitions; offsets are committed after the write.
+
+    A file is flushed at ``file_rows`` rows.  Rows without a time go to the hour of
+    ``default_ms``; with None they stay apart in the default partition.
+    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        sinks.write_hourly(batch, ts_ms, f"{path}/batch={batch_id}", default_ms=0)
+        sinks.write_hourly(batch, ts_ms, f"{path}/batch={batch_id}", default_ms, file_rows=file_rows)
 
     return (
         df.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
@@ -119,10 +139,18 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def dropped_late(query: StreamingQuery) -> int:
-    """Rows the watermark has dropped so far in this run."""
-    return sum(
-        op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for op in (progress["stateOperators"] if isinstance(progress, dict) else progress.stateOperators)
-    )
+def dropped_late(query: StreamingQuery, every: float = 0.5) -> int:
+    """Wait for an ``availableNow`` run to end; the rows its watermark dropped.
+
+    A query remembers its last progress reports only, so they are gathered by batch
+    while it runs; a batch whose report was missed is an error and not a zero.
+    """
+    seen: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(every)
+        for progress in query.recentProgress:
+            seen[progress["batchId"]] = sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
+    if seen and len(seen) != max(seen) - min(seen) + 1:
+        raise RuntimeError("progress reports were lost: raise spark.sql.streaming.numRecentProgressUpdates")
+    return sum(seen.values())

@@ -33,9 +33,9 @@ def _local_spans(key: str, gap_us: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = batch.dropna().sort_values([key, "_us"])
-            fresh = (rows["_us"] - rows.groupby(key)["_us"].shift()).fillna(gap_us) >= gap_us
-            spans = rows.groupby([key, fresh.cumsum().rename("_s")])["_us"].agg(["min", "max", "count"])
+            rows = batch.dropna(subset=["_us"]).sort_values([key, "_us"])
+            fresh = (rows["_us"] - rows.groupby(key, dropna=False)["_us"].shift()).fillna(gap_us) >= gap_us
+            spans = rows.groupby([key, fresh.cumsum().rename("_s")], dropna=False)["_us"].agg(["min", "max", "count"])
             spans = spans.reset_index(level=key).reset_index(drop=True)
             yield pd.DataFrame({
                 key: spans[key], "start_us": spans["min"], "end_us": spans["max"] + gap_us,
@@ -97,30 +97,33 @@ class Sessions(StatefulProcessor):
 
     def _frame(self, key, spans) -> pd.DataFrame:
         # Plain object strings: the state serializer takes no chunked Arrow strings.
-        kind = object if isinstance(key[0], str) else None
         return pd.DataFrame({
-            self.key: pd.Series([key[0]] * len(spans), dtype=kind),
+            self.key: pd.Series([key[0]] * len(spans), dtype=object),
             **{name: [s[i] for s in spans] for i, name in enumerate(("start_us", "end_us", "n"))},
         })
 
 
 def custom_sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, delay: str) -> DataFrame:
-    """Sessions of a stream through ``Sessions``; needs the RocksDB state store."""
+    """Sessions of a stream through ``Sessions``; needs the RocksDB state store.
+
+    Keys travel as text, so a NULL key is a key of its own and leaves others exact;
+    rows without a time have no session.
+    """
     kind = df.schema[key].dataType.simpleString()
     gap_us = gap_seconds * 1_000_000
-    micros = df.select(key, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
+    micros = df.select(F.col(key).cast("string").alias(key), F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
     spans = micros.mapInPandas(
-        _local_spans(key, gap_us), f"{key} {kind}, start_us BIGINT, end_us BIGINT, n BIGINT, ts TIMESTAMP"
+        _local_spans(key, gap_us), f"{key} STRING, start_us BIGINT, end_us BIGINT, n BIGINT, ts TIMESTAMP"
     )
     out = (
         event_time(spans, "ts").withWatermark("ts", delay).groupBy(key)
         .transformWithStateInPandas(
             statefulProcessor=Sessions(key),
-            outputStructType=f"{key} {kind}, start_us BIGINT, end_us BIGINT, n BIGINT",
+            outputStructType=f"{key} STRING, start_us BIGINT, end_us BIGINT, n BIGINT",
             outputMode="append", timeMode="eventTime",
         )
     )
     return out.select(
-        key, F.timestamp_micros("start_us").cast("timestamp_ntz").alias("session_start"),
+        F.col(key).cast(kind).alias(key), F.timestamp_micros("start_us").cast("timestamp_ntz").alias("session_start"),
         F.timestamp_micros("end_us").cast("timestamp_ntz").alias("session_end"), "n",
     )

@@ -7,9 +7,6 @@ a function says otherwise.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,22 +56,9 @@ def emitted_windows(df: DataFrame, ts: str, keys: list[str], size: str, slide: s
     return window_counts(df, ts, keys, size, slide).filter(F.col("window_end") <= watermark)
 
 
-def _drop_copies(ids: list[str]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.drop_duplicates(ids)
-
-    return run
-
-
 def dedup_stream(df: DataFrame, ids: list[str], ts: str, delay: str) -> DataFrame:
-    """First row of each id within the watermark.
-
-    Copies inside one Arrow batch go before the shuffle, so an id that is repeated
-    very often does not arrive at one task whole.
-    """
-    local = df.mapInPandas(_drop_copies(ids), df.schema)
-    return event_time(local, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(ids)
+    """First row of each id within the watermark."""
+    return event_time(df, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(ids)
 
 
 def session_counts_stream(df: DataFrame, key: str, ts: str, gap: str, delay: str) -> DataFrame:
@@ -104,20 +88,21 @@ def sessionize(df: DataFrame, key: str, ts: str, tie: str, gap_seconds: int) ->
 
 
 def interval_join_streams(a: DataFrame, b: DataFrame, key: str, a_ts: str, b_ts: str,
-                          hi_seconds: int, delay: str) -> DataFrame:
-    """Inner join of two streams, ``b_ts`` within ``hi_seconds`` after ``a_ts``.
+                          hi_seconds: int, delay: str, lo_seconds: int = 0) -> DataFrame:
+    """Inner join of two streams, ``b_ts`` from ``lo_seconds`` to ``hi_seconds`` after ``a_ts``.
 
     Rows meet by key and time slot, so the state of one busy key is spread over
     its slots; the watermarks and the time condition let the state be dropped.
     """
     left = event_time(a, a_ts).withWatermark(a_ts, delay)
     right = event_time(b, b_ts).withWatermark(b_ts, delay).withColumnRenamed(key, "_key")
-    first = F.floor(F.unix_micros(a_ts) / (hi_seconds * 1_000_000))
+    slot = max(hi_seconds - lo_seconds, 1) * 1_000_000
+    first = F.floor((F.unix_micros(a_ts) + lo_seconds * 1_000_000) / slot)
     left = left.withColumn("_slot", F.explode(F.array(first, first + 1)))
-    right = right.withColumn("_slot_b", F.floor(F.unix_micros(b_ts) / (hi_seconds * 1_000_000)))
+    right = right.withColumn("_slot_b", F.floor(F.unix_micros(b_ts) / slot))
     cond = (
         (F.col(key) == F.col("_key")) & (F.col("_slot") == F.col("_slot_b"))
-        & (F.col(b_ts) >= F.col(a_ts))
+        & (F.col(b_ts) >= F.col(a_ts) + F.expr(f"INTERVAL {lo_seconds} SECONDS"))
         & (F.col(b_ts) <= F.col(a_ts) + F.expr(f"INTERVAL {hi_seconds} SECONDS"))
     )
     return left.join(right, cond).drop("_slot", "_slot_b", "_key")

@@ -135,13 +135,25 @@ def test_partitions_are_listed(spark, tmp_path):
 
 
 def test_compaction_keeps_rows_and_lowers_the_file_count(spark, tmp_path):
-    src, out = str(tmp_path / "many"), str(tmp_path / "few")
-    spark.range(2000).withColumn("d", F.col("id") % 2).repartition(40).write.partitionBy("d").parquet(src)
-    assert sinks.needs_compaction(spark, src)
-    sinks.compact(spark, src, out, ["d"])
-    assert len(glob.glob(out + "/d=*/*.parquet")) == 2 < len(glob.glob(src + "/d=*/*.parquet"))
-    assert spark.read.parquet(out).exceptAll(spark.read.parquet(src)).count() == 0
-    assert not sinks.needs_compaction(spark, out)
+    src = str(tmp_path / "many")
+    rows = spark.range(2000).withColumn("month", F.lpad((F.col("id") % 3).cast("string"), 2, "0"))
+    rows.filter("month < '02'").repartition(40).write.partitionBy("month").parquet(src)
+    rows.filter("month = '02'").coalesce(1).write.mode("append").partitionBy("month").parquet(src)
+    alone = glob.glob(src + "/month=02/*.parquet")
+    assert len(sinks.compact(spark, src)) == 2
+    assert len(glob.glob(src + "/month=0[01]/*.parquet")) == 2 and glob.glob(src + "/month=02/*.parquet") == alone
+    assert sorted(os.listdir(src))[-3:] == ["month=00", "month=01", "month=02"]
+    assert sinks.read_hourly(spark, src).select("id", "month").exceptAll(rows).count() == 0
+    assert sinks.compact(spark, src) == []
+
+
+def test_one_big_directory_does_not_hide_many_small_ones(spark, tmp_path):
+    src = str(tmp_path / "mixed")
+    spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit(0).alias("d")) \
+        .coalesce(1).write.partitionBy("d").parquet(src)
+    spark.range(400).select(F.lit("x").alias("v"), (F.col("id") % 4 + 1).alias("d")).repartition(20).write.mode("append").partitionBy("d").parquet(src)
+    assert len(sinks.compact(spark, src, small=100_000)) == 4
+    assert spark.read.parquet(src).count() == 200_400
 
 
 def test_gzip_text_parts(spark, tmp_path):

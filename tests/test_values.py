@@ -3,12 +3,15 @@
 import datetime as dt
 
 import pytest
+from compare import compare, duck
 from pyspark.sql import functions as F
 
+from millrace import session
 from millrace.functions import scalars, udfs
 from millrace.operators import changes, evolution, grouping, joins, metrics, policies, quality, series, text
 from millrace.operators import lineage, offsets
 from millrace.operators.evolution import Field
+from millrace.plans import registry
 from millrace.sources import synth, topics
 from millrace.streaming import windows
 
@@ -314,3 +317,35 @@ def test_geometric_mean_of_nulls_and_signs(spark):
     df = spark.createDataFrame([("a", 2.0), ("a", 8.0), ("a", -1.0), ("b", -3.0), (None, 5.0)], "k STRING, v DOUBLE")
     got = {r["k"]: r["geomean"] for r in udfs.geometric_mean(df, ["k"], "v").collect()}
     assert abs(got["a"] - 4.0) < 1e-9 and got["b"] is None and abs(got[None] - 5.0) < 1e-9
+
+
+def test_times_do_not_depend_on_the_session_zone(spark, sf):
+    registry.load_all()
+    con = duck(sf)
+    names = ["sink_hourly_partitions", "fn_epoch_parts", "fn_iso_parse", "bronze_to_parquet", "stream_hourly_ingest"]
+    with session.settings(spark, spark__sql__session__timeZone="America/New_York"):
+        for name in names:
+            assert compare(spark, con, sf, name)[0] is None
+        table = spark.createDataFrame([(1710037800000,), (1710037800999,)], "ms BIGINT")  # inside the spring gap
+        got = table.select(*[c.alias(n) for n, c in scalars.epoch_parts(F.col("ms")).items()]).withColumn("back", scalars.utc_millis(F.col("ts")))
+        assert [(r["hour"], r["back"]) for r in got.collect()] == [("02", 1710037800000), ("02", 1710037800999)]
+        iso = spark.createDataFrame([("2024-01-01T00:00:00Z",), ("2024-01-01T02:00:00+02:00",), ("2024-01-01T00:00:00",), ("x",)], "t STRING")
+        assert [str(r[0]) for r in iso.select(scalars.parse_iso(F.col("t"))).collect()] == ["2024-01-01 00:00:00"] * 3 + ["None"]
+
+
+def test_a_long_card_text_is_not_cut(spark):
+    names = ["Customer#" + "x" * 105 + str(i) for i in range(3)]
+    df = spark.createDataFrame([(n,) for n in names], "c_name STRING")
+    assert df.select(scalars.mask_hash(F.expr("substring(c_name, 10)"))).distinct().count() == 3
+
+
+def test_requests_and_rows_with_nulls_stay(spark):
+    requests = spark.createDataFrame([("u", "r", "read"), (None, "r", "read"), ("u", None, "read")], "user STRING, resource STRING, action STRING")
+    members = spark.createDataFrame([("u", "g")], "user STRING, `group` STRING")
+    tags = spark.createDataFrame([("r", "t")], "resource STRING, tag STRING")
+    rules = spark.createDataFrame([("resource", "r", "g", "read", "allow")], "kind STRING, name STRING, principal STRING, action STRING, effect STRING")
+    got = policies.decide(requests, members, tags, rules)
+    assert sorted((str(r["user"]), str(r["resource"]), r["decision"]) for r in got.collect()) == [
+        ("None", "r", "DENY"), ("u", "None", "DENY"), ("u", "r", "ALLOW")]
+    copies = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (None, 0, "c"), (None, 1, "d")], "id INT, at INT, v STRING")
+    assert sorted(r["v"] for r in quality.first_copy(copies, ["id"], "at").collect()) == ["a", "c", "d"]
