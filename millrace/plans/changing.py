@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import arranging, changes
+from millrace.operators import arranging, changes, stored
 from millrace.plans.registry import query
-from millrace.session import write_through
+from millrace.session import scratch_path, write_through
+from millrace.sources import sinks
 from millrace.tables import load
 
 
@@ -134,3 +135,54 @@ def compact_minor(spark, sf):
 @query("compact_major", LOG_SQL.format(lo=1, hi=5) + " AND op <> 'D'")
 def compact_major(spark, sf):
     return write_through(changes.snapshot(_log(spark, sf), ["o_orderkey"], None, _aborted(spark)), "new-base")
+
+
+def _stored_orders(spark, sf):
+    path = scratch_path(spark, "orders")
+    orders = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    sinks.parquet(orders.hint("rebalance", "o_orderpriority"), path, ["o_orderpriority"])
+    return path
+
+
+@query("table_update", """
+    SELECT o_orderkey, o_custkey, o_orderpriority,
+           CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_custkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+    FROM orders
+""")
+def table_update(spark, sf):
+    path = _stored_orders(spark, sf)
+    condition = F.expr("o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_custkey % 2 = 0")
+    stored.update(spark, path, ["o_orderpriority"], condition, {"o_totalprice": F.col("o_totalprice") + 1})
+    return spark.read.parquet(path)
+
+
+@query("table_delete", """
+    SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders
+    WHERE NOT (o_orderpriority = '5-LOW' OR o_orderpriority = '1-URGENT' AND o_totalprice < 100000)
+""")
+def table_delete(spark, sf):
+    path = _stored_orders(spark, sf)
+    stored.delete(spark, path, ["o_orderpriority"],
+                  F.expr("o_orderpriority = '5-LOW' OR o_orderpriority = '1-URGENT' AND o_totalprice < 100000"))
+    return spark.read.parquet(path)
+
+
+@query("table_merge", """
+    WITH s AS (SELECT o_orderkey AS k, o_custkey AS c, o_totalprice * 2 AS p FROM orders WHERE o_orderkey % 10 = 0 AND o_orderpriority = '2-HIGH'
+               UNION ALL SELECT -o_orderkey - 1, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 10 = 3)
+    SELECT o_orderkey, o_custkey, coalesce(p, o_totalprice) AS o_totalprice, o_orderpriority FROM orders LEFT JOIN s ON k = o_orderkey
+    WHERE NOT coalesce(c % 3 = 0, false)
+    UNION ALL SELECT k, c, p, '6-NEW' FROM s WHERE k < 0
+""")
+def table_merge(spark, sf):
+    """Doubled prices, some of them deletes, and new orders for a partition of their own."""
+    path = _stored_orders(spark, sf)
+    orders = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    changed = orders.filter("o_orderkey % 10 = 0 AND o_orderpriority = '2-HIGH'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    new = orders.filter("o_orderkey % 10 = 3").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    source = changed.unionByName(new).drop("o_orderpriority")
+    stored.merge(spark, path, ["o_orderpriority"], source, ["o_orderkey"],
+                 [(F.expr("s.o_custkey % 3 = 0"), None), (None, {"o_totalprice": F.col("s.o_totalprice")})],
+                 {"o_orderkey": F.col("s.o_orderkey"), "o_custkey": F.col("s.o_custkey"),
+                  "o_totalprice": F.col("s.o_totalprice"), "o_orderpriority": F.lit("6-NEW")})
+    return spark.read.parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace import controls, session
 from millrace.functions import udfs
-from millrace.operators import arranging, changes, grouping, joins
+from millrace.operators import arranging, changes, grouping, joins, stored
 from millrace.plans import registry
 from millrace.sources import files, jdbc, sinks
 from millrace.tables import load, path_of
@@ -156,6 +156,28 @@ def test_one_big_directory_does_not_hide_many_small_ones(spark, tmp_path):
     assert spark.read.parquet(src).count() == 200_400
 
 
+def test_changes_of_a_stored_table_leave_other_partitions_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(90).select("id", (F.col("id") % 3).cast("int").alias("p"), F.lit(0).alias("v")).write.partitionBy("p").parquet(path)
+
+    def names(p):
+        return sorted(glob.glob(f"{path}/p={p}/*.parquet"))
+    before = {p: names(p) for p in range(3)}
+    assert stored.update(spark, path, ["p"], F.expr("id = 4"), {"v": F.lit(1)}) == 1
+    assert names(0) == before[0] and names(2) == before[2] and names(1) != before[1]
+    assert spark.read.parquet(path).agg(F.sum("v"), F.count("*")).first()[:] == (1, 90)
+    assert stored.delete(spark, path, ["p"], F.expr("p = 2")) == 1
+    assert not names(2) and names(0) == before[0] and spark.read.parquet(path).count() == 60
+    source = spark.createDataFrame([(4, 7), (1000, 8)], "id BIGINT, v INT")
+    clause = [(None, {"v": F.col("s.v")})]
+    new = {"id": F.col("s.id"), "v": F.col("s.v"), "p": F.lit(9)}
+    assert stored.merge(spark, path, ["p"], source, ["id"], clause, new) == 2
+    got = {(r["id"], r["p"], r["v"]) for r in spark.read.parquet(path).filter("v > 0").collect()}
+    assert got == {(4, 1, 7), (1000, 9, 8)} and names(0) == before[0]
+    with pytest.raises(ValueError):
+        stored.update(spark, path, ["p"], F.lit(True), {"p": F.lit(1)})
+
+
 def test_gzip_text_parts(spark, tmp_path):
     path = str(tmp_path / "gz")
     lines = spark.createDataFrame([("a\t1", 0), ("z\t2", 1)], "value STRING, part INT")
