@@ -60,6 +60,27 @@ def increase(samples: DataFrame, series: list[str], ts: str, tie: str, value: st
     return agg.withColumn("rate", rate).drop("_span")
 
 
+def range_rate(samples: DataFrame, series: list[str], ts: str, tie: str, value: str, span: str, step: str) -> DataFrame:
+    """Increase and per-second rate over the trailing ``span`` at every ``step``: ``window_end`` is its end.
+
+    Steps between neighbours are worked out once per series and added up per slide of
+    ``step``, and only slides are copied into the windows they belong to.  A window's
+    increase leaves out the step that led to its first sample.
+    """
+    rows = samples.filter(F.col(value).isNotNull()).select(*series, ts, tie, value)
+    rows = with_previous(ordered(rows, series, [ts, tie]), _prev_value=value).rows()
+    delta = F.when(F.col(value) < F.col("_prev_value"), F.col(value)).otherwise(F.col(value) - F.col("_prev_value"))
+    rows = rows.withColumn("_step", F.coalesce(delta, F.lit(0.0)))
+    slides = rows.groupBy(*series, F.window(ts, step)["start"].alias("_slide")).agg(
+        F.sum("_step").alias("_sum"), F.min(F.struct(F.col(ts).alias("ts"), F.col(tie).alias("tie"), "_step")).alias("_first"),
+        F.max(ts).alias("_last"), F.count("*").alias("_n"))
+    agg = slides.groupBy(*series, F.window("_slide", span, step)["end"].alias("window_end")).agg(
+        (F.sum("_sum") - F.min("_first")["_step"]).alias("increase"), F.sum("_n").alias("n_samples"),
+        seconds_between(F.min("_first")["ts"], F.max("_last")).alias("_span")).filter("n_samples >= 2")
+    rate = F.when(F.col("_span") > 0, F.col("increase") / F.col("_span"))
+    return agg.withColumn("rate", rate).drop("_span")
+
+
 def instant_rate(samples: DataFrame, series: list[str], ts: str, tie: str, value: str, window: str) -> DataFrame:
     """Per-second rate of the last two samples per series and window."""
     rows = _deltas(samples, series, ts, tie, value, window)

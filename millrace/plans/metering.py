@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import metrics
+from millrace.operators.ordered import ordered, with_running_sum
 from millrace.plans.registry import query
+from millrace.session import write_through
 from millrace.tables import load
 
 COUNTER = """
@@ -42,6 +44,50 @@ def metric_rate(spark, sf):
     return out.select("event_type", "window_start", F.round("rate", 6).alias("rate"))
 
 
+@query("metric_range_rate", """
+    WITH w AS (SELECT event_type, ts, event_id, CAST(event_id % 1000 AS DOUBLE) AS v,
+                      time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR * k AS window_end
+               FROM events, (SELECT unnest([1, 2, 3, 4, 5, 6]) AS k)),
+    l AS (SELECT *, lag(v) OVER (PARTITION BY event_type, window_end ORDER BY ts, event_id) AS pv FROM w),
+    d AS (SELECT *, CASE WHEN pv IS NULL THEN NULL WHEN v < pv THEN v ELSE v - pv END AS step FROM l)
+    SELECT event_type, window_end, count(*) AS n_samples, round(sum(step), 4) AS increase,
+           round(CASE WHEN max(ts) > min(ts) THEN sum(step) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000) END, 6) AS rate
+    FROM d GROUP BY ALL HAVING count(*) >= 2
+""")
+def metric_range_rate(spark, sf):
+    out = metrics.range_rate(_counter(spark, sf), ["event_type"], "ts", "event_id", "v", "6 hours", "1 hour")
+    return out.select("event_type", "window_end", "n_samples", F.round("increase", 4).alias("increase"), F.round("rate", 6).alias("rate"))
+
+
+BUCKET_RATE = """
+    WITH le AS (SELECT unnest([25.0, 50.0, 100.0, 200.0, 400.0, 'Infinity'::DOUBLE]::DOUBLE[]) AS le),
+    h AS (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS hour, le, count(*) FILTER (WHERE value <= le) AS n FROM events, le GROUP BY ALL),
+    c AS (SELECT event_type, hour, le, sum(n) OVER (PARTITION BY event_type, le ORDER BY hour) AS v FROM h),
+    r AS (SELECT event_type, le, date_trunc('hour', hour) - INTERVAL 1 HOUR * (hour(hour) % 6) AS window_start,
+                 (max(v) - min(v)) / (count(*) * 0 + epoch(max(hour)) - epoch(min(hour))) AS n, count(*) AS k
+          FROM c GROUP BY ALL HAVING count(*) >= 2),
+    w AS (SELECT *, coalesce(lag(n) OVER p, 0) AS below, coalesce(lag(le) OVER p, 0) AS lo,
+                 max(n) OVER (PARTITION BY event_type, window_start) AS total
+          FROM r WINDOW p AS (PARTITION BY event_type, window_start ORDER BY le)),
+    f AS (SELECT *, row_number() OVER (PARTITION BY event_type, window_start ORDER BY le) AS rn FROM w
+          WHERE total > 0 AND n >= 0.95::DOUBLE * total AND (below < 0.95::DOUBLE * total OR n = below))
+    SELECT event_type, window_start, round(CASE WHEN isinf(le) OR n = below THEN lo
+           ELSE lo + (le - lo) * (0.95::DOUBLE * total - below) / (n - below) END, 4) AS quantile
+    FROM f WHERE rn = 1
+"""
+
+
+@query("metric_bucket_rate_quantile", BUCKET_RATE)
+def metric_bucket_rate_quantile(spark, sf):
+    """The 95th percentile from the rates of bucket counters read every hour, per six hours."""
+    events = load(spark, sf, "events", "ts", "event_type", "value").withColumn("hour", F.window("ts", "1 hour")["start"])
+    counts = metrics.cumulative_buckets(events, ["event_type", "hour"], "value", [25.0, 50.0, 100.0, 200.0, 400.0])
+    counters = with_running_sum(ordered(write_through(counts, "buckets"), ["event_type", "le"], ["hour"]), "v", F.col("n")).rows()
+    rates = metrics.increase(counters.withColumn("v", F.col("v").cast("double")), ["event_type", "le"], "hour", "n", "v", "6 hours")
+    found = metrics.histogram_quantile(rates.select("event_type", "window_start", "le", F.col("rate").alias("n")), ["event_type", "window_start"], 0.95)
+    return found.withColumn("quantile", F.round("quantile", 4))
+
+
 @query("metric_irate", COUNTER + """
     SELECT event_type, window_start, arg_max(step / ((epoch_us(ts) - epoch_us(pts)) / 1000000), event_id) AS irate
     FROM d WHERE pv IS NOT NULL GROUP BY ALL
