@@ -61,7 +61,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     ``size`` counts words, null text has none; ``copies`` is how often the mix holds
     the document and ``taken`` its words times that.  Inclusion odds grow with size
     to the power ``tilt`` (0: equal).  The document that crosses the target is
-    taken if that leaves the smaller gap.  Documents without words are never drawn.
+    taken if that leaves the smaller gap, and one document more or less per source
+    then closes what it can of the rest.  Documents without words are never drawn.
     A null source is a source of its own; repeated rows are drawn one by one and
     equal rows may stand for each other; an empty table gives an empty result.
     Only the three named columns are read.
@@ -100,12 +101,26 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     # A source without a cut (its rest is all it has, up to rounding) takes every document.
     rest = drawn.filter("_bin IS NULL OR _cut IS NULL OR _bin <> _cut").withColumn(
         "_more", F.expr("CAST(COALESCE(_bin IS NOT NULL AND (_cut IS NULL OR _bin < _cut), FALSE) AS INT)"))
-    return rest.unionByName(edge).select(
+    drawn = _last_unit(write_through(rest.unionByName(edge), "mix-drawn"))
+    return drawn.select(
         "doc_id", "source", "size", "source_size", "target",
         (F.col("_sure") + F.col("_more")).cast("int").alias("copies"),
         (F.col("size") * (F.col("_sure") + F.col("_more"))).cast("long").alias("taken"))
 
 
+def _last_unit(drawn: DataFrame) -> DataFrame:
+    """Add or give back the one document per source that closes the gap at the cut best."""
+    held = F.col("size") * (F.col("_sure") + F.col("_more"))
+    gaps = drawn.groupBy("source").agg((F.first("target") - F.sum(held)).alias("_gap"))
+    rows = lookup(drawn, gaps, "source")
+    left = F.abs(F.abs("_gap") - F.col("size"))
+    able = (F.col("_rank").isNotNull()) & (left < F.abs("_gap")) & (F.col("_more") == F.when(F.col("_gap") > 0, 0).otherwise(1))
+    best = rows.filter(able).groupBy("source").agg(F.min(F.struct(left.alias("left"), "_rank", "doc_id", "size")).alias("_best"))
+    rows = lookup(rows, best, "source")
+    hit = (F.col("_rank") == F.col("_best._rank")) & F.col("doc_id").eqNullSafe(F.col("_best.doc_id")) & (F.col("size") == F.col("_best.size"))
+    return rows.withColumn("_more", F.when(hit, 1 - F.col("_more")).otherwise(F.col("_more")))
+
+
 def apply(docs: DataFrame, **options) -> DataFrame:
     """The mixed table: each document as many times as the mix holds it, columns as in ``docs``.
 
