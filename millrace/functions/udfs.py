@@ -32,25 +32,19 @@ class Tokens:
 
 
 def aggregate(df: DataFrame, keys: list[str], columns: list[str],
-              per_batch: Callable[[pd.DataFrame], pd.DataFrame], partial_ddl: str,
+              per_batch: Callable[[pd.DataFrame, list[str]], pd.DataFrame], partial_ddl: str,
               merge: dict[str, Column], finish: dict[str, Column]) -> DataFrame:
     """A user-defined aggregate.
 
-    ``per_batch`` turns an Arrow batch into one row of partial results per key,
-    ``merge`` combines partials with built-in aggregates, ``finish`` gives the value.
+    ``per_batch`` turns a whole Arrow batch into one row of partial results per key
+    (key columns first), without a Python step per key; ``merge`` combines partials
+    with built-in aggregates, ``finish`` gives the value.
     """
     key_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = []
-            for _, group in batch.groupby(keys, dropna=False, sort=False):
-                part = per_batch(group)
-                for name in keys:
-                    part[name] = [group[name].iloc[0]] * len(part)
-                parts.append(part)
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
+            yield per_batch(batch, keys)
 
     partial = df.select(*keys, *columns).mapInPandas(run, f"{key_ddl}, {partial_ddl}")
     merged = partial.groupBy(*keys).agg(*[c.alias(n) for n, c in merge.items()])
@@ -60,9 +54,10 @@ def aggregate(df: DataFrame, keys: list[str], columns: list[str],
 def geometric_mean(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Geometric mean of positive values."""
 
-    def per_batch(group: pd.DataFrame) -> pd.DataFrame:
-        positive = group[value][group[value] > 0]
-        return pd.DataFrame({"_n": [len(positive)], "_s": [float(np.log(positive).sum())]})
+    def per_batch(batch: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+        positive = batch[value] > 0
+        parts = batch[keys].assign(_n=positive.astype("int64"), _s=np.log(batch[value].where(positive)).fillna(0.0).astype(float))
+        return parts.groupby(keys, dropna=False, sort=False)[["_n", "_s"]].sum().reset_index()
 
     return aggregate(
         df, keys, [value], per_batch, "_n BIGINT, _s DOUBLE",

@@ -124,21 +124,23 @@ def like_join(texts: DataFrame, text_id: str, text: str,
 
 # ---------------------------------------------------------- salted and bucketed
 
-def salt_pair(fact: DataFrame, dim: DataFrame, key: str, salts: int,
+def salt_pair(fact: DataFrame, dim: DataFrame, key: str, salts: int | None = None,
               share: float | None = None) -> tuple[DataFrame, DataFrame]:
     """Both sides with a column ``_salt`` to join on next to ``key``.
 
-    Only hot keys are salted, so only their dimension rows are copied.  The salt
-    comes from the row's content, which makes a rerun of a lost task repeat it;
+    Only hot keys are salted, each by as many salts as it has parts of ``share`` of the
+    rows (or ``salts``), so only their dimension rows are copied and only that often.
+    The salt comes from the row's content, which makes a rerun of a lost task repeat it;
     copies of one row share a salt, and AQE splits that partition further.
     """
     share = share or 1.0 / shuffle_width(fact.sparkSession)
-    hot = large_keys(fact, [key], share).select(F.col("_k0").alias(key), F.lit(True).alias("_hot"))
-    content = F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")
+    hot = large_keys(fact, [key], share).select(
+        F.col("_k0").alias(key), (F.lit(salts) if salts else F.col("_parts")).alias("_hot"))
+    content = F.pmod(F.xxhash64(*fact.columns), F.col("_hot")).cast("int")
     left = fact.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), content).otherwise(0)
+        "_salt", F.when(F.col("_hot").isNotNull(), content).otherwise(0)
     ).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.col("_hot") - 1)).otherwise(
         F.array(F.lit(0))
     )
     right = (
@@ -149,9 +151,9 @@ def salt_pair(fact: DataFrame, dim: DataFrame, key: str, salts: int,
     return left, right
 
 
-def salted_join(fact: DataFrame, dim: DataFrame, key: str, salts: int,
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, salts: int | None = None,
                 share: float | None = None) -> DataFrame:
-    """Inner join with the hot keys of ``fact`` spread over ``salts`` partitions."""
+    """Inner join with the hot keys of ``fact`` spread over several partitions."""
     left, right = salt_pair(fact, dim, key, salts, share)
     return left.join(right.hint("merge"), [key, "_salt"]).drop("_salt")
 
@@ -168,14 +170,15 @@ def bucketed_table(df: DataFrame, keys: list[str], buckets: int, label: str = "b
     return name
 
 
-def bucketed_pair(fact: DataFrame, dim: DataFrame, key: str, buckets: int,
-                  salts: int = 8) -> tuple[str, str]:
+def bucketed_pair(fact: DataFrame, dim: DataFrame, key: str, bucket_rows: int = 1_000_000) -> tuple[str, str]:
     """Save two tables for many later joins on ``key`` without a shuffle.
 
-    The shuffle is paid once here.  A hot key is salted before, since nothing
-    splits a bucket later.
+    The shuffle is paid once here, into buckets of about ``bucket_rows`` fact rows.  A
+    hot key is salted before, down to that size, since nothing splits a bucket later.
     """
-    left, right = salt_pair(fact, dim, key, salts)
+    rows = fact.count()
+    buckets = max(shuffle_width(fact.sparkSession), -(-rows // bucket_rows))
+    left, right = salt_pair(fact, dim, key, share=1.0 / buckets)
     keys = [key, "_salt"]
     return bucketed_table(left, keys, buckets, "fact"), bucketed_table(right, keys, buckets, "dim")
 

@@ -42,7 +42,8 @@ class Ordered:
 
 
 def large_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """Keys above ``share`` of the rows, in columns ``_k0, _k1, ...``.
+    """Keys above ``share`` of the rows, in columns ``_k0, _k1, ...``, and in how many
+    parts of that share each would fall (``_parts``).
 
     There are at most ``1 / share`` of them, so they are fetched and come back as a
     local table: using it often does not count the keys again.  The total is observed
@@ -56,8 +57,8 @@ def large_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
     top = counts.orderBy(F.desc("_n")).limit(math.ceil(1 / share)).select(*names, "_n")
     rows = top.collect()
     least = seen.get["n"] * share
-    schema = top.drop("_n").schema
-    return df.sparkSession.createDataFrame([r[:-1] for r in rows if r["_n"] > least], schema)
+    large = [(*r[:-1], math.ceil(r["_n"] / least)) for r in rows if r["_n"] > least]
+    return df.sparkSession.createDataFrame(large, top.drop("_n").schema.add("_parts", "int"))
 
 
 def ordered(df: DataFrame, keys: list[str], order: list[str],

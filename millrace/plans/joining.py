@@ -119,7 +119,7 @@ def join_expr_key(spark, sf):
 def join_bucketed(spark, sf):
     items = load(spark, sf, "lineitem", "l_orderkey", "l_quantity")
     orders = load(spark, sf, "orders", "o_orderkey", "o_orderstatus")
-    left, right = joins.bucketed_pair(items, orders.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey", 8)
+    left, right = joins.bucketed_pair(items, orders.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey")
     joined = joins.bucketed_join(spark, left, right, "l_orderkey")
     return joined.groupBy("o_orderstatus").agg(
         F.count("*").alias("n_items"), F.sum("l_quantity").alias("quantity")
@@ -213,7 +213,7 @@ def join_skew_aqe(spark, sf):
 @query("join_salted", SKEW_SQL)
 def join_salted(spark, sf):
     tx, lookup = _skewed(spark, sf)
-    return _by_category(joins.salted_join(tx, lookup, "join_key", 20))
+    return _by_category(joins.salted_join(tx, lookup, "join_key"))
 
 
 @query("join_fanout_count", """

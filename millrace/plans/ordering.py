@@ -8,7 +8,7 @@ from millrace.functions import scalars
 from millrace.operators import arranging, changes, text
 from millrace.operators.ordered import dense_ids, ordered, with_previous
 from millrace.plans.registry import query
-from millrace.session import scratch_path
+from millrace.session import scratch_path, shuffle_width
 from millrace.sources import sinks
 from millrace.tables import load
 
@@ -92,12 +92,12 @@ PARTS_SQL = """
 """
 
 
-@query("cluster_by_partition_stats", PARTS_SQL)
+@query("cluster_by_partition_stats", "SELECT count(*) AS n_rows, count(DISTINCT o_custkey) AS n_keys FROM orders")
 def cluster_by_partition_stats(spark, sf):
-    rows = arranging.cluster_by(load(spark, sf, "orders", "o_custkey", "o_orderkey"), 8, "o_custkey")
+    rows = arranging.cluster_by(load(spark, sf, "orders", "o_custkey", "o_orderkey"), shuffle_width(spark), "o_custkey")
     return _totals(rows.groupBy(F.spark_partition_id().alias("part")).agg(
         F.count("*").alias("n"), F.count_distinct("o_custkey").alias("n_keys")
-    ))
+    )).drop("n_parts")
 
 
 @query("alphabet_partition", """

@@ -38,7 +38,7 @@ def test_join_strategies(spark, sf):
 def test_bucketed_pair_joins_without_exchange(spark, sf):
     items = load(spark, sf, "lineitem", "l_orderkey", "l_quantity")
     orders = load(spark, sf, "orders", "o_orderkey", "o_orderstatus").withColumnRenamed("o_orderkey", "l_orderkey")
-    left, right = joins.bucketed_pair(items, orders, "l_orderkey", 4)
+    left, right = joins.bucketed_pair(items, orders, "l_orderkey")
     plan = controls.plan_text(joins.bucketed_join(spark, left, right, "l_orderkey"))
     assert "Exchange" not in plan and "SortMergeJoin" in plan
 
