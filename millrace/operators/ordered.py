@@ -58,7 +58,7 @@ def large_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
     rows = top.collect()
     least = seen.get["n"] * share
     large = [(*r[:-1], math.ceil(r["_n"] / least)) for r in rows if r["_n"] > least]
-    return df.sparkSession.createDataFrame(large, top.drop("_n").schema.add("_parts", "int"))
+    return df.sparkSession.createDataFrame(large, top.drop("_n").schema.add("_parts", "integer"))
 
 
 def ordered(df: DataFrame, keys: list[str], order: list[str],
