@@ -9,7 +9,8 @@ again can repeat anything; equal segments are folded into one with a count.
 The segments that remain are sorted by column-wise construction of a collection's
 Burrows-Wheeler transform: each round puts one symbol in front of every sequence's
 suffix and inserts the new suffixes, and updates the common prefix lengths between
-neighbours on the way.  A symbol is eight bytes and a segment enters once for each of
+neighbours on the way.  Copies of the one segment of a key repeat in all their windows,
+so a key without a second kind of segment needs no sorting.  A symbol is eight bytes and a segment enters once for each of
 its eight alignments, so there are as many suffixes as bytes but an eighth of the rounds.  A window repeats if its suffix shares ``LENGTH`` bytes with a
 neighbour, or if its segment stands for several equal ones.  Collections are bounded
 in size and hold whole keys, so transform and prefix lengths stay in memory.
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import whole, write_through
+from millrace.session import settings
 
 LENGTH = 200
 GRAM = 32
@@ -185,7 +187,11 @@ def transform(group: Collection, most: int) -> tuple[np.ndarray, np.ndarray]:
         alike = symbols[above] == symbols[own[inner]]
         inner, above = inner[alike], above[alike]
         if len(inner):
-            low = Minima(prefix)(above + 1, own[inner])
+            below = own[inner]
+            low = prefix[below]
+            apart = np.flatnonzero(below - above > 1)  # most equal symbols stand next to each other
+            if len(apart):
+                low[apart] = Minima(prefix)(above[apart] + 1, below[apart])
             shared[inner] = np.minimum(low.astype(np.int16) + 1, most)
         place = m + new
         grown, lengths = np.zeros(len(old), np.uint32), np.zeros(len(old), np.uint8)
@@ -311,7 +317,7 @@ def _by_window(held: DataFrame, length: int) -> DataFrame:
 
 
 def find(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-         bytes_each: int = 1 << 17, largest: int = 1 << 14) -> DataFrame:
+         bytes_each: int = 1 << 16, largest: int = 1 << 14) -> DataFrame:
     """One row per row: ``doc_id, n_bytes, spans, kept_sha256``.
 
     ``spans`` are the maximal removed byte ranges (start, end exclusive), ``kept_sha256``
@@ -324,9 +330,12 @@ def find(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str =
     rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
     twice = _key_counts(rows, length, gram)
     members = write_through(_segment_rows(rows, length, gram).join(twice, "key", "left_semi"), "repeat-segments")
-    distinct = members.groupBy("key", "seg").agg(
-        F.count("*").alias("n"), F.min(F.struct("row", "first", "many")).alias("at"))
-    wanted = distinct.groupBy("at.row").agg(F.collect_list(F.struct("key", "seg", "n", "at.first", "at.many")).alias("parts"))
+    distinct = write_through(members.groupBy("key", "seg").agg(
+        F.count("*").alias("n"), F.min(F.struct("row", "first", "many")).alias("at")), "repeat-distinct")
+    kinds = distinct.join(distinct.groupBy("key").agg(F.count("*").alias("_kinds")), "key")
+    alone = (F.col("_kinds") == 1) & (F.col("n") > 1)
+    copied = kinds.filter(alone).select("key", "seg", F.array(F.struct(F.lit(0).alias("from"), F.col("at.many").alias("to"))).alias("ranges"))
+    wanted = kinds.filter(~alone).groupBy("at.row").agg(F.collect_list(F.struct("key", "seg", "n", "at.first", "at.many")).alias("parts"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -338,7 +347,9 @@ def find(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str =
                                                   pa.array(data, pa.binary())], names=["key", "seg", "n", "data"])
 
     held = rows.join(wanted, "row").select("text", "parts").mapInArrow(fetch, "key long, seg long, n long, data binary")
-    held = write_through(held, "repeat-data")
+    # Small batches: a row is a whole text with all its segments.
+    with settings(rows.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="500"):
+        held = write_through(held, "repeat-data")
     per_key = held.groupBy("key").agg(F.count("*").alias("_n"))
     hot = per_key.filter(F.col("_n") > largest).select("key")
     if hot.isEmpty():
@@ -346,7 +357,7 @@ def find(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str =
     else:
         marked = _sorted(held.join(hot, "key", "left_anti"), length, bytes_each).unionByName(
             _by_window(held.join(hot, "key", "left_semi"), length))
-    marked = write_through(marked, "repeat-ranges")
+    marked = write_through(marked.unionByName(copied), "repeat-ranges")
     per_row = members.join(marked, ["key", "seg"]).groupBy("row").agg(
         F.collect_list(F.struct("first", "ranges")).alias("found"))
     kind = rows.schema["doc_id"].dataType.simpleString()
