@@ -101,13 +101,16 @@ def _chunked(rows: DataFrame, target: int = 1000) -> DataFrame:
     return rows.withColumn("_piece", F.coalesce(slot.cast("bigint") * each + F.greatest(part, F.lit(0)), F.lit(-1).cast("bigint")))
 
 
-def with_next(rows: DataFrame, *columns: str) -> DataFrame:
+def with_next(rows: DataFrame, *columns: str, derived: dict[str, Column] | None = None) -> DataFrame:
     """Add ``next_<column>`` from the next row by descending ``doc_id``, after the last from the first.
 
+    ``derived`` columns are added before, once for every row, and get a next value too.
+
     Null ids come last, equal ids go by their text's hash.  Rows move once, by chunk;
     what crosses a chunk border is one row per chunk, found by a partial aggregate and
     added to the chunk before it.
     """
+    derived = derived or {}
     rows = _chunked(rows).withColumn("_tie", F.xxhash64(*columns))
     kept = [c for c in rows.columns if c != "_piece"]
     place = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63)).cast("bigint")).alias("i"), F.col("_tie").alias("t"))
@@ -116,12 +119,14 @@ def with_next(rows: DataFrame, *columns: str) -> DataFrame:
     order = write_through(dense_ids(heads.select("_piece"), ["_piece"], "_nr"), "chunk-order")
     first, last = order.agg(F.min("_nr"), F.max("_nr")).first()
     if first is None:
-        return rows.select(*[c for c in kept if c != "_tie"], *[F.col(c).alias(f"next_{c}") for c in columns])
+        rows = rows.withColumns(derived)
+        return rows.select(*[c for c in rows.columns if c not in ("_tie", "_piece")],
+                           *[F.col(c).alias(f"next_{c}") for c in (*columns, *derived)])
     # The head of a chunk follows the last row of the chunk above it; the top head follows the lowest row.
     after = order.select((F.when(F.col("_nr") == last, first - 1).otherwise(F.col("_nr")) + 1).alias("_nr"), F.col("_piece").alias("_of"))
     sentinels = order.join(after, "_nr").join(heads.withColumnRenamed("_piece", "_of"), "_of") \
         .select("_piece", "_head.*", F.lit(1).alias("_added"))
     both = rows.withColumn("_added", F.lit(0)).unionByName(sentinels)
     walk = Window.partitionBy("_piece").orderBy("_added", F.desc_nulls_last("doc_id"), F.desc("_tie"))
-    both = both.withColumns({f"next_{c}": F.lead(c).over(walk) for c in columns})
+    both = both.withColumns(derived).withColumns({f"next_{c}": F.lead(c).over(walk) for c in (*columns, *derived)})
     return both.filter("_added = 0").drop("_added", "_piece", "_tie")

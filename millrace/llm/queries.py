@@ -95,8 +95,7 @@ def kneser_ney_toxicity(spark, sf):
 @query("op6_one_permutation_minhash")
 def one_permutation_minhash(spark, sf):
     rows = load(spark, sf, "documents", "doc_id", "text").select("doc_id", whole("text").alias("text"))
-    own = rows.withColumn("stored", fingerprints.fingerprint(F.col("text")))
-    pairs = fingerprints.with_next(own, "text", "stored")
+    pairs = fingerprints.with_next(rows, "text", derived={"stored": fingerprints.fingerprint(F.col("text"))})
     size = F.char_length("text")
     third = F.floor(size / 3).cast("int")
     edited = F.concat(F.left("text", size - third), F.left("next_text", third))

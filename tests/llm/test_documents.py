@@ -253,8 +253,8 @@ def test_suffix_tree_is_a_distribution_and_learns_order(spark):
 
 
 def test_fingerprints(docs, rows, empty):
-    marked = fingerprints.with_next(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), fingerprints.fingerprint(
-        F.coalesce("text", F.lit(""))).alias("stored")), "text", "stored")
+    marked = fingerprints.with_next(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text",
+                                    derived={"stored": fingerprints.fingerprint(F.col("text"))})
     found = marked.withColumn("near", fingerprints.likeness(F.col("stored"), F.col("next_stored"))).collect()
     ids = [r["doc_id"] for r in found]
     assert Counter(ids) == Counter(r[0] for r in rows)
