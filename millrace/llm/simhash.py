@@ -30,6 +30,18 @@ AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 BLOCK = 4096
 
 
+def spans(text: str | None, shingle: int) -> list[bytes]:
+    """All ``shingle``-word shingles in order.  Fewer words make one, no words none."""
+    words = (text or "").encode("utf-8", "replace").translate(AZ).split()
+    if not words:
+        return []
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    last = ends[shingle - 1:] if len(words) >= shingle else ends[-1:]
+    return [joined[a:b] for a, b in zip(starts[:len(last)].tolist(), last.tolist())]
+
+
 def fingerprint(text: str | None, shingle: int, bits: int = 64) -> bytes:
     """SimHash over ``shingle``-word shingles, repeats included, most significant byte first.
 
@@ -37,18 +49,13 @@ def fingerprint(text: str | None, shingle: int, bits: int = 64) -> bytes:
     shingle; no words give all zeros.  64 bits hash with XXH64 and seed 42, longer
     fingerprints append further seeds.
     """
-    words = (text or "").encode("utf-8", "replace").translate(AZ).split()
-    if not words:
+    parts = spans(text, shingle)
+    if not parts:
         return bytes(bits // 8)
-    joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    last = ends[shingle - 1:] if len(words) >= shingle else ends[-1:]
-    spans = [joined[a:b] for a, b in zip(starts[:len(last)].tolist(), last.tolist())]
     out = b""
     for seed in range(42, 42 + bits // 64):
         digest = xxhash.xxh64_digest
-        raw = np.frombuffer(b"".join([digest(s, seed) for s in spans]), np.uint8).reshape(-1, 8)
+        raw = np.frombuffer(b"".join([digest(s, seed) for s in parts]), np.uint8).reshape(-1, 8)
         ones = np.zeros(64, np.int64)
         for at in range(0, len(raw), 1 << 16):
             ones += np.unpackbits(raw[at:at + (1 << 16)], axis=1).sum(0, dtype=np.int64)
@@ -257,27 +264,37 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, bits: int = 128, distance
 
     Documents link when their fingerprints differ in at most ``distance`` bits;
     ``component_id`` is the smallest id reachable, itself included, and ``stays`` marks
-    its row.  The defaults stand for a shingle similarity of 0.8: two documents that
-    share that much are expected to differ in 19 of 128 bits.  Equal fingerprints
+    its row.  The distance alone decides, which is not a shingle similarity: 19 of 128
+    bits are only expected at 0.8 (``shingles`` decides by that).  Equal fingerprints
     always link; texts without words share the zero fingerprint.  Null ids are larger
     than all others; repeated rows each keep their row and stay or go together; an
     empty table stays empty; only id and text are read.
     """
     marked = write_through(fingerprints(docs, shingle, bits, id_col, text_col), "simhash")
-    root = link(marked, bits, distance).select(F.col("node").alias("fp"), F.col("root").alias("_root"))
+    root = link(marked, bits, distance)
+    return settled(marked, root, "fp")
+
+
+def settled(marked: DataFrame, root: DataFrame, name: str) -> DataFrame:
+    """Component id and whether it stays for every row of ``marked``, by its column ``name``."""
+    root = root.select(F.col("node").alias(name), F.col("root").alias("_root"))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    by_fp = marked.groupBy("fp").agg(F.min(first).alias("_least"))
-    by_fp = lookup(by_fp, root, "fp").withColumn("_root", F.coalesce("_root", "fp"))
+    by_fp = marked.groupBy(name).agg(F.min(first).alias("_least"))
+    by_fp = lookup(by_fp, root, name).withColumn("_root", F.coalesce("_root", name))
     by_root = by_fp.groupBy("_root").agg(F.min("_least").alias("_first"))
     firsts = lookup(by_fp, by_root, "_root").select(
-        "fp", F.col("_first.doc_id").alias("component_id"), F.col("_first.row").alias("_row"))
-    return lookup(marked, firsts, "fp").select(
-        "doc_id", "fp", "component_id", "row", (F.col("row") == F.col("_row")).alias("stays"))
+        name, F.col("_first.doc_id").alias("component_id"), F.col("_first.row").alias("_row"))
+    return lookup(marked, firsts, name).select(
+        "doc_id", name, "component_id", "row", (F.col("row") == F.col("_row")).alias("stays"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, one document of each group, with all their columns."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+def without(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` less the rows that do not stay."""
     name, = unused(docs, "_gone")
     gone = found.filter("NOT stays").select(F.col("row").alias(name)).distinct()
     return docs.join(gone, F.xxhash64(id_col, text_col) == F.col(name), "left_anti")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay, one document of each group, with all their columns."""
+    return without(docs, near_duplicates(docs, id_col=id_col, text_col=text_col, **options), id_col, text_col)
