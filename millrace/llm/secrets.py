@@ -58,7 +58,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """Spans of ``(blob, text, versions)``: one row per blob and version, also without a find."""
+    """Spans of ``(blob, text, versions)``, one row per blob: one row per blob and version, also without a find."""
     found = []
     for nr, rule in enumerate(rules):
         due = F.array_contains("versions", rule.version) & F.col("text").rlike(_present(rule))
@@ -74,7 +74,7 @@ def scan(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
                                F.char_length(z["g"]).alias("own")))).otherwise(F.array()))
     hits = texts.select("blob", F.concat(*found).alias("_hits")).filter(F.size("_hits") > 0) \
         .select("blob", F.posexplode("_hits").alias("_pos", "_hit")).select("blob", "_pos", "_hit.*")
-    order = Window.partitionBy("blob", "rule").orderBy("_pos")
+    order = Window.partitionBy("blob", "rule").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     hits = hits.withColumn("end", F.sum(F.col("gap") + F.coalesce("n", F.lit(0))).over(order).cast("int"))
     least = F.element_at(F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (i, r.least)]), F.col("rule"))
     version = F.element_at(F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (i, r.version)]), F.col("rule"))
@@ -101,9 +101,10 @@ def update_ledger(docs: DataFrame, paths: DataFrame, ledger_path: str, rules: tu
         F.col("blob").alias("_blob"), "_at",
         F.array_except(versions, F.coalesce("_known", F.array().cast("array<int>"))).alias("versions")
     ).filter(F.size("versions") > 0)
+    # Rows that repeat id and text, or a text without any id, still come several times.
     texts = docs.join(unseen, docs["doc_id"].eqNullSafe(F.col("_at")) & (docs["blob"] == F.col("_blob"))) \
-        .select("blob", "text", "versions")
-    done = scan(texts, rules).dropDuplicates(["blob", "rule_version"])
+        .select("blob", "text", "versions").dropDuplicates(["blob"])
+    done = scan(texts, rules)
     target = f"{ledger_path.rstrip('/')}/{scratch_path(spark, 'run').rsplit('/', 1)[1]}"
     done.write.parquet(target)
     return spark.read.schema(LEDGER).parquet(target).count()
