@@ -9,11 +9,13 @@ or a recomputed partition draws the same sample.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import WORD, lookup, unused, whole, write_through
-from millrace.operators.ordered import dense_ids
+from millrace.operators.ordered import dense_ids, ordered, with_row_number
 
 BINS = 4096
 
@@ -47,12 +49,24 @@ def targets(sources: DataFrame, weights: tuple[float, ...], share: float, cap: f
 
 def _rank(seed: int, tilt: float) -> Column:
     """Random odds over inclusion odds, pressed into 0..1 (the order stays)."""
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "size"), 11) + 0.5) / float(1 << 53)
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "size", "_same"), 11) + 0.5) / float(1 << 53)
     odds = F.pow(F.col("size") / F.col("_mean"), F.lit(tilt))  # times rest / (1 - rest), the same for the whole source
     x = u / (1 - u) / odds
     return x / (1 + x)
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Add ``_same``, which numbers equal rows from 0.
+
+    Rows are counted and laid out again, many equal ones in parts of ``BINS``.
+    """
+    parts = rows.groupBy(*rows.columns).agg(F.count("*").alias("_many")) \
+        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_many") - 1) / BINS))))
+    parts = parts.repartition(*rows.columns, "_part")
+    first = F.col("_part") * BINS
+    return parts.select(*rows.columns, F.explode(F.sequence(first, F.least("_many", first + BINS) - 1)).alias("_same"))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2,
         seed: int = 42, tilt: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
@@ -70,9 +84,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     The cut is found in two steps so that a hot source stays spread: words summed
     per source and rank bin, then single documents inside the one crossing bin.
     """
-    sized = write_through(docs.select(
+    sized = write_through(_numbered(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        F.regexp_count(whole(text_col), F.lit(WORD)).cast("long").alias("size")), "mix-sizes")
+        F.regexp_count(whole(text_col), F.lit(WORD)).cast("long").alias("size"))), "mix-sizes")
     sources = sized.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.avg(F.when(F.col("size") > 0, F.col("size"))).alias("_mean"))
     plan = targets(sources.select("source", "source_size"), weights, share, cap)
@@ -94,7 +108,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     cuts = write_through(cuts, "mix-cuts")
     drawn = lookup(drawn, cuts, "source")
     edge = drawn.filter("_bin = _cut")
-    order = Window.partitionBy("source").orderBy("_rank", "doc_id", "size")
+    order = Window.partitionBy("source").orderBy("_rank", "doc_id", "size", "_same")
     before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     edge = edge.withColumn("_before", before).withColumn(
         "_more", F.expr("CAST(_before < _need AND _before + size - _need <= _need - _before AS INT)")).drop("_before")
@@ -115,9 +129,10 @@ def _last_unit(drawn: DataFrame) -> DataFrame:
     rows = lookup(drawn, gaps, "source")
     left = F.abs(F.abs("_gap") - F.col("size"))
     able = (F.col("_rank").isNotNull()) & (left < F.abs("_gap")) & (F.col("_more") == F.when(F.col("_gap") > 0, 0).otherwise(1))
-    best = rows.filter(able).groupBy("source").agg(F.min(F.struct(left.alias("left"), "_rank", "doc_id", "size")).alias("_best"))
+    best = rows.filter(able).groupBy("source").agg(F.min(F.struct(left.alias("left"), "_rank", "doc_id", "size", "_same")).alias("_best"))
     rows = lookup(rows, best, "source")
-    hit = (F.col("_rank") == F.col("_best._rank")) & F.col("doc_id").eqNullSafe(F.col("_best.doc_id")) & (F.col("size") == F.col("_best.size"))
+    hit = (F.col("_rank") == F.col("_best._rank")) & F.col("doc_id").eqNullSafe(F.col("_best.doc_id")) \
+        & (F.col("size") == F.col("_best.size")) & (F.col("_same") == F.col("_best._same"))
     return rows.withColumn("_more", F.when(hit, 1 - F.col("_more")).otherwise(F.col("_more")))
 
 
@@ -128,8 +143,8 @@ def apply(docs: DataFrame, **options) -> DataFrame:
     """
     own_id, own_source, text = (options.get(k, d) for k, d in (
         ("id_col", "doc_id"), ("source_col", "source"), ("text_col", "text")))
-    p_id, p_source, p_size, copies, rows, size, each, copy = unused(
-        docs, "_p_id", "_p_source", "_p_size", "_copies", "_rows", "_size", "_each", "_copy")
+    p_id, p_source, p_size, copies, rows, size, each, odd, copy, row, hashed = unused(
+        docs, "_p_id", "_p_source", "_p_size", "_copies", "_rows", "_size", "_each", "_odd", "_copy", "_row", "_hash")
     plan = mix(docs, **options).groupBy("doc_id", "source", "size").agg(
         F.sum("copies").alias("_sum"), F.count("*").alias("_many"))
     plan = plan.select(*[F.col(a).alias(b) for a, b in (
@@ -137,9 +152,23 @@ def apply(docs: DataFrame, **options) -> DataFrame:
     sized = docs.withColumn(size, F.regexp_count(whole(text), F.lit(WORD)).cast("long"))
     out = sized.join(plan, F.col(own_id).eqNullSafe(F.col(p_id))
                      & F.col(own_source).eqNullSafe(F.col(p_source)) & (F.col(size) == F.col(p_size)))
-    # Rows that repeat id, source and size split their copies evenly, the odd ones by the text's hash.
+    # Rows that repeat id, source and size split their copies evenly, the first ones by content take the odd ones.
     out = out.withColumn(each, F.floor(F.col(copies) / F.col(rows)))
-    odd = F.when(F.col(rows) > 1, F.pmod(F.xxhash64(whole(text)), F.col(rows))
-                 < F.col(copies) - F.col(each) * F.col(rows)).otherwise(False)
-    times = (F.col(each) + odd.cast("long")).cast("int")
-    return out.withColumn(copy, F.explode(F.array_repeat(F.lit(0), times))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    out = out.withColumn(odd, F.col(copies) - F.col(each) * F.col(rows))
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    hashable = [F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t and t != "variant"]
+    uneven = write_through(out.filter(F.col(odd) > 0).select(
+        *kept, p_id, p_source, p_size, each, odd, F.xxhash64(*hashable).alias(hashed),
+        F.monotonically_increasing_id().alias(row)), "mix-uneven")
+    parts = [out.filter(F.col(odd) == 0).select(*kept, F.col(each).alias(each))]
+    if not uneven.isEmpty():
+        # The rows are written, so their numbers are fixed; only keys and numbers are sorted.
+        slim = uneven.select(F.col(p_id).alias("id"), F.col(p_source).alias("source"), F.col(p_size).alias("size"),
+                             F.col(hashed).alias("hash"), F.col(row).alias("row"))
+        place = with_row_number(ordered(slim, ["id", "source", "size"], ["hash", "row"]), "nr").rows()
+        place = place.select(F.col("row").alias(copy), F.col("nr").alias(copies))
+        uneven = uneven.join(place, F.col(row) == F.col(copy))
+        parts.append(uneven.select(*kept, (F.col(each) + (F.col(copies) <= F.col(odd)).cast("long")).alias(each)))
+    out = reduce(DataFrame.unionByName, parts)
+    times = F.col(each).cast("int")
+    return out.withColumn(copy, F.explode(F.array_repeat(F.lit(0), times))).select(*kept)
