@@ -134,21 +134,21 @@ def salt_pair(fact: DataFrame, dim: DataFrame, key: str, salts: int | None = Non
     copies of one row share a salt, and AQE splits that partition further.
     """
     share = share or 1.0 / shuffle_width(fact.sparkSession)
-    hot = large_keys(fact, [key], share).select(
-        F.col("_k0").alias(key), (F.lit(salts) if salts else F.col("_parts")).alias("_hot"))
-    content = F.pmod(F.xxhash64(*fact.columns), F.col("_hot")).cast("int")
-    left = fact.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull(), content).otherwise(0)
-    ).drop("_hot")
-    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.col("_hot") - 1)).otherwise(
-        F.array(F.lit(0))
-    )
-    right = (
-        dim.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_hot")
-    )
-    return left, right
+    hot = large_keys(fact, [key], share)
+    if not hot:
+        return fact.withColumn("_salt", F.lit(0)), dim.withColumn("_salt", F.lit(0))
+    # At most 1 / share keys: a literal map goes with the plan.
+    in_parts = F.create_map(*[F.lit(x) for h, n in hot.items() for x in (h, salts or n)])
+
+    def parts(own: Column) -> Column:
+        return F.element_at(in_parts, F.xxhash64(own))
+
+    # Hashes depend on the type: the other side's key is hashed as this side's.
+    same_type = F.col(key).try_cast(fact.schema[key].dataType)
+    content = F.pmod(F.xxhash64(*fact.columns), parts(F.col(key))).cast("int")
+    left = fact.withColumn("_salt", F.coalesce(content, F.lit(0)))
+    copies = F.sequence(F.lit(0), F.coalesce(parts(same_type), F.lit(1)) - 1)
+    return left, dim.withColumn("_salt", F.explode(copies))
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, salts: int | None = None,

@@ -1,8 +1,8 @@
 """Per-key ordered computations that do not put a large key into one task.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task, which
-fails once a single key holds a large share of the table.  Here keys are counted
-first.  Those below a share keep the plain window and its one shuffle.  Rows of a
+fails once a single key holds a large share of the table.  Here the frequent keys
+are found first.  Those below a share keep the plain window and its one shuffle.  Rows of a
 large key are range partitioned on (keys, order) and so spread over many chunks;
 window functions run inside (chunk, key), and what has to cross a chunk border is
 carried over separately.  Only a key that continues from the chunk before needs a
@@ -15,12 +15,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import shuffle_width, write_through
 
 CHUNK = "_chunk"
+SKETCH_MOST = 1_000_000  # the sketch tracks no more items
 
 
 @dataclass(frozen=True)
@@ -41,24 +42,28 @@ class Ordered:
         return self.df.drop(CHUNK)
 
 
-def large_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """Keys above ``share`` of the rows, in columns ``_k0, _k1, ...``, and in how many
-    parts of that share each would fall (``_parts``).
+def key_hash(keys: list[str]) -> Column:
+    """One number per key value; NULL has one too.  Keys that collide are only treated alike."""
+    return F.xxhash64(*keys)
 
-    There are at most ``1 / share`` of them, so they are fetched and come back as a
-    local table: using it often does not count the keys again.  The total is observed
-    while the keys are counted, so ``df`` is read once.
+
+def large_keys(df: DataFrame, keys: list[str], share: float) -> dict[int, int]:
+    """``key_hash`` of the keys above ``share`` of the rows, and in how many parts of
+    that share each would fall.
+
+    A sketch of the most frequent keys finds them in one pass without shuffling a key:
+    each task sends a summary of bounded size.  Its counts are right up to a few percent
+    of ``share``, which is enough to decide what is spread; results do not depend on it.
+    There are at most ``1 / share`` keys, none in an empty table.
     """
     if not 0 < share <= 1:
         raise ValueError("share must be above 0 and at most 1")
-    seen = Observation()
-    counts = df.observe(seen, F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(F.count("*").alias("_n"))
-    names = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    top = counts.orderBy(F.desc("_n")).limit(math.ceil(1 / share)).select(*names, "_n")
-    rows = top.collect()
-    least = seen.get["n"] * share
-    large = [(*r[:-1], math.ceil(r["_n"] / least)) for r in rows if r["_n"] > least]
-    return df.sparkSession.createDataFrame(large, top.drop("_n").schema.add("_parts", "integer"))
+    most = min(math.ceil(1 / share), SKETCH_MOST)
+    items = min(max(64 * most, 4096), SKETCH_MOST)
+    found = df.select(key_hash(keys).alias("_h")).agg(
+        F.expr(f"approx_top_k(_h, {most}, {items})").alias("top"), F.count("*").alias("n")).first()
+    least = found["n"] * share
+    return {r["item"]: math.ceil(r["count"] / least) for r in found["top"] or [] if r["count"] > least}
 
 
 def ordered(df: DataFrame, keys: list[str], order: list[str],
@@ -69,7 +74,7 @@ def ordered(df: DataFrame, keys: list[str], order: list[str],
     over ``chunks``; the others stay whole in chunk 0.  The spread rows are written
     to the shared folder: range borders come from a sample, so chunk numbers have
     to be fixed before they are used twice.  ``df`` is read up to three times (key
-    counts, small keys, large keys): write a costly one through before.
+    sketch, small keys, large keys): write a costly one through before.
     """
     n = chunks or shuffle_width(df.sparkSession)
 
@@ -83,12 +88,9 @@ def ordered(df: DataFrame, keys: list[str], order: list[str],
         return Ordered(spread(df), (), tuple(order))
     large = large_keys(df, keys, share or 1.0 / n)
     whole = df.withColumn(CHUNK, F.lit(0))
-    if large.take(1):
-        same = F.lit(True)
-        for i, k in enumerate(keys):
-            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-        small = whole.join(F.broadcast(large), same, "left_anti")
-        whole = small.unionByName(spread(df.join(F.broadcast(large), same, "left_semi")))
+    if large:
+        is_large = key_hash(keys).isin(list(large))
+        whole = whole.filter(~is_large).unionByName(spread(df.filter(is_large)))
     return Ordered(whole, tuple(keys), tuple(order))
 
 
