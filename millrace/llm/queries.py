@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, fingerprints, language, mixing, packing, repeats, secrets, simhash, suffix_tree, toxicity
+from millrace.llm import exact, fingerprints, language, mixing, packing, personal, repeats, secrets, simhash, suffix_tree, toxicity
 from millrace.llm.common import crc_mod, whole
 from millrace.plans.registry import Query
 from millrace.tables import load
@@ -128,3 +128,21 @@ def column_wise_suffix_dedup(spark, sf):
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
                         F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+def _kind(number):
+    return lambda span: span["kind"] == number
+
+
+@query("op13_anchor_expansion")
+def anchor_expansion(spark, sf):
+    found = personal.find(load(spark, sf, "documents", "doc_id", "text"))
+    kinds = F.array(*[F.lit(k) for k in personal.KINDS])
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat(
+            F.get(kinds, s["kind"]), F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
+
+    counts = [F.size(F.filter("spans", _kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(personal.BASE)]
+    base = F.filter("spans", lambda s: s["kind"] < len(personal.BASE))
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
