@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, fingerprints, language, mixing, packing, personal, repeats, secrets, simhash, suffix_tree, toxicity
+from millrace.llm import exact, fingerprints, language, mixing, packing, personal, repeats, secrets, simhash, suffix_tree, toxicity, trie
 from millrace.llm.common import crc_mod, whole
 from millrace.plans.registry import Query
 from millrace.tables import load
@@ -146,3 +146,48 @@ def anchor_expansion(spark, sf):
     counts = [F.size(F.filter("spans", _kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(personal.BASE)]
     base = F.filter("spans", lambda s: s["kind"] < len(personal.BASE))
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+@query("op12_truncation_peeling", r"""
+    WITH crc AS (
+      SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+          lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i))),
+    numbered AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+      FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (
+      SELECT conv_id, n, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+          [4294967295] || list_transform(range(1, length(s) + 1), lambda j: CAST(ascii(substr(s, j, 1)) AS BIGINT)),
+          lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 4 AS h
+      FROM (SELECT conv_id, count(*) AS n, CAST(conv_id AS VARCHAR) AS s FROM numbered GROUP BY conv_id), crc),
+    rebuilt AS (
+      SELECT c.conv_id, b.place AS depth, b.role, b.text
+      FROM convs c JOIN numbered b ON b.conv_id = c.base AND b.place <= c.h
+      UNION ALL
+      SELECT c.conv_id, least(c.h, coalesce(b.n, 0)) + o.place - c.h, o.role, o.text
+      FROM convs c JOIN numbered o ON o.conv_id = c.conv_id AND o.place > c.h LEFT JOIN convs b ON b.conv_id = c.base),
+    prefixes AS (
+      SELECT conv_id, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+        md5(CAST(list(md5(role) || md5(text)) OVER (PARTITION BY conv_id ORDER BY depth) AS VARCHAR)) AS node FROM rebuilt
+      UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+    members AS (
+      SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS up,
+        depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM prefixes),
+    merged AS (
+      SELECT depth, node, min(up) AS up, min(words) AS words, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+      FROM members GROUP BY depth, node),
+    children AS (SELECT up AS node, count(*) AS n_children FROM merged WHERE up IS NOT NULL GROUP BY up),
+    sums AS (
+      SELECT a.node, count(*) FILTER (WHERE k.node IS NULL) AS n_leaves, sum((m.n_convs - 1) * m.words) AS saved_tokens
+      FROM merged m JOIN members a ON a.conv_id = m.conv_id AND a.depth <= m.depth LEFT JOIN children k ON k.node = m.node
+      GROUP BY a.node)
+    SELECT m.conv_id, CAST(m.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, m.n_convs,
+      coalesce(k.n_children, 0) AS n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+    FROM merged m LEFT JOIN merged p ON p.node = m.up LEFT JOIN children k ON k.node = m.node JOIN sums s ON s.node = m.node
+""")
+def truncation_peeling(spark, sf):
+    return trie.nodes(load(spark, sf, "conversations", "conv_id", "turn", "role", "text")).drop("node")
