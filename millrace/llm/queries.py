@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, fingerprints, language, mixing, packing, personal, repeats, secrets, simhash, suffix_tree, toxicity, trie
+from millrace.llm import alignment, exact, fingerprints, language, mixing, packing, personal, repeats, secrets, simhash, suffix_tree, toxicity, trie
 from millrace.llm.common import crc_mod, whole
 from millrace.plans.registry import Query
 from millrace.tables import load
@@ -61,10 +61,10 @@ def salted_exact_dedup(spark, sf):
     return exact.groups(load(spark, sf, "documents", "doc_id", "text"))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op9_swap_packing")
@@ -191,3 +191,9 @@ def anchor_expansion(spark, sf):
 """)
 def truncation_peeling(spark, sf):
     return trie.nodes(load(spark, sf, "conversations", "conv_id", "turn", "role", "text")).drop("node")
+
+
+@query("op11_tokenizer_alignment")
+def tokenizer_alignment(spark, sf):
+    docs = load(spark, sf, "documents", "doc_id", "text")
+    return alignment.align(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
