@@ -20,10 +20,11 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from millrace.llm.packing import byte_letters
 PAIRS = 16_000_000  # pairs of one lookup table: 8 bytes and a few bits each
 PER_BUCKET = 1 << 16
 FAN_IN = 16
-KNOWN = 200_000  # chunks a task remembers
+KNOWN = 600_000  # chunks a Python worker remembers
 HELD = 2_000_000  # pairs a task counts before it hands them on
 # A space between two other characters starts a new token in both tokenizers.
 BORDER = re.compile(r"(?<=\S)(?= \S)")
@@ -144,7 +145,7 @@ class Lookup:
         return counts, ((counts > 0) & (counts == self.best[pairs // self.size_b])).astype(np.int64)
 
 
-# ------------------------------------------------------------ aligning one chunk
+# ------------------------------------------------------------ aligning chunks
 
 class Tokenizers:
     """Both tokenizers and the bytes of all their tokens."""
@@ -165,6 +166,8 @@ class Tokenizers:
         for i in range(self.b.vocab_size()):
             piece = self.b.id_to_piece(i)
             self.bytes_b.append(bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
+        self.size_a, self.size_b = (np.array([len(t) for t in table], np.int64) for table in (self.bytes_a, self.bytes_b))
+        self.name_a, self.name_b = ([str(i) for i in range(len(table))] for table in (self.bytes_a, self.bytes_b))
         # Only if no piece goes on behind a space may a text be cut before spaces.
         self.cuts = not any(" " in self.b.id_to_piece(i).replace("▁", " ").lstrip(" ") for i in range(self.b.vocab_size()))
 
@@ -172,40 +175,135 @@ class Tokenizers:
         """Space and text, cut where both tokenizers always begin a token."""
         return BORDER.split(" " + text) if self.cuts else [" " + text]
 
-    def ids(self, chunks: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of chunks by both; the second tokenizer adds the leading space itself."""
-        first = self.a.encode_batch_fast(chunks, add_special_tokens=False)
-        second = self.b.encode([c[1:] for c in chunks], num_threads=1)
-        for chunk, x, y in zip(chunks, first, second):
-            yield x.ids, y
-
-    def align(self, chunk: str, a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], str, int] | None:
-        """(links, groups as text, number of groups); None if the tokens are not the chunk's bytes."""
-        parts_a, parts_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        plain = chunk.encode("utf-8", "replace")
-        if b"".join(parts_a) != plain or b"".join(parts_b) != plain or not all(parts_a) or not all(parts_b):
-            return None
-        links, groups = [], []
-        i = j = from_i = from_j = 0
-        end_a, end_b = len(parts_a[0]), len(parts_b[0])
-        while True:
-            links.append((a[i], b[j]))
-            if end_a == end_b:
-                groups.append(",".join(map(str, a[from_i:i + 1])) + "|" + ",".join(map(str, b[from_j:j + 1])))
-                i, j = i + 1, j + 1
-                from_i, from_j = i, j
-                if i == len(a):
-                    return links, ";".join(groups), len(groups)
-                end_a, end_b = end_a + len(parts_a[i]), end_b + len(parts_b[j])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(parts_a[i])
-            else:
-                j += 1
-                end_b += len(parts_b[j])
+    def encode_a(self, chunks: list[str], plain: int) -> np.ndarray:
+        """Ids of all chunks, end to end, by the first tokenizer.  It begins a token at each of the
+        first ``plain`` chunks, so they go through it 64 at once."""
+        rows = ["".join(chunks[at:min(at + 64, plain)]) for at in range(0, plain, 64)] + chunks[plain:]
+        found = self.a.encode_batch_fast(rows, add_special_tokens=False)
+        return np.fromiter(chain.from_iterable(f.ids for f in found), np.int64)
+
+    def encode_b(self, chunks: list[str]) -> list[list[int]]:
+        """Ids by the second tokenizer, which adds the leading space itself."""
+        return self.b.encode([c[1:] for c in chunks], num_threads=1)
+
+
+class Aligned:
+    """Facts of some chunks, with the links of all of them in one array.
+
+    All chunks are laid end to end.  Both tokenizers end a token at each chunk's end, so
+    one sorted list of byte offsets gives the links and the groups of all chunks at once:
+    every stretch between two offsets lies in one token of each.
+    """
+
+    def __init__(self, both: Tokenizers, chunks: list[str], plain: int, with_groups: bool):
+        flat_a, ids_b = both.encode_a(chunks, plain), both.encode_b(chunks)
+        flat_b = np.fromiter(chain.from_iterable(ids_b), np.int64)
+        own = [c.encode("utf-8", "replace") for c in chunks]
+        good = np.ones(len(chunks), bool)
+        whole = b"".join(own)
+        if b"".join([both.bytes_a[i] for i in flat_a.tolist()]) != whole or b"".join([both.bytes_b[i] for i in flat_b.tolist()]) != whole \
+                or not (both.size_a[flat_a].all() and both.size_b[flat_b].all() and all(ids_b)):
+            ids_a = [both.encode_a([c], 0) for c in chunks]
+            for at, (x, y, part) in enumerate(zip(ids_a, ids_b, own)):
+                good[at] = (b"".join([both.bytes_a[i] for i in x]) == part == b"".join([both.bytes_b[i] for i in y])
+                            and len(x) > 0 and bool(both.size_a[x].all() and both.size_b[y].all()))
+            flat_a = np.concatenate([*[x for x, ok in zip(ids_a, good) if ok], np.zeros(0, np.int64)])
+            flat_b = np.fromiter(chain.from_iterable(y for y, ok in zip(ids_b, good) if ok), np.int64)
+        ends_a, ends_b = np.cumsum(both.size_a[flat_a]), np.cumsum(both.size_b[flat_b])
+        last = np.cumsum([len(p) if ok else 0 for p, ok in zip(own, good)], dtype=np.int64)
+        offsets = np.union1d(ends_a, ends_b)
+        self.links = flat_a[np.searchsorted(ends_a, offsets)] * len(both.bytes_b) + flat_b[np.searchsorted(ends_b, offsets)]
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+
+        def per_chunk(ends: np.ndarray) -> np.ndarray:
+            return np.diff(np.searchsorted(ends, last, "right"), prepend=0)
+
+        n_groups, n_links = per_chunk(cuts), per_chunk(offsets)
+        self.facts = np.stack([per_chunk(ends_a), per_chunk(ends_b), n_groups, n_links, ~good], 1).astype(np.int64)
+        self.groups: list[str] = []
+        if with_groups:
+            names_a, names_b = [both.name_a[i] for i in flat_a.tolist()], [both.name_b[i] for i in flat_b.tolist()]
+            upto_a, upto_b = np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1
+            parts, i, j = [], 0, 0
+            for x, y in zip(upto_a.tolist(), upto_b.tolist()):
+                parts.append(f"{names_a[i]}|{names_b[j]}" if x == i + 1 and y == j + 1 else ",".join(names_a[i:x]) + "|" + ",".join(names_b[j:y]))
+                i, j = x, y
+            upto = np.cumsum(n_groups).tolist()
+            self.groups = [";".join(parts[x:y]) for x, y in zip([0, *upto], upto)]
+
+
+class Known:
+    """Chunks aligned so far in this worker; the first ``KNOWN`` of them stay for later tasks.
+
+    A text is split at every space.  Pieces that are empty or have white space at an end
+    show that a space there is no border; such a text is cut by the rule itself.
+    """
+
+    def __init__(self, both: Tokenizers, with_groups: bool):
+        self.both, self.with_groups = both, with_groups
+        self.number: dict[str, int] = {}
+        self.facts, self.links = np.zeros((0, 5), np.int64), np.zeros(0, np.int64)
+        self.starts, self.groups = np.zeros(0, np.int64), []
+        self.scored, self.scores = None, np.zeros((0, 2), np.int64)
+
+    def numbers(self, texts: list[str | None]) -> list[list[int]]:
+        """The numbers of each text's chunks in order, none for null and empty texts."""
+        get, words, odd = self.number.get, {}, {}  # chunks not met before, in order
+        chunked, found = [], []
+        for text in texts:
+            own = text.split(" ") if text else []
+            ids = list(map(get, own))
+            missing = [w for w, i in zip(own, ids) if i is None] if None in ids else []
+            if own and not (self.both.cuts and all(w and not w[0].isspace() and not w[-1].isspace() for w in missing)):
+                # A piece with an odd border is named with its leading space.
+                own = [c if " " in c[1:] or c[1:2].isspace() or c[-1:].isspace() else c[1:] for c in self.both.chunks(text)]
+                ids = list(map(get, own))
+                odd.update((c, None) for c, i in zip(own, ids) if i is None and c[0] == " ")
+                missing = [c for c, i in zip(own, ids) if i is None and c[0] != " "]
+            words.update(dict.fromkeys(missing))
+            chunked.append(own)
+            found.append(ids)
+        if words or odd:
+            aligned = Aligned(self.both, [*[" " + w for w in words], *odd], len(words) if self.both.cuts else 0, self.with_groups)
+            for at, chunk in enumerate([*words, *odd], len(self.number)):
+                self.number[chunk] = at
+            sizes = aligned.facts[:, 3]
+            self.starts = np.concatenate([self.starts, len(self.links) + np.cumsum(sizes) - sizes])
+            self.links, self.facts = np.concatenate([self.links, aligned.links]), np.concatenate([self.facts, aligned.facts])
+            self.groups += aligned.groups
+        number = self.number
+        return [[number[c] if i is None else i for c, i in zip(own, ids)] if None in ids else ids for own, ids in zip(chunked, found)]
+
+    def links_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all links of these chunks, how many each has)."""
+        sizes = self.facts[numbers, 3]
+        shift = self.starts[numbers] - (np.cumsum(sizes) - sizes)
+        return self.links[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
+
+    def values(self, look: "Lookup", name: str) -> np.ndarray:
+        """``FIELDS`` of all chunks, and last whether their bytes differ."""
+        if self.scored != name:
+            self.scored, self.scores = name, self.scores[:0]
+        done = len(self.scores)
+        if done < len(self.facts):
+            pairs, sizes = self.links_of(np.arange(done, len(self.facts)))
+            upto = np.concatenate([[0], np.cumsum(sizes)])
+            sums = [np.concatenate([[0], np.cumsum(part)]) for part in reversed(look(pairs))]
+            self.scores = np.concatenate([self.scores, np.stack([total[upto[1:]] - total[upto[:-1]] for total in sums], 1)])
+        return np.concatenate([self.facts[:, :4], self.scores, self.facts[:, 4:]], 1)
+
+    def forget(self) -> None:
+        """Keep the first ``KNOWN`` chunks only."""
+        if len(self.number) > KNOWN:
+            while len(self.number) > KNOWN:
+                self.number.popitem()
+            self.links = self.links[:self.starts[KNOWN]]
+            self.starts, self.facts, self.scores = self.starts[:KNOWN], self.facts[:KNOWN], self.scores[:KNOWN]
+            del self.groups[KNOWN:]
 
 
 _loaded: dict[tuple[str, str], Tokenizers] = {}
+_known: dict[tuple[str, str, bool], Known] = {}
 
 
 def tokenizers(path_a: str, path_b: str) -> Tokenizers:
@@ -215,11 +313,15 @@ def tokenizers(path_a: str, path_b: str) -> Tokenizers:
     return _loaded[path_a, path_b]
 
 
-def _missing(chunked: list[list[str]], known: dict) -> list[str]:
-    return list(dict.fromkeys(c for chunks in chunked for c in chunks if c not in known))
+def known(path_a: str, path_b: str, with_groups: bool) -> Known:
+    """One per Python worker."""
+    key = (path_a, path_b, with_groups)
+    if key not in _known:
+        _known[key] = Known(tokenizers(path_a, path_b), with_groups)
+    return _known[key]
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
@@ -227,6 +329,13 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.R
 
 # ------------------------------------------------------------ first pass: counts
 
+def _summed(pairs: list[np.ndarray], numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    own, back = np.unique(np.concatenate(pairs), return_inverse=True)
+    out = np.zeros(len(own), np.int64)
+    np.add.at(out, back, np.concatenate(numbers))
+    return own, out
+
+
 def tally(docs: DataFrame, path_a: str, path_b: str, text_col: str = "text") -> DataFrame:
     """``pair, n, spread, part``: in how many documents of a task a pair is linked.
 
@@ -234,35 +343,37 @@ def tally(docs: DataFrame, path_a: str, path_b: str, text_col: str = "text") ->
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = tokenizers(path_a, path_b)
-        size_b = len(both.bytes_b)
-        known: dict[str, frozenset | None] = {}
-        held: Counter = Counter()
-
-        def hand_on():
-            pairs = np.fromiter(held.keys(), np.int64, len(held))
-            numbers = np.fromiter(held.values(), np.int64, len(held))
-            held.clear()
-            for at in range(0, len(pairs), 1 << 16):
-                some = pairs[at:at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(numbers[at:at + (1 << 16)]), pa.array(spread(some))],
+        store = known(path_a, path_b, False)
+        pairs, numbers, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+
+        def out(own, counts):
+            for at in range(0, len(own), 1 << 16):
+                some = own[at:at + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[at:at + (1 << 16)]), pa.array(spread(some))],
                                                  names=["pair", "n", "spread"])
 
         for batch in _slices(batches):
-            chunked = [both.chunks(t) for t in batch.column(0).to_pylist() if t]
-            new = _missing(chunked, known)
-            for chunk, (a, b) in zip(new, both.ids(new)):
-                found = both.align(chunk, a, b)
-                known[chunk] = None if found is None else frozenset(x * size_b + y for x, y in found[0])
-            for chunks in chunked:
-                sets = [known[c] for c in set(chunks)]
-                if None not in sets:
-                    held.update(frozenset().union(*sets))
-            if len(known) > KNOWN:
-                known.clear()
-            if len(held) > HELD:
-                yield from hand_on()
-        yield from hand_on()
+            found = store.numbers(batch.column(0).to_pylist())
+            chunks = np.array([i for own in found for i in own], np.int64)
+            doc = np.repeat(np.arange(len(found)), [len(own) for own in found])
+            bad = np.bincount(doc, store.facts[chunks, 4], len(found))[doc] > 0
+            linked, sizes = store.links_of(chunks[~bad])
+            # Each pair once per document: ids of both vocabularies fit 44 bits.
+            every = np.sort(np.repeat(doc[~bad], sizes) << 44 | linked)
+            once = np.sort(every[np.diff(every, prepend=-1) > 0] & (1 << 44) - 1)
+            first = np.flatnonzero(np.diff(once, prepend=-1))
+            own, counts = once[first], np.diff(first, append=len(once))
+            pairs.append(own)
+            numbers.append(counts)
+            held += len(own)
+            if held > HELD:
+                own, counts = _summed(pairs, numbers)
+                if len(own) > HELD // 2:
+                    yield from out(own, counts)
+                    own, counts = own[:0], counts[:0]
+                pairs, numbers, held = [own], [counts], len(own)
+            store.forget()
+        yield from out(*_summed(pairs, numbers))
 
     rows = docs.select(F.col(text_col).alias("text")).mapInArrow(work, "pair long, n long, spread long")
     return rows.withColumn("part", F.spark_partition_id())
@@ -349,45 +460,21 @@ def _narrowed(counts: bytes) -> tuple[bytes, bool]:
 def _looked_up(rows: DataFrame, kept: list[str], found: Lookup, path_a: str, path_b: str) -> DataFrame:
     """``kept`` columns of ``rows`` (text last) with ``FIELDS`` and ``groups_sha256``."""
     schema = StructType([rows.schema[c] for c in kept] + [StructField(f, LongType()) for f in FIELDS] + [StructField("groups_sha256", StringType())])
-    shared = rows.sparkSession.sparkContext.broadcast(found)  # at most PAIRS pairs
+    shared, name = rows.sparkSession.sparkContext.broadcast(found), uuid.uuid4().hex  # at most PAIRS pairs
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both, look = tokenizers(path_a, path_b), shared.value
-        known: dict[str, int] = {}
-        values, groups = np.zeros((0, len(FIELDS) + 1), np.int64), []
+        store, look = known(path_a, path_b, True), shared.value
         for batch in _slices(batches):
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            chunked = [both.chunks(t) if t else [] for t in texts]
-            new = _missing(chunked, known)
-            if new:
-                rows, links, sizes = [], [], []
-                for chunk, (a, b) in zip(new, both.ids(new)):
-                    known[chunk] = len(known)
-                    one = both.align(chunk, a, b)
-                    pairs, text, n_groups = one or ([], "", 0)
-                    links += [x * look.size_b + y for x, y in pairs]
-                    sizes.append(len(pairs))
-                    groups.append(text)
-                    rows.append((len(a), len(b), n_groups, len(pairs), 0, 0, one is None))
-                more = np.array(rows, np.int64)
-                counts, best = look(np.array(links, np.int64))
-                upto = np.concatenate([[0], np.cumsum(sizes)])
-                for column, part in ((4, best), (5, counts)):
-                    total = np.concatenate([[0], np.cumsum(part)])
-                    more[:, column] = total[upto[1:]] - total[upto[:-1]]
-                values = np.concatenate([values, more])
-            out, digests = np.zeros((len(texts), len(FIELDS)), np.int64), []
-            for at, chunks in enumerate(chunked):
-                own = list(map(known.__getitem__, chunks))
-                sums = values[own].sum(0) if own else None
-                if sums is None or sums[-1]:  # no text, or bytes that are not the text's
-                    digests.append("")
-                    continue
-                out[at] = sums[:-1]
-                digests.append(hashlib.sha256(";".join([groups[i] for i in own]).encode()).hexdigest())
-            if len(known) > KNOWN:
-                known.clear()
-                values, groups = values[:0], []
+            found = store.numbers(batch.column(batch.num_columns - 1).to_pylist())
+            values = store.values(look, name)
+            sums = np.concatenate([np.zeros((1, values.shape[1]), np.int64), values[[i for own in found for i in own]].cumsum(0)])
+            upto = np.concatenate([[0], np.cumsum([len(own) for own in found], dtype=np.int64)])
+            out = sums[upto[1:]] - sums[upto[:-1]]
+            good = (out[:, -1] == 0) & (upto[1:] > upto[:-1])  # else no text, or bytes that are not the text's
+            out[~good] = 0
+            digests = [hashlib.sha256(";".join([store.groups[i] for i in own]).encode()).hexdigest() if ok else ""
+                       for own, ok in zip(found, good.tolist())]
+            store.forget()
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(kept))] + [pa.array(out[:, i]) for i in range(len(FIELDS))]
                                              + [pa.array(digests)], names=schema.names)
 

@@ -68,18 +68,36 @@ TEXTS = ["hello world", "hello  world ", " leading", "trailing ", "  ", " ", "",
          " ".join(f"w{i} it's" for i in range(300)), "​ zero", "\x1c sep \x1d x", "　 ideographic \u0085 next"]
 
 
-@settings(max_examples=400, deadline=None)
-@given(st.text(alphabet="ab A'1.\n\t 　é東▁<|>\x1c\u0085", max_size=30))
-def test_cutting_into_chunks_changes_nothing(text):
-    both = alignment.tokenizers(A, B)
+def check(store, text):
     whole = tokens(text)
-    if not text:
-        return
-    parts = both.chunks(text)
-    found = [both.align(c, *ids) for c, ids in zip(parts, both.ids(parts))]
-    assert (None in found) == (whole is None)
+    own = store.numbers([text])[0]
+    assert bool(own) == bool(text)
+    facts = store.facts[own]
+    assert (not own or bool(facts[:, 4].any())) == (whole is None)
     if whole:
-        assert [p for f in found for p in f[0]] == links(*whole) and ";".join(f[1] for f in found) == ";".join(groups(*whole))
+        codes, _ = store.links_of(np.array(own))
+        size = len(store.both.bytes_b)
+        assert [(int(c) // size, int(c) % size) for c in codes] == links(*whole)
+        assert ";".join(store.groups[i] for i in own) == ";".join(groups(*whole))
+        assert facts[:, :4].sum(0).tolist() == [len(whole[0]), len(whole[1]), len(groups(*whole)), len(links(*whole))]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.text(alphabet="ab A'1.\n\t 　é東▁<|>\x1c\u0085", max_size=30), max_size=4))
+def test_cutting_into_chunks_changes_nothing(texts):
+    store = alignment.Known(alignment.tokenizers(A, B), True)
+    for text in texts:
+        check(store, text)
+        store.forget()
+
+
+def test_forgotten_chunks_are_aligned_again(monkeypatch):
+    monkeypatch.setattr(alignment, "KNOWN", 5)
+    store = alignment.Known(alignment.tokenizers(A, B), True)
+    for text in TEXTS + TEXTS:
+        check(store, text)
+        store.forget()
+        assert len(store.number) == len(store.groups) == len(store.facts) == len(store.starts) <= 5
 
 
 def test_perfect_hash_is_minimal_and_survives_packing():
