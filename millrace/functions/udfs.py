@@ -56,8 +56,10 @@ def geometric_mean(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
     def per_batch(batch: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
         positive = batch[value] > 0
-        parts = batch[keys].assign(_n=positive.astype("int64"), _s=np.log(batch[value].where(positive)).fillna(0.0).astype(float))
-        return parts.groupby(keys, dropna=False, sort=False)[["_n", "_s"]].sum().reset_index()
+        # As objects: a text column of the batch may be chunked, which has no way back into a struct.
+        parts = batch[keys].astype(object).assign(_n=positive.astype("int64"), _s=np.log(batch[value].where(positive)).fillna(0.0).astype(float))
+        sums = parts.groupby(keys, dropna=False, sort=False)[["_n", "_s"]].sum().reset_index()
+        return sums.assign(**{k: sums[k].astype(object).where(sums[k].notna(), None) for k in keys})
 
     return aggregate(
         df, keys, [value], per_batch, "_n BIGINT, _s DOUBLE",

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -168,34 +169,65 @@ def dense_ids(df: DataFrame, order: list[str], name: str = "row_id") -> DataFram
     return with_row_number(ordered(df, [], order), name).rows()
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str,
-                    qs: dict[str, float]) -> DataFrame:
-    """Interpolated quantiles per key, exact, without holding a key in one task.
+BINS = 1 << 16  # of one range in one pass
+FEW = 20_000  # ranges that fit the plan of the next pass
 
-    Equal values are counted first, so only distinct values are sorted.
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, float]) -> DataFrame:
+    """Interpolated quantiles per key, exact, by counting: no sort, no shuffle of values.
+
+    Every wanted rank starts with its key's range of values.  A pass counts the rows of
+    each range in ``BINS`` bins of equal width, which partial sums make small before they
+    leave a task; a rank goes on with the smallest and largest value of the bin it falls
+    into, and is done when these are the same.  Bins follow the values' order, so the
+    result is exact whatever the rounding; each pass narrows a range to a 65,536th, however
+    many rows or how hot a key.  NULL values do not count, a NULL key is a key, NaN is
+    larger than all numbers.
     """
-    counts = write_through(
-        df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n")), "counts"
-    )
-    o = with_running_sum(ordered(counts, keys, [value]), "_upto", F.col("_n"))
-    rows = o.rows().withColumn("_from", F.col("_upto") - F.col("_n"))
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    if keys:
-        same = [rows[k].eqNullSafe(totals[k]) for k in keys]
-        rows = rows.join(totals, same).drop(*[totals[k] for k in keys])
-    else:
-        total = totals.first()["_total"]
-        rows = rows.withColumn("_total", F.lit(total))
-    picks = []
-    for name, q in qs.items():
-        pos = (F.col("_total") - 1) * F.lit(q)
-        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            hit = (F.col("_from") <= rank) & (rank < F.col("_upto"))
-            picks.append(F.max(F.when(hit, F.col(value))).alias(f"_{side}_{name}"))
-    agg = rows.groupBy(*keys, "_total").agg(*picks)
-    out = [F.col(k) for k in keys]
+    own = [f"_k{i}" for i in range(len(keys))]
+    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, own)], F.col(value).alias("_v")).filter("_v IS NOT NULL")
+    wanted = sorted({*qs.values()})
+    ranks = [f"CAST({f}((_total - 1) * {float(q)!r}D) AS BIGINT)" for q in wanted for f in ("floor", "ceil")]
+    span = rows.groupBy(*own).agg(F.expr("count(*) AS _total"), F.expr("min(_v) AS _lo"), F.expr("max(_v) AS _hi"))
+    goals = span.selectExpr(*own, "_total", "_lo", "_hi", f"explode(array_distinct(array({', '.join(ranks)}))) AS _rank", "0L AS _base")
+    same_key = " AND ".join(["true", *[f"{n} <=> _r{n}" for n in own]])
+    # Halves keep the difference finite; infinite and NaN ends leave the middle to one bin.
+    share = "(CAST(_v AS DOUBLE) / 2 - CAST(_lo AS DOUBLE) / 2) / (CAST(_hi AS DOUBLE) / 2 - CAST(_lo AS DOUBLE) / 2)"
+    place = f"""CASE WHEN _v = _lo THEN -1 WHEN _v = _hi THEN {BINS + 1} WHEN isnan({share}) THEN {BINS // 2}
+                ELSE CAST(floor(least(greatest({share}, 0D), 1D) * {BINS}) AS INT) END"""
+    of_range = ", ".join([*[f"_r{n}" for n in own], "_lo", "_hi"])
+    upto = f"(PARTITION BY {of_range} ORDER BY _bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    spark, done, local = df.sparkSession, [], True
+
+    def kept(table: DataFrame) -> DataFrame:
+        """Cut the lineage: as local rows while they are few, else in the shared folder."""
+        nonlocal local
+        if local:
+            some = table.limit(FEW + 1).toArrow()
+            if some.num_rows <= FEW:
+                return spark.createDataFrame(some)
+            local = False
+        return write_through(table, "quantiles")
+
+    goals = kept(goals)
+    while True:
+        done.append(goals.filter("_lo <=> _hi"))
+        goals = goals.filter("NOT _lo <=> _hi")
+        if goals.isEmpty():
+            break
+        ranges = goals.selectExpr(*[f"{n} AS _r{n}" for n in own], "_lo", "_hi").distinct()
+        met = rows.join(F.broadcast(ranges) if local else ranges, F.expr(f"{same_key} AND _v >= _lo AND _v <= _hi"))
+        cells = met.groupBy(*[f"_r{n}" for n in own], "_lo", "_hi", F.expr(f"{place} AS _bin")).agg(
+            F.expr("count(*) AS _n"), F.expr("min(_v) AS _from"), F.expr("max(_v) AS _to"))
+        cells = cells.selectExpr(*[f"_r{n}" for n in own], "_lo AS _clo", "_hi AS _chi", "_n", "_from", "_to",
+                                 f"coalesce(sum(_n) OVER {upto}, 0L) AS _before")
+        hit = goals.join(cells, F.expr(f"{same_key} AND _lo <=> _clo AND _hi <=> _chi")) \
+            .filter("_base + _before <= _rank AND _rank < _base + _before + _n")
+        goals = kept(hit.selectExpr(*own, "_total", "_from AS _lo", "_to AS _hi", "_rank", "_base + _before AS _base"))
+    found = reduce(DataFrame.unionByName, done)
+    picks = [F.expr(f"max(CASE WHEN _rank = {r} THEN _lo END) AS _at{i}") for i, r in enumerate(ranks)]
+    out = [F.col(n).alias(k) for k, n in zip(keys, own)]
     for name, q in qs.items():
-        pos = (F.col("_total") - 1) * F.lit(q)
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return agg.select(*out)
+        i, pos = 2 * wanted.index(q), f"((_total - 1) * {float(q)!r}D)"
+        out.append(F.expr(f"CASE WHEN _at{i} = _at{i + 1} THEN _at{i} ELSE _at{i} + (_at{i + 1} - _at{i}) * ({pos} - floor({pos})) END").alias(name))
+    return found.groupBy(*own, "_total").agg(*picks).select(*out)

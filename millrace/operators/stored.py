@@ -3,6 +3,11 @@
 Partitions with an affected row are found first; they are computed anew and put in
 place by a dynamic partition overwrite, which stages its files before it swaps them.
 Files of other partitions are not read again, moved or renamed.  One writer at a time.
+
+Partition values are read as the text in their directories' names and written back as
+that text, so ``month=01`` stays ``month=01``; conditions and values see them as text.
+Partitions that lose all their rows are removed after the others are in place: a run
+that fails in between has kept rows it should have deleted and is repaired by a rerun.
 """
 
 from __future__ import annotations
@@ -11,9 +16,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType, StringType, StructField, StructType
 
 from millrace.operators import changes
-from millrace.session import write_through
+from millrace.session import settings, write_through
 from millrace.sources.sinks import replace_partitions
 
 DIR = "_dir"
@@ -36,13 +42,26 @@ def _rewrite(spark: SparkSession, path: str, by: list[str], touched: DataFrame,
     left = rows.select(*by).distinct().select(*[F.col(c).alias(f"_p_{c}") for c in by])
     same = reduce(lambda a, b: a & b, [touched[c].eqNullSafe(left[f"_p_{c}"]) for c in by])
     gone = touched.filter(f"{DIR} IS NOT NULL").join(left, same, "left_anti").select(DIR).collect()
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     for row in gone:
-        fs.delete(hadoop(row[DIR]), True)
+        # The metadata column holds a URI: blanks and percent signs of the name are escaped in it.
+        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row[DIR]))
+        if not fs.delete(folder, True) and fs.exists(folder):
+            raise OSError(f"cannot delete {row[DIR]}")
     return touched.count()
 
 
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """The table with partition values as they are written in the directories' names."""
+    with settings(spark, spark__sql__sources__partitionColumnTypeInference__enabled="false"):
+        table = spark.read.parquet(path)
+    if any(f.dataType == NullType() for f in table.schema):  # only the partition of NULL is left
+        whole = StructType([StructField(f.name, StringType() if f.dataType == NullType() else f.dataType) for f in table.schema])
+        return spark.read.schema(whole).parquet(path)
+    return table
+
+
 def _placed(table: DataFrame) -> DataFrame:
     """The table's rows with the directory they are in."""
     return table.withColumn(DIR, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""))
@@ -61,14 +80,14 @@ def _check(by: list[str], values: dict[str, Column] | None) -> None:
 def update(spark: SparkSession, path: str, by: list[str], condition: Column, values: dict[str, Column]) -> int:
     """UPDATE: set ``values`` where ``condition`` is true; NULL counts as false."""
     _check(by, values)
-    table = spark.read.parquet(path)
+    table = _read(spark, path)
     touched = _touched(_placed(table).filter(condition), by)
     return _rewrite(spark, path, by, touched, changes.update_where(_within(table, touched, by), condition, values))
 
 
 def delete(spark: SparkSession, path: str, by: list[str], condition: Column) -> int:
     """DELETE: rows where ``condition`` is true go; NULL counts as false."""
-    table = spark.read.parquet(path)
+    table = _read(spark, path)
     touched = _touched(_placed(table).filter(condition), by)
     return _rewrite(spark, path, by, touched, changes.delete_where(_within(table, touched, by), condition))
 
@@ -82,7 +101,7 @@ def merge(spark: SparkSession, path: str, by: list[str], source: DataFrame, keys
     """
     for _, values in matched:
         _check(by, values)
-    table = spark.read.parquet(path)
+    table = _read(spark, path)
     source = write_through(source, "merge-source")
     parts = _touched(_placed(table).join(source.select(*keys), keys, "left_semi"), by)
     if insert is not None:

@@ -215,3 +215,27 @@ def test_small_source_merge_does_not_shuffle_the_target(spark, sf):
 def test_every_query_key_is_described(spark):
     assert len(registry.QUERIES) >= 120
     assert all(fn.__module__.startswith("millrace.plans.") for fn in registry.QUERIES.values())
+
+
+def test_stored_partitions_keep_their_names(spark, tmp_path):
+    path = str(tmp_path / "t")
+    regions = ["North America", "50% off", "a+b", "plain", None]
+    rows = [(i, regions[i % 5], f"{i % 3 + 1:02d}", 0) for i in range(30)]
+    spark.createDataFrame(rows, "id INT, region STRING, month STRING, v INT").write.partitionBy("region", "month").parquet(path)
+
+    def table():
+        got = spark.read.option("basePath", path).parquet(path)
+        return sorted((r["id"], r["v"]) for r in got.collect()), sorted(glob.glob(f"{path}/*/*"))
+    before = table()
+    assert len(before[0]) == 30 and any("month=01" in p for p in before[1])
+    by = ["region", "month"]
+    assert stored.update(spark, path, by, F.expr("month = '01'"), {"v": F.lit(1)}) == 5
+    after = table()
+    assert after[1] == before[1] and [i for i, _ in after[0]] == list(range(30)) and sum(v for _, v in after[0]) == 10
+    for n, region in enumerate(regions):
+        gone = F.col("region").eqNullSafe(F.lit(region))
+        assert stored.delete(spark, path, by, gone) == 3
+        left = [(i, int(i % 3 == 0)) for i in range(30) if i % 5 > n]
+        if left:
+            assert table()[0] == left
+    assert glob.glob(f"{path}/*/*") == []

@@ -121,3 +121,52 @@ def test_sessions_of_a_busy_key(spark):
     want = df.groupBy("k", F.session_window("ts", "300 seconds").alias("w")).agg(F.count("*").alias("n")).select(
         "k", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
     same(got, want)
+
+
+def test_quantiles_of_awkward_values(spark):
+    inf, nan = float("inf"), float("nan")
+    data = [("a", v) for v in (-inf, -1.7e308, 1.7e308, inf, 0.0, 5e-324)] + [("b", nan), ("b", 1.0), ("b", nan)] + [("c", None)] \
+        + [(None, float(i)) for i in range(101)] + [("d", 2.5)] * 1000 + [("e", 10.0 ** -i) for i in range(300)]
+    df = spark.createDataFrame(data, "k string, v double").repartition(4)
+    got = {r["k"]: (r["lo"], r["mid"], r["hi"]) for r in exact_quantiles(df, ["k"], "v", {"lo": 0.0, "mid": 0.4, "hi": 1.0}).collect()}
+    assert "c" not in got and got["d"] == (2.5, 2.5, 2.5) and got[None] == (0.0, 40.0, 100.0)
+    assert got["a"] == (-inf, 0.0, inf) and got["b"][0] == 1.0 and got["b"][2] != got["b"][2]
+    want = sorted(10.0 ** -i for i in range(300))
+    assert got["e"] == (want[0], pytest.approx(want[119] + 0.6 * (want[120] - want[119])), 1.0)
+    assert exact_quantiles(df.limit(0), ["k"], "v", {"m": 0.5}).collect() == []
+    whole = spark.range(1001).select((F.col("id") * 8 % 1001).alias("v"))
+    assert exact_quantiles(whole, [], "v", {"m": 0.5, "p": 0.999}).first()[:] == (500.0, 999.0)
+
+
+def test_quantiles_of_many_keys_stay_in_tables(spark, monkeypatch):
+    from millrace.operators import ordered as module
+
+    monkeypatch.setattr(module, "FEW", 10)
+    df = spark.range(5000).select((F.col("id") % 40).alias("k"), (F.col("id") * 37 % 1009).cast("double").alias("v"))
+    got = exact_quantiles(df, ["k"], "v", {"m": 0.5}).select("k", F.round("m", 6).alias("m"))
+    same(got, df.groupBy("k").agg(F.round(F.expr("percentile(v, 0.5)"), 6).alias("m")))
+
+
+def test_quantiles_do_not_sort_values(spark, skewed):
+    from millrace import controls
+
+    plan = controls.executed_plan(exact_quantiles(skewed, ["k"], "v", {"m": 0.5}))
+    assert "Sort [v" not in plan and "Sort [_v" not in plan
+
+
+def test_empty_tables_have_no_large_keys(spark):
+    from millrace.operators import metrics
+
+    none = spark.createDataFrame([], "k int, id long, ts timestamp_ntz, v double")
+    assert windows.sessionize(none, "k", "ts", "id", 300).collect() == []
+    assert with_row_number(ordered(none, ["k"], ["id"]), "n").rows().collect() == []
+    dim = spark.createDataFrame([(1, "x")], "k int, name string")
+    assert joins.salted_join(none, dim, "k").collect() == []
+    assert joins.salted_join(none.filter("v > 3"), dim, "k").collect() == []
+
+
+def test_salts_meet_over_key_types(spark):
+    fact = spark.range(3000).select(F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id") % 5).cast("int").alias("k"), "id")
+    dim = spark.range(9).select(F.col("id").alias("k"), (F.col("id") * 2).alias("name")).union(spark.createDataFrame([(1 << 40, 1)], "k long, name long"))
+    plain = fact.join(dim, "k")
+    same(joins.salted_join(fact, dim, "k", 4).select(plain.columns), plain)
