@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -161,16 +162,21 @@ def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 50,
     return np.concatenate([[beta[0]], beta[1:] / spread])
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic") -> Model | None:
+FOLDS = 3
+
+
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 1400, id_col: str = "doc_id", text_col: str = "text",
+          label_col: str = "toxic", cost: float = 1.5) -> Model | None:
     """Fit on about ``per_class`` labelled documents of each class (the documented bound).
 
     They are drawn from the labels by the hash of the id, so the sample is known before
     a text is read: at most about twice ``per_class`` ids are broadcast and no text but
     the sample's moves.  Labels other than 0 and 1 and null ids and texts teach nothing;
-    of several labels the toxic one counts.  Two thirds of the sample are counted, the
-    rest fit the curve, weighted back to the classes' true shares.  None if a class has
-    fewer than two labels: then nothing is known and ``score`` says so.
+    of several labels the toxic one counts.  The whole sample is counted.  The curve is
+    fitted on the ratios each third gets from the other two, so on texts their counts have
+    not seen; the classes weigh their true shares, a missed toxic text ``cost`` times a
+    false alarm.  None if a class has fewer than two labels: then nothing is known and
+    ``score`` says so.
     """
     marks = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("toxic")) \
         .filter("_id IS NOT NULL AND toxic IN (0, 1)").groupBy("_id").agg(F.max("toxic").alias("toxic"))
@@ -183,38 +189,50 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, id_col: str
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
     rows = texts.join(F.broadcast(marks.filter(unit < limit)), F.col("_doc") == F.col("_id"))
     once = write_through(rows.groupBy("text").agg(F.max("toxic").alias("toxic")), "toxic-sample")
-    drawn = once.withColumn("fold", F.pmod(F.xxhash64(F.lit(4), "text"), F.lit(3)))
+    drawn = once.withColumn("fold", F.pmod(F.xxhash64(F.lit(4), "text"), F.lit(FOLDS)).cast("int"))
     if once.isEmpty():
         return None
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: Counter = Counter()
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, label, fold in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 own = words(text)
-                grams.update({(label, v, w) for v, w in zip((START, *own), own)})
-        c, v, w = zip(*grams) if grams else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()), pa.array(v, pa.binary()), pa.array(w, pa.binary()),
-                                          pa.array(grams.values(), pa.int64())], names=["toxic", "v", "w", "n"])
-
-    counted = drawn.filter("fold > 0").select("text", "toxic").mapInArrow(count, "toxic int, v binary, w binary, n long")
-    table = counted.groupBy("toxic", "v", "w").agg(F.sum("n").alias("n")).toArrow()
-    grams = {TOXIC: Counter(), ORDINARY: Counter()}
-    for c, v, w, n in zip(*(table.column(k).to_pylist() for k in ("toxic", "v", "w", "n"))):
-        grams[c][v, w] = n
-    del table
-    model = estimate(grams)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = shared.value.ratios(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(x[:, 0]), pa.array(x[:, 1])], names=["toxic", "a", "b"])
-
-    seen = drawn.filter("fold = 0").select("text", "toxic").mapInArrow(measure, "toxic int, a double, b double").toPandas()
+                grams.update({(fold, label, v, w) for v, w in zip((START, *own), own)})
+        f, c, v, w = zip(*grams) if grams else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(f, pa.int32()), pa.array(c, pa.int32()), pa.array(v, pa.binary()),
+                                          pa.array(w, pa.binary()), pa.array(grams.values(), pa.int64())], names=["fold", "toxic", "v", "w", "n"])
+
+    counted = drawn.select("text", "toxic", "fold").mapInArrow(count, "fold int, toxic int, v binary, w binary, n long")
+    table = counted.groupBy("fold", "toxic", "v", "w").agg(F.sum("n").alias("n")).toArrow()
+
+    def without(left_out: int | None) -> Model:
+        """The model of all folds but one; only one model's counts are held at a time."""
+        grams = {TOXIC: Counter(), ORDINARY: Counter()}
+        for batch in table.to_batches(max_chunksize=1 << 16):
+            for f, c, v, w, n in zip(*(column.to_pylist() for column in batch.columns)):
+                if f != left_out:
+                    grams[c][v, w] += n
+        return estimate(grams)
+
+    def ratios(fold: int) -> pd.DataFrame:
+        """The ratios of one fold's texts by the other folds' model."""
+        shared = docs.sparkSession.sparkContext.broadcast(without(fold))
+
+        def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x = shared.value.ratios(batch.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(x[:, 0]), pa.array(x[:, 1])], names=["toxic", "a", "b"])
+
+        found = drawn.filter(F.col("fold") == fold).select("text", "toxic").mapInArrow(measure, "toxic int, a double, b double").toPandas()
+        shared.unpersist()
+        return found
+
+    seen = pd.concat([ratios(fold) for fold in range(FOLDS)])
+    model = without(None)
     if seen["toxic"].nunique() == 2:
         y = seen["toxic"].to_numpy()
-        model.curve = calibrate(seen[["a", "b"]].to_numpy(), y, np.where(y == TOXIC, 1 / share[TOXIC], 1 / share[ORDINARY]))
+        model.curve = calibrate(seen[["a", "b"]].to_numpy(), y, np.where(y == TOXIC, cost / share[TOXIC], 1 / share[ORDINARY]))
     else:  # too few labels for a curve: the sign of the ratio decides
         model.curve = np.array([0.0, 0.0, 1.0])
     return model
