@@ -41,6 +41,7 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
 
 
 def executed_plan(df: DataFrame) -> str:
-    """The physical plan after adaptive execution has run it."""
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan after adaptive execution has run it; no row comes to the driver."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    return execution.executedPlan().toString()

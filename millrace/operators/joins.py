@@ -10,6 +10,7 @@ from millrace.session import scratch_name, scratch_path, shuffle_width, write_th
 
 # A table up to this many rows may be sent to every executor.
 BROADCAST_ROWS = 200_000
+WIDE_ROW = 4096  # bytes
 
 
 def join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
@@ -18,8 +19,15 @@ def join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` is proven to hold at most ``rows`` rows: a count summed up from all tasks."""
-    return df.count() <= rows
+    """True when ``df`` is proven to hold at most ``rows`` rows.
+
+    Every task stops counting behind that many, so a large side is not read to its end;
+    one the optimiser expects to be far larger than ``rows`` wide rows is not read at all.
+    """
+    expected = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if expected > rows * WIDE_ROW:
+        return False
+    return df.limit(rows + 1).count() <= rows
 
 
 def broadcast_join(left: DataFrame, right: DataFrame, on, how: str = "inner",

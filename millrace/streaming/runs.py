@@ -88,34 +88,59 @@ def enrich(stream: DataFrame, table: DataFrame, key: str, path: str, checkpoint:
     )
 
 
+def _numbered(spark: SparkSession, path: str, kind: str) -> dict[int, str]:
+    """Directories ``<kind>=<number>`` of an upsert log by their number."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(hadoop(path))]
+    return {int(n.split("=")[1]): f"{path}/{n}" for n in names if n.startswith(f"{kind}=")}
+
+
 def latest_state(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The current row of each key in an upsert log."""
-    log = spark.read.option("basePath", path).parquet(path).withColumnRenamed("batch", "write_id")
+    """The current row of each key in an upsert log: its newest fold and the batches after it."""
+    folds = _numbered(spark, path, "fold")
+    upto = max(folds, default=-1)
+    later = [p for n, p in _numbered(spark, path, "batch").items() if n > upto]
+    parts = []
+    if later:
+        parts.append(spark.read.option("basePath", path).parquet(*later).withColumnRenamed("batch", "write_id"))
+    if folds:
+        parts.append(spark.read.parquet(folds[upto]).withColumn("write_id", F.lit(upto)))
+    log = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1].select(parts[0].columns))
     return last_change(log, keys).drop("write_id")
 
 
 def fold_state(spark: SparkSession, path: str, keys: list[str]) -> int:
-    """Compact an upsert log in place: its current rows become its newest batch; the batch's number.
+    """Compact an upsert log in place; the number of its newest batch.
 
-    The fold is written aside and renamed over the newest batch, and only then older
-    ones go, so a reader or a failed fold always finds every key's current row.  Fold
-    between runs of the stream, which then goes on with the next batch number.
+    The current rows are written aside and published as ``fold=<number>`` by one rename.
+    Readers take the newest fold and only batches after it, so what it covers can then be
+    deleted, and a last rename makes it the newest batch.  A fold that fails at any step
+    leaves every key's current row readable, and the next one goes on from there.  Fold between runs of the stream, which then goes on with the next
+    batch number.
     """
-    newest = spark.read.option("basePath", path).parquet(path).agg(F.max("batch")).first()[0]
-    aside = scratch_path(spark, "fold")
-    latest_state(spark, path, keys).write.parquet(aside)
+    folds, batches = _numbered(spark, path, "fold"), _numbered(spark, path, "batch")
+    newest = max([*folds, *batches])
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    older = [f.getPath() for f in fs.listStatus(hadoop(path)) if f.getPath().getName().startswith("batch=")]
-    last = hadoop(f"{path}/batch={newest}")
-    if not (fs.delete(last, True) and fs.rename(hadoop(aside), last)):
-        raise OSError(f"cannot move {aside} to {last}")
-    for old in older:
-        if old.getName() != last.getName():
-            fs.delete(old, True)
+    if newest not in folds:
+        aside = scratch_path(spark, "fold")
+        latest_state(spark, path, keys).write.parquet(aside)
+        if not fs.rename(hadoop(aside), hadoop(f"{path}/fold={newest}")):
+            raise OSError(f"cannot move {aside} to {path}/fold={newest}")
+    for number, old in [*batches.items(), *((n, p) for n, p in folds.items() if n < newest)]:
+        if number <= newest:
+            _drop(fs, hadoop(old))
+    if not fs.rename(hadoop(f"{path}/fold={newest}"), hadoop(f"{path}/batch={newest}")):
+        raise OSError(f"cannot move {path}/fold={newest}")
     return newest
 
 
+def _drop(fs, folder) -> None:
+    if not fs.delete(folder, True) and fs.exists(folder):
+        raise OSError(f"cannot delete {folder}")
+
+
 def hourly_ingest(df: DataFrame, ts_ms: str, path: str, checkpoint: str, default_ms: int | None,
                   every: str | None = "10 seconds", file_rows: int = 1000) -> StreamingQuery:
     """Micro-batches into hourly partitions; offsets are committed after the write.

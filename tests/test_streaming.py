@@ -212,3 +212,23 @@ def test_fraud_rule_runs_on_a_stream(spark, arrivals, tmp_path):
     customers = spark.createDataFrame([(7, "x")], "c_custkey INT, c_mktsegment STRING")
     _, out = run(spark, windows.fraud_alerts(stream, customers, "ts", "1 day", 120.0, "10 minutes"), tmp_path)
     assert [(r["user_id"], r["n"], r["spent"]) for r in spark.read.parquet(out).collect()] == [(7, 3, 300.0)]
+
+
+def test_a_fold_that_fails_loses_no_key(spark, tmp_path, monkeypatch):
+    log = str(tmp_path / "log")
+    for n, data in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 3)]]):
+        spark.createDataFrame(data, "k string, n int").write.parquet(f"{log}/batch={n}")
+    want = [("a", 2), ("b", 1), ("c", 3)]
+
+    def fail(*_):
+        raise OSError("stopped")
+    with monkeypatch.context() as patch:  # between publishing the fold and deleting what it covers
+        patch.setattr(runs, "_drop", fail)
+        with pytest.raises(OSError):
+            runs.fold_state(spark, log, ["k"])
+    assert rows(runs.latest_state(spark, log, ["k"]), "k", "n") == want
+    assert runs.fold_state(spark, log, ["k"]) == 2
+    assert rows(runs.latest_state(spark, log, ["k"]), "k", "n") == want
+    spark.createDataFrame([("b", 9)], "k string, n int").write.parquet(f"{log}/batch=3")
+    assert runs.fold_state(spark, log, ["k"]) == 3
+    assert rows(runs.latest_state(spark, log, ["k"]), "k", "n") == [("a", 2), ("b", 9), ("c", 3)]
