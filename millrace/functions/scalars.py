@@ -87,3 +87,13 @@ def alphabet_part(word: Column, parts: int) -> Column:
         .when(first.rlike(r"^\p{L}$"), 1 % parts)
         .otherwise(parts - 1)
     )
+
+
+def seeded_random(seed: int, *identity: str) -> Column:
+    """A number from 0 up to 1 drawn from a row's identity: the same seed and row always
+    give the same number, also in a recomputed partition, which ``rand(seed)`` does not
+    promise.  A NULL part counts as a value of its own.
+    """
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in identity]
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))

@@ -72,3 +72,10 @@ def fn_iso_parse(spark, sf):
     return load(spark, sf, "orders", "o_orderkey", "o_orderdate").select(
         "o_orderkey", scalars.parse_iso(text).alias("parsed")
     )
+
+
+@query("fn_seeded_random", """
+    SELECT c_custkey, CAST('0x' || substr(md5('7:' || c_custkey), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS r FROM customer
+""")
+def fn_seeded_random(spark, sf):
+    return load(spark, sf, "customer", "c_custkey").select("c_custkey", scalars.seeded_random(7, "c_custkey").alias("r"))

@@ -349,3 +349,11 @@ def test_requests_and_rows_with_nulls_stay(spark):
         ("None", "r", "DENY"), ("u", "None", "DENY"), ("u", "r", "ALLOW")]
     copies = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (None, 0, "c"), (None, 1, "d")], "id INT, at INT, v STRING")
     assert sorted(r["v"] for r in quality.first_copy(copies, ["id"], "at").collect()) == ["a", "c", "d"]
+
+
+def test_seeded_random_repeats_itself(spark):
+    df = spark.range(2000).withColumn("n", F.when(F.col("id") % 9 > 0, F.col("id")))
+    one, two, other = (scalars.seeded_random(s, "id", "n") for s in (1, 1, 2))
+    got = df.repartition(5).select(one.alias("a"), two.alias("b"), other.alias("c")).collect()
+    assert all(r["a"] == r["b"] and 0 <= r["a"] < 1 for r in got) and sum(r["a"] == r["c"] for r in got) == 0
+    assert abs(sum(r["a"] for r in got) / 2000 - 0.5) < 0.03
