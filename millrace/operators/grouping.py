@@ -61,19 +61,3 @@ def roll_up(segments: DataFrame, ts: str, unit: str, by: list[str], sums: list[s
     return segments.groupBy(F.date_trunc(unit, ts).cast("timestamp_ntz").alias(ts), *by).agg(
         *[F.sum(s).alias(s) for s in sums]
     )
-
-
-def geo_counts(logs: DataFrame, ip: str, prefixes: DataFrame) -> DataFrame:
-    """Requests per region by the first octet, one row of ``prefixes`` each.
-
-    Requests are counted per octet first, so at most 257 rows meet the lookup.
-    """
-    octet = F.regexp_extract(ip, r"^(\d{1,3})\.\d{1,3}\.\d{1,3}\.\d{1,3}$", 1)
-    counts = (
-        logs.groupBy(F.try_to_number(octet, F.lit("999")).cast("int").alias("octet"))
-        .agg(F.count("*").alias("_n"))
-    )
-    named = counts.join(prefixes, "octet", "left")
-    return named.groupBy(F.coalesce("region", F.lit("unknown")).alias("region")).agg(
-        F.sum("_n").alias("n")
-    )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import grouping, joins
 from millrace.plans.registry import query
-from millrace.plans.scans import BENCH_CTE, _mix
+from millrace.plans.scans import BENCH_CTE
 from millrace.session import write_through
 from millrace.sources import synth
 from millrace.tables import load
@@ -142,17 +142,3 @@ def merge_rollup_daily(spark, sf):
 """)
 def skew_report(spark, sf):
     return grouping.top_keys(load(spark, sf, "lineitem", "l_suppkey"), "l_suppkey", 10)
-
-
-@query("weblog_geo_counts", f"""
-    WITH o AS (SELECT {_mix('event_id', 5, 223)} + 1 AS octet FROM events)
-    SELECT CASE WHEN octet < 64 THEN 'amer' WHEN octet < 128 THEN 'emea' WHEN octet < 192 THEN 'apac'
-                ELSE 'unknown' END AS region, count(*) AS n FROM o GROUP BY 1
-""")
-def weblog_geo_counts(spark, sf):
-    logs = synth.clickstream(load(spark, sf, "events", "event_id"), "event_id").select("ip_address")
-    octets = spark.range(192).select(
-        F.col("id").cast("int").alias("octet"),
-        F.when(F.col("id") < 64, "amer").when(F.col("id") < 128, "emea").otherwise("apac").alias("region"),
-    )
-    return grouping.geo_counts(logs, "ip_address", octets)

@@ -15,7 +15,7 @@ SQL: dict[str, str] = {}
 MODULES = (
     "scans", "sinks", "filters", "joining", "grouping", "ordering", "unions",
     "scalars", "streams", "logs", "changing", "schemas", "governing", "metering",
-    "checking", "custom", "jobs",
+    "checking", "custom", "jobs", "weblogs",
 )
 
 
