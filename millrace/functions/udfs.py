@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,13 +24,27 @@ def log1p(values: pd.Series) -> pd.Series:
     return np.log1p(values)
 
 
-@F.udtf(returnType=T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("token", T.StringType())]))
-class Tokens:
-    """One row per blank-separated token with its position."""
+def tokens(df: DataFrame, key: str, text: str) -> DataFrame:
+    """One row per blank-separated token with the row's key and its position.
 
-    def eval(self, text: str):
-        for pos, token in enumerate((text or "").split()):
-            yield pos, token
+    A table function on whole Arrow batches: a batch is split at once, without a Python
+    step per row.  Rows whose text is NULL, empty or blank give none.
+    """
+    kind = df.select(key).schema[0].dataType.simpleString()
+
+    class Tokens:
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+            keys, texts = batch.column(0), batch.column(1)
+            words = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(texts))
+            parent, word = pc.list_parent_indices(words), pc.list_flatten(words)
+            rows = parent.to_numpy(zero_copy_only=False)
+            first = np.searchsorted(rows, rows, side="left")
+            pos = pa.array((np.arange(len(rows)) - first).astype("int32"))
+            out = pa.table([keys.take(parent), pos, word], names=[key, "pos", "token"])
+            yield out.filter(pc.not_equal(word, ""))
+
+    function = F.arrow_udtf(Tokens, returnType=f"`{key}` {kind}, pos INT, token STRING")
+    return function(df.select(key, text).asTable())
 
 
 def aggregate(df: DataFrame, keys: list[str], columns: list[str],

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import large_keys
+from millrace.operators.patterns import PATTERN_BYTES, contained
 from millrace.session import scratch_name, scratch_path, shuffle_width, write_through
 
 # A table up to this many rows may be sent to every executor.
@@ -60,9 +61,26 @@ GRAM = 3
 
 
 def like_join(texts: DataFrame, text_id: str, text: str,
-              patterns: DataFrame, pattern_id: str, pattern: str) -> DataFrame:
+              patterns: DataFrame, pattern_id: str, pattern: str,
+              pattern_bytes: int = PATTERN_BYTES) -> DataFrame:
     """Pairs (text_id, pattern_id) with ``text LIKE '%' || pattern || '%'``.
 
+    Patterns of up to ``pattern_bytes`` (each counts 32 more) become one automaton, and each
+    text is walked once where it is; only ids leave.  More patterns meet the texts on pieces.
+    """
+    kept = write_through(
+        patterns.filter(F.col(pattern).isNotNull()).select(pattern_id, pattern), "patterns"
+    )
+    size = kept.agg(F.coalesce(F.sum(F.octet_length(pattern) + 32), F.lit(0))).first()[0]
+    if size <= pattern_bytes:
+        return contained(texts, text_id, text, kept, pattern_id, pattern)
+    return like_join_on_pieces(texts, text_id, text, kept, pattern_id, pattern)
+
+
+def like_join_on_pieces(texts: DataFrame, text_id: str, text: str,
+                        patterns: DataFrame, pattern_id: str, pattern: str) -> DataFrame:
+    """``like_join`` for patterns without a bound, by equality joins.
+
     Every pattern is looked up by one short piece of its own text (its anchor),
     the one that fewest texts contain.  Texts are split into their distinct pieces and
     equi-joined on it, and only these candidates are tested with LIKE: no nested

@@ -4,38 +4,36 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_path
 
 
-def _is_object(text: Column) -> Column:
-    """True when the text parses as one JSON object."""
-    return F.json_object_keys(text).isNotNull()
-
-
 def with_reject_reason(df: DataFrame, value: str, required: dict[str, str]) -> DataFrame:
     """Parse JSON text into typed columns and say per row why it cannot be used.
 
     Adds one column per required field and ``violations``, an array that is empty for
-    a good row: ``not_json``, ``missing:<field>`` or ``type:<field>``.
+    a good row: ``not_json`` (text that is no object, or names a field twice),
+    ``missing:<field>`` (absent or null) or ``type:<field>``.  The text is parsed once; a
+    number read as STRING comes without its trailing zeros.
     """
-    text = F.col(value).cast("string")
-    ddl = ", ".join(f"{name} STRING" for name in required)
-    parsed = df.withColumn("_obj", _is_object(text)).withColumn("_d", F.from_json(text, ddl))
+    parsed = F.try_variant_get(F.try_parse_json(F.col(value).cast("string")), "$", "map<string,variant>")
+    # A generator of one row: a filter on what it makes is not pushed below it, which would parse again.
+    rows = df.select("*", F.explode(F.array(parsed)).alias("_fields"))
+    raw = {name: F.try_variant_get(F.try_element_at("_fields", F.lit(name)), "$", "string") for name in required}
+    rows = rows.withColumn("_raw", F.struct(*[c.alias(f"f{i}") for i, c in enumerate(raw.values())]))
     checks = []
-    for name, kind in required.items():
-        raw = F.col("_d")[name]
-        typed = F.expr(f"try_cast(_d.{name} AS {kind})")
-        parsed = parsed.withColumn(name, typed)
+    for i, (name, kind) in enumerate(required.items()):
+        typed = F.expr(f"try_cast(_raw.f{i} AS {kind})")
+        rows = rows.withColumn(name, typed)
         checks.append(
-            F.when(raw.isNull(), f"missing:{name}").when(typed.isNull(), f"type:{name}")
+            F.when(F.col(f"_raw.f{i}").isNull(), f"missing:{name}").when(typed.isNull(), f"type:{name}")
         )
     found = F.array_compact(F.array(*checks))
-    return parsed.withColumn(
-        "violations", F.when(~F.col("_obj"), F.array(F.lit("not_json"))).otherwise(found)
-    ).drop("_obj", "_d")
+    return rows.withColumn(
+        "violations", F.when(F.col("_fields").isNull(), F.array(F.lit("not_json"))).otherwise(found)
+    ).drop("_fields", "_raw")
 
 
 def split_bad(df: DataFrame, value: str, required: dict[str, str]) -> tuple[DataFrame, DataFrame]:

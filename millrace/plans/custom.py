@@ -34,8 +34,7 @@ def udaf_geomean(spark, sf):
 """)
 def udtf_tokens(spark, sf):
     turns = load(spark, sf, "conversations", "conv_id", "text")
-    tokens = turns.lateralJoin(udfs.Tokens(F.col("text").outer()))
-    return tokens.groupBy("conv_id").agg(
+    return udfs.tokens(turns, "conv_id", "text").groupBy("conv_id").agg(
         F.count("*").alias("n_tokens"), F.max("pos").alias("last_pos")
     )
 

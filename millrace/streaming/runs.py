@@ -49,6 +49,35 @@ def to_parquet(df: DataFrame, path: str, checkpoint: str, by: list[str] | None =
     return writer.trigger(**trigger_options(every)).start()
 
 
+def to_console(df: DataFrame, checkpoint: str, mode: str = "update", rows: int = 20,
+               every: str | None = None, continuous: str | None = None) -> StreamingQuery:
+    """Print what changed, to watch a running stream; ``rows`` of each batch are shown."""
+    writer = df.writeStream.format("console").outputMode(mode).option("numRows", rows).option("truncate", False)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger_options(every, continuous)).start()
+
+
+def to_memory(df: DataFrame, name: str, checkpoint: str, mode: str = "append",
+              every: str | None = None, continuous: str | None = None) -> StreamingQuery:
+    """Keep the rows as the driver's table ``name``: for trials and small aggregates only.
+
+    With ``continuous`` rows pass without batches and arrive at least once; Spark then allows
+    projections and filters only, from sources that support it (rate, Kafka).
+    """
+    writer = df.writeStream.format("memory").queryName(name).outputMode(mode)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger_options(every, continuous)).start()
+
+
+def to_parquet_and_console(df: DataFrame, path: str, checkpoint: str, by: list[str] | None = None,
+                           every: str | None = None, watch_every: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
+    """One plan, two sinks: closed windows appended to Parquet, every change printed.
+
+    Each sink is a query with its own offsets and state, so the console can stop or lag
+    without holding up the files.
+    """
+    files = to_parquet(df, path, f"{checkpoint}/files", by, every)
+    return files, to_console(df, f"{checkpoint}/console", every=watch_every)
+
+
 def to_batches(df: DataFrame, path: str, checkpoint: str, mode: str = "update",
                every: str | None = None) -> StreamingQuery:
     """Write every micro-batch to its own directory ``batch=<id>``, replacing it on a retry.

@@ -93,10 +93,17 @@ def test_like_join_equals_nested_loop(spark):
     )
     patterns = spark.createDataFrame(
         [(1, "quick"), (2, "q%x"), (3, ""), (4, None), (5, "%"), (6, "_b"), (7, "absent"), (8, "a"), (9, "é"), (10, "e_t"),
-         (11, "\\%"), (12, "\\_th"), (13, "aaa"), (14, "ick%fo")], "pid INT, pat STRING",
+         (11, "\\%"), (12, "\\_th"), (13, "aaa"), (14, "ick%fo"), (15, "a%a%a_a%a"), (16, "fox%fox"), (17, "___"), (18, "a"),
+         (19, "_%\\%%s")], "pid INT, pat STRING",
     )
     want = texts.crossJoin(patterns).filter(F.expr("txt LIKE concat('%', pat, '%')")).select("tid", "pid")
     same(joins.like_join(texts, "tid", "txt", patterns, "pid", "pat"), want)
+    same(joins.like_join(texts, "tid", "txt", patterns, "pid", "pat", pattern_bytes=0), want)
+    none = patterns.limit(0)
+    assert joins.like_join(texts, "tid", "txt", none, "pid", "pat").count() == 0
+    assert joins.like_join(texts.limit(0), "tid", "txt", patterns, "pid", "pat").count() == 0
+    with pytest.raises(ValueError, match="backslash"):
+        joins.like_join(texts, "tid", "txt", patterns.selectExpr("pid", "'\\\\q' AS pat"), "pid", "pat")
 
 
 def test_interval_join_equals_range_join(spark):

@@ -1,6 +1,7 @@
 """Streams over files: what a stream gives must be what the table gives."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,6 +153,40 @@ def test_triggers_and_kafka_options(spark):
         topics.read_topic(spark, "broker:9092", "clicks", True, max_per_trigger=1000)
 
 
+def until(condition, seconds=60):
+    end = time.monotonic() + seconds
+    while not condition() and time.monotonic() < end:
+        time.sleep(0.2)
+    assert condition()
+
+
+def test_one_plan_feeds_parquet_and_console(spark, arrivals, tmp_path):
+    path = arrivals(("a", at(1), 1), ("a", at(2), 2), ("b", at(3), 3), ("a", at(50), 4))
+    counts = windows.window_counts(runs.table_stream(spark, path, spark.read.parquet(path).schema), "ts", ["k"], "10 minutes", None, "10 minutes")
+    out, cp = str(tmp_path / "both"), str(tmp_path / "cp-both")
+    queries = runs.to_parquet_and_console(counts, out, cp)
+    for q in queries:
+        runs.finish(q)
+        assert sum(p["numInputRows"] for p in q.recentProgress) == 4
+    assert rows(spark.read.parquet(out), "k", "n") == [("a", 2), ("b", 1)]  # the window at 50 minutes is open
+    assert "Console" in queries[1].recentProgress[0]["sink"]["description"]
+    assert max(p["sink"]["numOutputRows"] for p in queries[1].recentProgress) == 3  # and printed
+
+
+def test_continuous_trigger_reaches_sinks(spark, tmp_path):
+    rate = spark.readStream.format("rate").option("rowsPerSecond", 20).option("numPartitions", 2).load()
+    doubled = rate.filter("value % 2 = 0").select((F.col("value") * 2).alias("v"))
+    query = runs.to_memory(doubled, "continuous_rows", str(tmp_path / "cp-mem"), continuous="1 second")
+    until(lambda: spark.table("continuous_rows").count() >= 10)
+    query.stop()
+    got = {r["v"] for r in spark.table("continuous_rows").collect()}
+    assert {0, 4, 8} <= got and all(v % 4 == 0 for v in got)
+    query = runs.to_console(doubled, str(tmp_path / "cp-con"), mode="append", continuous="1 second")
+    until(lambda: (tmp_path / "cp-con" / "commits" / "0").exists())
+    assert query.exception() is None
+    query.stop()
+
+
 def test_state_lives_in_rocksdb_by_default(spark):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == ROCKSDB_PROVIDER
 
