@@ -4,7 +4,7 @@ Documents become pieces (their ids never leave the task that made them), pieces
 dealt evenly into blocks of bounded size, and each block is packed on its own: best
 fit first, then a local search that moves and exchanges pieces between underfull
 sequences as long as the sum of squared fills grows, which empties sequences.
-A block wastes less than one sequence more than packing all pieces at once would.
+What stays underfull is dealt out anew and exchanged across the former blocks.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from millrace.llm.common import write_through
+from millrace.llm.common import unused, write_through
 
 CAPACITY = 2048
 END = np.array([0], "<u4").tobytes()
@@ -181,6 +182,14 @@ class Bins:
                 open_at[room - size].append(b)
                 rooms |= 1 << (room - size)
 
+    def adopt(self, at: list[int]) -> None:
+        """Take over bins numbered from 0."""
+        self.items = [[] for _ in range(max(at, default=-1) + 1)]
+        self.fill = [0] * len(self.items)
+        for i, b in enumerate(at):
+            self.items[b].append(i)
+            self.fill[b] += self.sizes[i]
+
     def index(self, b: int) -> None:
         if 0 < self.fill[b] < self.capacity:
             for i in self.items[b]:
@@ -237,8 +246,9 @@ class Bins:
             if got := self.lender(b, size + 1, min(size + room, self.capacity), size):
                 self.trade(b, [i], got[1], [self.piece(got[1], got[0])])
                 return True
-        pairs = {self.sizes[i] + self.sizes[j]: [i, j] for i, j in combinations(self.items[b], 2)} \
-            if len(self.items[b]) <= 64 else {}
+        # Distinct lengths are few (63 fill 2,048), however many pieces there are.
+        twice = {self.sizes[i]: [own[self.sizes[i]], i] for i in self.items[b] if own[self.sizes[i]] != i}
+        pairs = {x + y: [own[x], own[y]] for x, y in combinations(own, 2)} | {2 * x: both for x, both in twice.items()}
         for size, both in pairs.items():  # two of this bin for one
             if got := self.lender(b, size + 1, min(size + room, self.capacity), size):
                 self.trade(b, both, got[1], [self.piece(got[1], got[0])])
@@ -274,37 +284,69 @@ class Bins:
                     pass
 
 
-def pack_block(sizes: list[int], capacity: int) -> tuple[list[int], list[int]]:
-    """Bin and offset of each piece."""
+def pack_block(sizes: list[int], capacity: int, start: list[int] | None = None) -> tuple[list[int], list[int], list[int]]:
+    """Bin and offset of each piece, and the fill of its bin; ``start`` gives bins to improve."""
     bins = Bins(sizes, capacity)
-    bins.best_fit()
+    if start is None:
+        bins.best_fit()
+    else:
+        bins.adopt(start)
     bins.search()
     at, offset = [0] * len(sizes), [0] * len(sizes)
-    used = 0
-    for own in bins.items:
+    for b, own in enumerate(bins.items):
         place = 0
         for i in own:
-            at[i], offset[i] = used, place
+            at[i], offset[i] = b, place
             place += sizes[i]
-        used += bool(own)
-    return at, offset
+    return at, offset, [bins.fill[b] for b in at]
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY, block: int = 25_000) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to a table with ``length`` (1 to ``capacity``).
 
     Pieces are dealt by their place in the written table, so repeated rows spread as
-    well.  An empty table stays empty; other columns come through unchanged.
+    well.  Sequences that stay underfull are dealt out anew, whole, and exchange with those of
+    other blocks, as long as their free room would make a sequence and their pieces halve from
+    round to round; a round never adds a sequence.  An empty table stays empty; other columns
+    come through unchanged.
     """
     parts = write_through(parts, "pieces")
-    blocks = max(1, -(-parts.count() // block))
-    dealt = parts.withColumn("_block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
-    schema = StructType([*parts.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
+    dealt_to, fill = unused(parts, "_block", "_fill")
+    count = parts.count()
+    blocks = max(1, -(-count // block))
+    fields = [*parts.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]
+    schema = StructType([*fields, StructField(fill, LongType())])
+    given = parts.columns
+
+    def placed(table, ids, offset, full):
+        added = zip(("sequence_id", "offset", fill), (ids, offset, full))
+        table = table.select(given)
+        for name, values in added:
+            table = table.append_column(name, pa.array(values, pa.int64()))
+        return table
 
     def place(key, table):
-        at, offset = pack_block(table.column("length").to_pylist(), capacity)
-        ids = (np.int64(key[0].as_py()) << np.int64(32)) | np.array(at, np.int64)
-        return table.drop_columns(["_block"]).append_column("sequence_id", pa.array(ids)) \
-            .append_column("offset", pa.array(offset, pa.int64()))
-
-    return dealt.groupBy("_block").applyInArrow(place, schema)
+        at, offset, full = pack_block(table.column("length").to_pylist(), capacity)
+        return placed(table, (np.int64(key[0].as_py()) << np.int64(32)) | np.array(at, np.int64), offset, full)
+
+    def exchange(key, table):
+        known, start = np.unique(table.column("sequence_id").to_numpy(), return_inverse=True)
+        at, offset, full = pack_block(table.column("length").to_pylist(), capacity, start.tolist())
+        return placed(table, known[at], offset, full)
+
+    dealt = parts.withColumn(dealt_to, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
+    packed = dealt.groupBy(dealt_to).applyInArrow(place, schema)
+    done, nr = [], 0
+    while blocks > 1:
+        packed = write_through(packed, "packed")
+        nr += 1
+        room = F.sum(F.when(F.col("offset") == 0, F.lit(capacity) - F.col(fill)))
+        left, free = packed.filter(F.col(fill) < capacity).agg(F.count("*"), room).first()
+        if left == 0 or free < capacity or (nr > 1 and 2 * left > count):
+            break
+        done.append(packed.filter(F.col(fill) == capacity))
+        count, blocks = left, max(1, -(-left // block))
+        dealt = packed.filter(F.col(fill) < capacity).withColumn(
+            dealt_to, F.pmod(F.xxhash64(F.lit(nr), "sequence_id"), F.lit(blocks)))
+        packed = dealt.groupBy(dealt_to).applyInArrow(exchange, schema)
+    return reduce(DataFrame.unionByName, [*done, packed]).drop(fill)

@@ -348,7 +348,7 @@ def test_local_search_beats_best_fit():
     sizes = rng.integers(500, 800, 600).tolist()
     start = packing.Bins(sizes, 2048)
     start.best_fit()
-    at, offset = packing.pack_block(sizes, 2048)
+    at, offset, _ = packing.pack_block(sizes, 2048)
     fill = Counter()
     for b, n in zip(at, sizes):
         fill[b] += n
