@@ -99,27 +99,29 @@ def fit(x: np.ndarray, y: np.ndarray, langs: list[str], steps: int = 120, decay:
 
 
 def train(docs: DataFrame, sample: int = 6000, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on about ``sample`` rows (the documented bound), spread over the languages.
+    """Fit on about ``sample`` texts (the documented bound), spread over the languages.
 
     Rows without text, letters or language teach nothing; no rows give a model without
-    languages.  A row is drawn by the hash of its text, so reruns fit the same model.
+    languages.  A text is drawn by its hash, so reruns fit the same model, and taught once per
+    language however many rows hold it: distinct texts are counted, copies merged once drawn.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")) \
         .filter("text IS NOT NULL AND lang IS NOT NULL").filter(F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(
+        F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n")).collect()}
     langs = sorted(counts)
     if len(langs) < 2:
         return Model(langs)
-    shares = F.create_map(*[F.lit(v) for k in langs for v in (k, min(1.0, sample / len(langs) / counts[k]))])
+    shares = F.create_map(*[F.lit(v) for k in langs for v in (k, min(1.0, sample / len(langs) / max(1, counts[k])))])
     drawn = rows.filter((F.pmod(F.xxhash64(F.lit(1), "text"), F.lit(1 << 20)) / float(1 << 20))
-                        < F.element_at(shares, F.col("lang")))
+                        < F.element_at(shares, F.col("lang"))).dropDuplicates(["lang", "text"])
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = [features(t.as_py()).astype(np.float16).tobytes() for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(x, pa.binary())], names=["lang", "x"])
 
-    found = drawn.mapInArrow(extract, "lang string, x binary").toPandas()
+    found = drawn.mapInArrow(extract, "lang string, x binary").toPandas().sort_values(["lang", "x"], ignore_index=True)
     x = np.stack([np.frombuffer(v, np.float16) for v in found["x"]]).astype(np.float32)
     return fit(x, found["lang"].map({k: i for i, k in enumerate(langs)}).to_numpy(), langs)
 
