@@ -10,6 +10,7 @@ Agreeing bytes estimate the shingle similarity once chance agreement is taken ou
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,21 +85,34 @@ def fingerprints(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text
 
 
 def _chunked(rows: DataFrame, target: int = 1000) -> DataFrame:
-    """Tag rows with ``_piece``, growing with ``doc_id``, of about ``target`` rows each.
+    """Tag rows with ``_piece``, growing with (``doc_id``, ``_tie``), of about ``target`` rows each.
 
-    Borders are up to 1,000 quantiles; between two of them ids are split evenly, so
-    chunks stay small however large the table is.
+    Borders are up to 1,000 quantiles; between two of them ids are split evenly.  Null ids, and
+    an id that is several quantiles at once, are split by ``_tie``, a hash, so chunks stay
+    small however large the table is and whatever its ids; only equal rows stay together.
     """
-    count = rows.count()
+    count, nulls = rows.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
     borders = max(1, min(1000, count // target))
     each = max(1, -(-count // (borders * target)))
     cut = rows.agg(F.percentile_approx("doc_id", [i / borders for i in range(borders + 1)], 10_000)).first()[0] or [0, 0]
-    cut = sorted(set(cut))
-    edges = F.array(*[F.lit(c) for c in cut])
-    slot = F.greatest(F.size(F.filter(edges, lambda e: e <= F.col("doc_id"))) - 1, F.lit(0))
-    low, high = F.get(edges, slot), F.coalesce(F.get(edges, slot + 1), F.get(edges, slot) + 1)
-    part = F.least(F.floor((F.col("doc_id") - low) / (high - low) * each), F.lit(each - 1))
-    return rows.withColumn("_piece", F.coalesce(slot.cast("bigint") * each + F.greatest(part, F.lit(0)), F.lit(-1).cast("bigint")))
+    edges = sorted(set(cut))
+    # Pieces of the edge itself, then those up to the next one.
+    own = [each * cut.count(e) if cut.count(e) > 1 else 0 for e in edges]
+    start = [0, *accumulate(n + each for n in own)][:-1]
+    at = F.array(*[F.lit(e) for e in edges])
+    slot = F.greatest(F.size(F.filter(at, lambda e: e <= F.col("doc_id"))) - 1, F.lit(0))
+    low, high = F.get(at, slot), F.coalesce(F.get(at, slot + 1), F.get(at, slot) + 1)
+    split = F.get(F.array(*[F.lit(n).cast("bigint") for n in own]), slot)
+    share = F.col("_tie").cast("double") / F.lit(2.0 ** 64) + 0.5
+
+    def part(x: Column, n: Column) -> Column:
+        return F.greatest(F.least(F.floor(x * n), n - 1), F.lit(0).cast("bigint"))
+
+    between = part((F.col("doc_id").cast("double") - low) / (high.cast("double") - low), F.lit(each).cast("bigint"))
+    inside = F.when((split > 0) & (F.col("doc_id") == low), part(share, split)).otherwise(split + between)
+    known = F.get(F.array(*[F.lit(n).cast("bigint") for n in start]), slot) + inside
+    without = F.lit(max(1, -(-nulls // target))).cast("bigint")
+    return rows.withColumn("_piece", F.when(F.col("doc_id").isNull(), part(share, without) - without).otherwise(known))
 
 
 def with_next(rows: DataFrame, *columns: str, derived: dict[str, Column] | None = None) -> DataFrame:
@@ -111,7 +125,7 @@ def with_next(rows: DataFrame, *columns: str, derived: dict[str, Column] | None
     added to the chunk before it.
     """
     derived = derived or {}
-    rows = _chunked(rows).withColumn("_tie", F.xxhash64(*columns))
+    rows = _chunked(rows.withColumn("_tie", F.xxhash64(*columns)))
     kept = [c for c in rows.columns if c != "_piece"]
     place = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63)).cast("bigint")).alias("i"), F.col("_tie").alias("t"))
     heads = write_through(rows.groupBy("_piece").agg(
