@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import epoch_parts, scalar
-from millrace.session import scratch_path, settings
+from millrace.session import scratch_path, settings, shuffle_width
 from millrace.sources.files import MICROS
 
 MB = 1024 * 1024
@@ -174,7 +174,14 @@ def keep_recent(df: DataFrame, ts: str, days: int) -> DataFrame:
 
 
 def many_small_files(df: DataFrame, rows: int, label: str) -> str:
-    """Write ``df`` in files of at most ``rows`` rows, as a busy landing zone would."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.option("maxRecordsPerFile", rows).parquet(path)
+    """Write ``df`` in files of at most ``rows`` rows, as a busy landing zone would.
+
+    What a file costs is time to create it, so the rows are dealt to all cores first.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    width = max(spark.sparkContext.defaultParallelism, shuffle_width(spark))
+    width = min(width, -(-df.count() // rows))
+    spread = df.repartition(width) if width > 1 else df
+    spread.write.option("maxRecordsPerFile", rows).parquet(path)
     return path

@@ -265,3 +265,18 @@ def test_stored_partitions_keep_their_names(spark, tmp_path):
         if left:
             assert table()[0] == left
     assert glob.glob(f"{path}/*/*") == []
+
+
+def test_small_files_are_written_by_all_tasks(spark):
+    from collections import Counter
+
+    from millrace.sources import files, sinks
+
+    def written(df):
+        got = files.multi_file(spark, sinks.many_small_files(df, 7, "small")).select("id", "file").collect()
+        return sorted(r["id"] for r in got), Counter(r["file"].rsplit("/", 1)[1] for r in got)
+    ids, per_file = written(spark.range(400).coalesce(1))
+    assert ids == list(range(400)) and max(per_file.values()) <= 7
+    assert len({f.split("-")[1] for f in per_file}) > 1
+    # A table that fits one file stays one file, an empty one stays empty.
+    assert [len(written(spark.range(n).coalesce(1))[1]) for n in (5, 0)] == [1, 0]
