@@ -7,16 +7,18 @@ segment is indexed with each of its bits left out, and equal keys meet.  Over tw
 fingerprints a pair at 0.8 shares a key with odds of 0.99.
 
 Keys of 15 bits are not selective, so what meets is compared by the whole fingerprint
-inside the task, in blocks and without a row per pair.  Every row of a key names two
-partners at most: the nearest one, and the one with the smallest number, which is the
-same for many keys of a group of near copies.  These pairs are decided by their sets;
-connected sets form a group.
+inside the task, in blocks and without a row per pair: all pairs of a key that are near
+enough connect their rows, and a key gives a forest of them.  The connected rows of all
+keys are a family.  A family's shingle sets meet once, in pairs of blocks if it is large,
+and every near pair that is not connected yet is decided by its sets; connected sets form
+a group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ from millrace.llm.simhash import settled, spans
 
 ROUNDS, SEGMENTS, WORDS = 2, 8, 2  # fingerprints, segments of one, 64-bit words of one
 FAR = 32  # bits of 128: three deviations above the mean at a similarity of 0.8
-BLOCK = 4096
+BLOCK, SETS = 4096, 1 << 21  # rows of a key or family that meet at once, shingles of a family's block
 _draw = np.random.default_rng(42)
 SALT = _draw.integers(0, 1 << 63, ROUNDS * WORDS, np.uint64)
 
@@ -96,29 +98,23 @@ def _variants(nodes: DataFrame, nr: int) -> DataFrame:
     return some.mapInArrow(index, "key long, id long, high long, low long")
 
 
-class Partners:
-    """For rows 0 to n - 1: the nearest row within ``FAR`` and the smallest one."""
+def _connect(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Add pairs to ``label``, the smallest member of everyone's component."""
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(label, new := label[label]):
+            label[:] = new
 
-    def __init__(self, n: int):
-        self.least, self.near, self.bits = np.arange(n), np.arange(n), np.full(n, FAR + 1)
 
-    def add(self, a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> None:
-        """Pairs a < b; no row may come twice as a or twice as b."""
-        ok = bits <= FAR
-        a, b, bits = a[ok], b[ok], bits[ok]
-        self.least[b] = np.minimum(self.least[b], a)
-        for own, other in ((a, b), (b, a)):
-            better = bits < self.bits[own]
-            self.bits[own[better]] = bits[better]
-            self.near[own[better]] = other[better]
-
-    def pairs(self, ids: np.ndarray) -> pa.RecordBatch:
-        rows = np.arange(len(ids))
-        a, b = np.concatenate([self.least, self.near]), np.concatenate([rows, rows])
-        a, b = ids[a[a != b]], ids[b[a != b]]
-        once = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(once[:, 0]), pa.array(once[:, 1]), pa.nulls(len(once), pa.int64()),
-                                           pa.nulls(len(once), pa.int64()), pa.nulls(len(once), pa.int64())], names=FOUND)
+def _forest(ids: np.ndarray, label: np.ndarray) -> list[pa.Array]:
+    """Every id that is not its component's smallest member, after that member."""
+    at = np.flatnonzero(label != np.arange(len(ids)))
+    return [pa.array(ids[label[at]]), pa.array(ids[at])]
 
 
 FOUND = ["a", "b", "key", "high", "low"]
@@ -129,7 +125,7 @@ def _bits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _settle(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Pairs inside the equal keys of sorted rows; rows of keys beyond ``BLOCK`` are put off."""
+    """A forest of the near pairs inside the equal keys of sorted rows; rows of keys beyond ``BLOCK`` are put off."""
     start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.concatenate([start, [len(keys)]]))
     for s, n in zip(start[sizes > BLOCK].tolist(), sizes[sizes > BLOCK].tolist()):
@@ -138,16 +134,20 @@ def _settle(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray) -> Iterator[pa.R
     start, sizes = start[small], sizes[small]
     if not len(start):
         return
-    found, shift = Partners(len(keys)), 1
+    nodes, own = np.unique(ids, return_inverse=True)
+    label, shift = np.arange(len(nodes)), 1
     while len(start):
         # Row i of a key against row i + shift, over all keys that have one.
         n = sizes - shift
         at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        found.add(at, at + shift, _bits(fps[at], fps[at + shift]))
+        at = at[label[own[at]] != label[own[at + shift]]]
+        at = at[_bits(fps[at], fps[at + shift]) <= FAR]
+        _connect(label, own[at], own[at + shift])
         shift += 1
         left = sizes > shift
         start, sizes = start[left], sizes[left]
-    yield found.pairs(ids)
+    pairs = _forest(nodes, label)
+    yield pa.RecordBatch.from_arrays([*pairs, *[pa.nulls(len(pairs[0]), pa.int64())] * 3], names=FOUND)
 
 
 def _put_off(keys, ids, fps) -> pa.RecordBatch:
@@ -190,7 +190,7 @@ def _meet(rows: DataFrame) -> DataFrame:
 
 
 def _in_blocks(put_off: DataFrame) -> DataFrame:
-    """Pairs of keys with more than ``BLOCK`` rows: every pair of blocks is a group of its own."""
+    """Forests of keys with more than ``BLOCK`` rows: every pair of blocks is a group of its own."""
     number = put_off.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
     rows = put_off.join(number, "key").withColumn("_own", F.pmod(F.xxhash64("a"), F.col("_blocks")).cast("int"))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
@@ -200,16 +200,18 @@ def _in_blocks(put_off: DataFrame) -> DataFrame:
         ids = table.column("a").to_numpy()
         order = np.argsort(ids)
         ids, fps = ids[order], np.stack([table.column(c).to_numpy()[order].view(np.uint64) for c in ("high", "low")], 1)
-        found, rows = Partners(len(ids)), np.arange(len(ids))
+        label = np.arange(len(ids))
         for shift in range(1, len(ids)):
-            found.add(rows[:-shift], rows[shift:], _bits(fps[:-shift], fps[shift:]))
-        return pa.Table.from_batches([found.pairs(ids)]).select(["a", "b"])
+            at = np.flatnonzero(label[:-shift] != label[shift:])
+            at = at[_bits(fps[at], fps[at + shift]) <= FAR]
+            _connect(label, at, at + shift)
+        return pa.table(dict(zip("ab", _forest(ids, label))))
 
     return rows.groupBy("key", "_i", "_j").applyInArrow(meet, "a long, b long")
 
 
-def candidates(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Distinct ``a, b`` that share a key of any round and whose sizes allow the threshold."""
+def families(nodes: DataFrame) -> DataFrame:
+    """``id, family`` of the nodes connected by pairs that share a key of any round and are near in it."""
     found = []
     for nr in range(ROUNDS):
         rows = _variants(nodes, nr).repartition("key").sortWithinPartitions("key", "id")
@@ -218,10 +220,7 @@ def candidates(nodes: DataFrame, threshold: float) -> DataFrame:
         put_off = met.filter("b IS NULL")
         if not put_off.isEmpty():
             found.append(write_through(_in_blocks(put_off), "shingle-blocks"))
-    pairs = reduce(DataFrame.unionByName, found).distinct()
-    n_a, n_b = (nodes.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}")) for c in ("a", "b"))
-    fit = F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b") - 1e-9
-    return pairs.join(n_a, "a").join(n_b, "b").filter(fit).select("a", "b")
+    return components(reduce(DataFrame.unionByName, found)).select(F.col("node").alias("id"), F.col("root").alias("family"))
 
 
 def _sets(rows: DataFrame, marked: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -239,22 +238,83 @@ def _sets(rows: DataFrame, marked: DataFrame, wanted: DataFrame, size: int) -> D
     return found.mapInArrow(work, "id long, own binary").dropDuplicates(["id"])
 
 
-def _alike(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The ``a, b`` whose sets share at least ``threshold`` of their union."""
-    first = sets.select(F.col("id").alias("a"), F.col("own").alias("own_a"))
-    second = sets.select(F.col("id").alias("b"), F.col("own").alias("own_b"))
-    both = pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "own_a", "own_b")
+def _linked(fps: np.ndarray, sets: list[np.ndarray], block: np.ndarray, threshold: float) -> np.ndarray:
+    """Labels of the components by all near pairs whose sets are alike; with two blocks, of pairs across them."""
+    size = np.array([len(s) for s in sets])
+    begin = np.cumsum(size) - size
+    kinds, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    own, label = np.zeros(len(kinds), bool), np.arange(len(sets))
+    across = block[0] != block[-1]
+
+    def alike(row: int, some: np.ndarray) -> np.ndarray:
+        n = size[some]
+        first = np.cumsum(n) - n
+        at = np.repeat(begin[some] - first, n) + np.arange(n.sum())
+        mine = flat[begin[row]:begin[row] + size[row]]
+        own[mine] = True
+        common = np.add.reduceat(own[flat[at]], first, dtype=np.int64)
+        own[mine] = False
+        return common >= threshold * (n + size[row] - common) - 1e-9
+
+    for row in range(1, len(sets)):
+        others = label[:row] != label[row]
+        if across:
+            others &= block[:row] != block[row]
+        others = np.flatnonzero(others)
+        fit = np.minimum(size[others], size[row]) >= threshold * np.maximum(size[others], size[row]) - 1e-9
+        others = others[fit]
+        bits = _bits(fps[others], fps[row]).min(-1)
+        others = others[np.argsort(bits, kind="stable")][:np.count_nonzero(bits <= FAR)]
+        take = 1
+        while len(others):  # the nearest first: a link to a component spares its other members
+            some, others = others[:take], others[take:]
+            some = some[alike(row, some)]
+            _connect(label, some, np.full(len(some), row))
+            others = others[label[others] != label[row]]
+            take *= 2
+    return label
+
+
+def _groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[pa.Table]:
+    """The rows of each value of the first ``by`` columns of a table sorted by them."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(by)], 1)
+        cut = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+        for start, end in pairwise([0, *cut.tolist(), len(keys)]):
+            if held and not np.array_equal(keys[start], last):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = keys[start]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _alike(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``a, b``: a forest of the links of each family (``members``: ``id, family, n, fp``).
+
+    A family beyond ``BLOCK`` rows or ``SETS`` shingles is dealt out in blocks, and every
+    pair of blocks is a group of its own.
+    """
+    size = members.groupBy("family").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / SETS)).cast("int").alias("_blocks"))
+    rows = members.join(size, "family").withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    rows = rows.select("family", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", "id", "fp")
+    rows = rows.join(sets, "id").select("family", "_i", "_j", "_own", "id", "fp", "own")
+    rows = rows.repartition("family", "_i", "_j").sortWithinPartitions("family", "_i", "_j", "_own", "id")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(common >= threshold * (len(x) + len(y) - common) - 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+        for table in _groups(batches, 3):
+            fps = table.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, ROUNDS, WORDS)
+            own = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("own")]
+            label = _linked(fps, own, table.column("_own").to_numpy(), threshold)
+            yield pa.RecordBatch.from_arrays(_forest(table.column("id").to_numpy(), label), names=["a", "b"])
 
-    return both.mapInArrow(work, "a long, b long")
+    return rows.mapInArrow(work, "a long, b long")
 
 
 def _row(id_col: str, text_col: str):
@@ -279,10 +339,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8,
     marked = write_through(_marked(rows, shingle), "shingle-marks")
     nodes = marked.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"))
     nodes = write_through(nodes.withColumn("id", F.monotonically_increasing_id()), "shingle-nodes")
-    pairs = write_through(candidates(nodes.filter("n > 0"), threshold), "shingle-pairs")
-    used = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = write_through(_sets(rows, marked, nodes.select("id", "node").join(used, "id"), shingle), "shingle-sets")
-    root = components(write_through(_alike(pairs, sets, threshold), "shingle-links"))
+    members = write_through(families(nodes.filter("n > 0")).join(nodes, "id"), "shingle-families")
+    sets = write_through(_sets(rows, marked, members.select("id", "node"), shingle), "shingle-sets")
+    root = components(_alike(members.select("id", "family", "n", "fp"), sets, threshold))
     names = nodes.select("id", "node")
     root = root.select(F.col("node").alias("id"), F.col("root").alias("_root")).join(names, "id") \
         .join(names.select(F.col("id").alias("_root"), F.col("node").alias("root")), "_root").select("node", "root")

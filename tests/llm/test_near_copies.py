@@ -104,3 +104,32 @@ def test_odd_rows_of_the_near_dedup_stage(spark):
     assert stage(spark, docs.limit(0), "").collect() == []
     lone = spark.createDataFrame([(None, "just one")], "doc_id long, text string")
     assert stage(spark, lone, "").count() == 1
+
+
+def test_links_beside_nearer_rows_that_are_not_alike(spark):
+    """Two texts just above 0.8, each amid many that are a little below and mostly nearer by fingerprint."""
+    rng = np.random.default_rng(5)
+    n = 300
+
+    def words(n):
+        return [f"w{i}" for i in rng.integers(0, 500_000, n)]
+
+    def edited(base, cut, at):
+        return [*base[:at], *words(cut), *base[at + cut:]]
+    texts, kept = [], set()
+    for _ in range(6):
+        x = words(n)
+        y = edited(x, 28, 130)  # 32 of 296 shingles change, 35 of them below
+        group = [edited(b, 31, int(at)) for b in (x, y) for at in [*rng.integers(4, 90, 60), *rng.integers(170, 260, 60)]]
+        group = [" ".join(t) for t in [*group, x, y]]
+        own = [sets(t) for t in group]
+        assert like(own[-1], own[-2]) >= 0.8
+        root = list(range(len(group)))
+        for i in range(len(group)):
+            for j in range(i):
+                if root[i] != root[j] and like(own[i], own[j]) >= 0.8:
+                    root = [root[j] if r == root[i] else r for r in root]
+        kept |= {len(texts) + root.index(r) for r in set(root)}
+        texts += group
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r["doc_id"] for r in shingles.keep_one(docs).collect()} == kept

@@ -270,8 +270,6 @@ def test_stored_partitions_keep_their_names(spark, tmp_path):
 def test_small_files_are_written_by_all_tasks(spark):
     from collections import Counter
 
-    from millrace.sources import files, sinks
-
     def written(df):
         got = files.multi_file(spark, sinks.many_small_files(df, 7, "small")).select("id", "file").collect()
         return sorted(r["id"] for r in got), Counter(r["file"].rsplit("/", 1)[1] for r in got)
