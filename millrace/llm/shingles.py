@@ -23,7 +23,7 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -220,7 +220,11 @@ def families(nodes: DataFrame) -> DataFrame:
         put_off = met.filter("b IS NULL")
         if not put_off.isEmpty():
             found.append(write_through(_in_blocks(put_off), "shingle-blocks"))
-    return components(reduce(DataFrame.unionByName, found)).select(F.col("node").alias("id"), F.col("root").alias("family"))
+    # A row has one partner per key; it goes to the smallest of them, and so do the others, which are few kinds.
+    least = F.min("a").over(Window.partitionBy("b")).alias("least")
+    pairs = write_through(reduce(DataFrame.unionByName, found).distinct().select("a", "b", least), "shingle-pairs")
+    pairs = pairs.select("b", F.col("least").alias("a")).unionByName(pairs.select(F.col("a").alias("b"), F.col("least").alias("a")))
+    return components(pairs.distinct()).select(F.col("node").alias("id"), F.col("root").alias("family"))
 
 
 def _sets(rows: DataFrame, marked: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
