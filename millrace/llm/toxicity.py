@@ -19,6 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -82,21 +83,49 @@ def discount(counts: np.ndarray) -> float:
     return ones / (ones + 2 * twos) if ones and twos else 0.75
 
 
-def _level(counts: list[list[int]], all_counts: dict[int, Counter]) -> tuple[np.ndarray, float]:
-    """Discounted shares of one order and its backoff mass.
+def _level(counts: np.ndarray, listed: np.ndarray) -> tuple[np.ndarray, float]:
+    """Discounted shares of one order's ``listed`` columns and its backoff mass.
 
     The mass is the mean of both classes: what has no count here then gets the same in both.
     """
-    n = np.array(counts, float)
-    cut = np.array([[discount(np.array(list(all_counts[c].values())))] for c in (ORDINARY, TOXIC)])
-    n = np.where(n > 1, n - cut, 0.0)
-    total = np.array([[max(sum(all_counts[c].values()), 1)] for c in (ORDINARY, TOXIC)])
+    n = counts[:, listed].astype(float)
+    n = np.where(n > 1, n - np.array([[discount(c)] for c in counts]), 0.0)
+    total = np.maximum(counts.sum(1, keepdims=True), 1)
     own = n.sum(1, keepdims=True)
     free = 1 - float((own / total).mean())
     return (1 - free) * n / np.maximum(own, 1e-12), free
 
 
-def estimate(grams: dict[int, Counter]) -> Model:
+@dataclass
+class Grams:
+    """Counted word pairs as arrays: a pair is two places in the sorted vocabulary."""
+
+    vocabulary: list[bytes]
+    fold: np.ndarray
+    label: np.ndarray
+    pair: np.ndarray  # first * len(vocabulary) + second
+    n: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table) -> Grams:
+        """From the columns ``fold, toxic, v, w, n``; a word is held once, whatever pairs it is in."""
+        both = pa.chunked_array([*table["v"].chunks, *table["w"].chunks], pa.binary())
+        vocabulary = both.unique().sort()
+        first, second = (pc.index_in(table[c], vocabulary).to_numpy() for c in ("v", "w"))
+        fold, label, n = (table[c].to_numpy() for c in ("fold", "toxic", "n"))
+        return cls(vocabulary.to_pylist(), fold, label, first * np.int64(len(vocabulary)) + second, n)
+
+    def of_class(self, label: int, left_out: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First, second and count of a class's pairs in all folds but one."""
+        use = self.label == label
+        if left_out is not None:
+            use &= self.fold != left_out
+        pair, at = np.unique(self.pair[use], return_inverse=True)
+        first, second = np.divmod(pair, max(len(self.vocabulary), 1))
+        return first, second, np.bincount(at, self.n[use], len(pair)).astype(np.int64)
+
+
+def estimate(grams: Grams, left_out: int | None = None) -> Model:
     """From counts of word pairs per class.
 
     Orders are pair in class, word in class, word's beginning in class, beginning at
@@ -104,49 +133,51 @@ def estimate(grams: dict[int, Counter]) -> Model:
     words before it, a beginning at large by the classes it occurs in.  Pairs and words seen once keep only their share of the
     backoff mass, which is what a discount of their whole count gives.
     """
-    once = {c: Counter(w for _, w in pairs) for c, pairs in grams.items()}
-    heads: dict[int, Counter] = {c: Counter() for c in grams}
-    for c in grams:
-        for w, n in once[c].items():
-            heads[c][w[:HEAD]] += n
-    known = sorted(w for w in once[TOXIC].keys() | once[ORDINARY].keys() if once[TOXIC][w] + once[ORDINARY][w] > 1)
-    stems = sorted(h for h in heads[TOXIC].keys() | heads[ORDINARY].keys() if heads[TOXIC][h] + heads[ORDINARY][h] > 1)
-    number = {w: i + 1 for i, w in enumerate(known)}
-    number |= {STEM + h: len(known) + 1 + i for i, h in enumerate(stems)}
+    vocabulary, types = grams.vocabulary, len(grams.vocabulary)
+    pairs = [grams.of_class(c, left_out) for c in (ORDINARY, TOXIC)]
+    once = np.array([np.bincount(second, minlength=types) for _, second, _ in pairs])
+    beginnings = sorted({w[:HEAD] for w in vocabulary})
+    place = {h: i for i, h in enumerate(beginnings)}
+    head = np.fromiter((place[w[:HEAD]] for w in vocabulary), np.int64, types)
+    heads = np.array([np.bincount(head, n, len(beginnings)).astype(np.int64) for n in once])
+    known, stems = (np.flatnonzero(n.sum(0) > 1) for n in (once, heads))
+    number = {vocabulary[w]: i for i, w in enumerate(known.tolist(), 1)}
+    number |= {STEM + beginnings[h]: i for i, h in enumerate(stems.tolist(), len(known) + 1)}
     number[START] = len(number) + 1
     size = len(number) + 1
     # The shared order: one count for each class a beginning occurs in, one for all unknown ones.
-    shared = Counter(h for c in grams for h in heads[c])
-    at_large = sum(shared.values()) + 1
-    stem, free = _level([[heads[c][h] for h in stems] for c in (ORDINARY, TOXIC)], heads)
-    stem += free * np.array([shared[h] for h in stems]) / at_large
-    word, free = _level([[once[c][w] for w in known] for c in (ORDINARY, TOXIC)], once)
-    place = {h: i for i, h in enumerate(stems)}
-    word += free * stem[:, [place[w[:HEAD]] for w in known]]
+    shared = (heads > 0).sum(0)
+    at_large = int(shared.sum()) + 1
+    stem, free = _level(heads, stems)
+    stem += free * shared[stems] / at_large
+    word, free = _level(once, known)
+    word += free * stem[:, np.searchsorted(stems, head[known])]
     single, back = np.full((2, size), 1.0 / at_large), np.ones((2, size))
     single[:, 1:len(known) + 1] = word
     single[:, len(known) + 1:len(known) + 1 + len(stems)] = free * stem
 
-    kept: dict[int, dict[int, float]] = {}
-    mass: dict[int, Counter] = {}
-    for c, pairs in grams.items():
-        d = discount(np.array(list(pairs.values())))
-        after: Counter = Counter()
-        for (v, _), k in pairs.items():
-            after[v] += k
-        kept[c], mass[c] = {}, Counter()
-        for (v, w), k in pairs.items():
-            i, j = number.get(v, 0), number.get(w, 0)
-            if k > 1 and i and j:
-                kept[c][i * size + j] = (k - d) / after[v]
-                mass[c][i] += (k - d) / after[v]
+    numbers = np.zeros(types, np.int64)
+    numbers[known] = np.arange(1, len(known) + 1)
+    if vocabulary and vocabulary[0] == START:  # no word sorts before it
+        numbers[0] = number[START]
+    kept, mass = [], []
+    for first, second, n in pairs:
+        after = np.bincount(first, n, types)
+        use = np.flatnonzero((n > 1) & (numbers[first] > 0) & (numbers[second] > 0))
+        share = (n[use] - discount(n)) / after[first[use]]
+        key = numbers[first[use]] * size + numbers[second[use]]
+        kept.append((key, share))
+        mass.append(np.bincount(key // size, share, size))
     # Contexts that only one class knows say nothing: there both use single words.
-    weight = {i: (mass[ORDINARY][i] + mass[TOXIC][i]) / 2 for i in mass[ORDINARY] if i in mass[TOXIC]}
-    for i, m in weight.items():
-        back[:, i] = 1 - m
-    keys = np.array(sorted(k for k in set(kept[TOXIC]) | set(kept[ORDINARY]) if k // size in weight), np.int64)
-    extra = np.array([[kept[c].get(k, 0.0) / mass[c][k // size] * weight[k // size] for k in keys.tolist()]
-                      for c in (ORDINARY, TOXIC)]).reshape(2, -1)
+    weight = np.where((mass[ORDINARY] > 0) & (mass[TOXIC] > 0), (mass[ORDINARY] + mass[TOXIC]) / 2, 0.0)
+    back -= weight
+    keys = np.union1d(kept[ORDINARY][0], kept[TOXIC][0])
+    keys = keys[weight[keys // size] > 0]
+    extra = np.zeros((2, len(keys)))
+    for c, (key, share) in enumerate(kept):
+        use = weight[key // size] > 0
+        at = key[use] // size
+        extra[c, np.searchsorted(keys, key[use])] = share[use] / mass[c][at] * weight[at]
     return Model(number, single, back, keys, extra, np.zeros(3))
 
 
@@ -194,30 +225,21 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1400, id_col: str
         return None
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams: Counter = Counter()
+        held: Counter = Counter()
         for batch in batches:
             for text, label, fold in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 own = words(text)
-                grams.update({(fold, label, v, w) for v, w in zip((START, *own), own)})
-        f, c, v, w = zip(*grams) if grams else ((), (), (), ())
+                held.update({(fold, label, v, w) for v, w in zip((START, *own), own)})
+        f, c, v, w = zip(*held) if held else ((), (), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(f, pa.int32()), pa.array(c, pa.int32()), pa.array(v, pa.binary()),
-                                          pa.array(w, pa.binary()), pa.array(grams.values(), pa.int64())], names=["fold", "toxic", "v", "w", "n"])
+                                          pa.array(w, pa.binary()), pa.array(held.values(), pa.int64())], names=["fold", "toxic", "v", "w", "n"])
 
     counted = drawn.select("text", "toxic", "fold").mapInArrow(count, "fold int, toxic int, v binary, w binary, n long")
-    table = counted.groupBy("fold", "toxic", "v", "w").agg(F.sum("n").alias("n")).toArrow()
-
-    def without(left_out: int | None) -> Model:
-        """The model of all folds but one; only one model's counts are held at a time."""
-        grams = {TOXIC: Counter(), ORDINARY: Counter()}
-        for batch in table.to_batches(max_chunksize=1 << 16):
-            for f, c, v, w, n in zip(*(column.to_pylist() for column in batch.columns)):
-                if f != left_out:
-                    grams[c][v, w] += n
-        return estimate(grams)
+    grams = Grams.of(counted.groupBy("fold", "toxic", "v", "w").agg(F.sum("n").alias("n")).toArrow())
 
     def ratios(fold: int) -> pd.DataFrame:
-        """The ratios of one fold's texts by the other folds' model."""
-        shared = docs.sparkSession.sparkContext.broadcast(without(fold))
+        """The ratios of one fold's texts by the other folds' model; one model is held at a time."""
+        shared = docs.sparkSession.sparkContext.broadcast(estimate(grams, fold))
 
         def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -229,7 +251,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1400, id_col: str
         return found
 
     seen = pd.concat([ratios(fold) for fold in range(FOLDS)])
-    model = without(None)
+    model = estimate(grams)
     if seen["toxic"].nunique() == 2:
         y = seen["toxic"].to_numpy()
         model.curve = calibrate(seen[["a", "b"]].to_numpy(), y, np.where(y == TOXIC, cost / share[TOXIC], 1 / share[ORDINARY]))
