@@ -1,50 +1,90 @@
-"""Scoring with a probabilistic suffix tree.
-
-Symbols are the words above a share of all tokens, one symbol for every other word,
-and the end of a text.  A context of preceding symbols becomes a state if it is
-frequent and if what follows it diverges from what follows its next shorter suffix.
-Distributions are discounted and fall back along suffixes; a token is scored in the
-longest state its history ends with.  A word without a symbol then shares the rest
-by its own count, so the model is a distribution over tokens and one unseen word.
-
-Word counts and context counts cover all training texts and are Spark aggregates.
-What goes to every task is bounded by shares, not by the data: ``1 / symbol_share``
-symbols and contexts per length, ``1 / pair_share`` continuations per length and
-``1 / local_share`` word counts.  All other words meet their counts in a join.
+"""Scoring with a probabilistic suffix tree held in Spark tables.
+
+Every word is a symbol, and so are the start and the end of a text.  A context of up to
+``depth`` preceding symbols becomes a state if it is followed ``least`` times by one
+symbol and if what follows it diverges from what follows its next shorter suffix.
+Distributions are discounted and fall back along suffixes to the add-one model of single
+tokens, which knows every word and one unseen word; a token is scored in the longest
+state its history ends with.
+
+Contexts and continuations have no share of the corpus to reach and no limit on their
+number: ``least`` is a count, so the tree grows with the input.  Each length is counted,
+tested and stored as a table, and scoring is a join.  The log probability of a text is a
+sum over the sequences of symbols it holds, each with its own weight: what it adds as a
+continuation, and what its state leaves to shorter suffixes as a context.  A text needs
+no order in the join, therefore.
+
+Two things are broadcast, both bounded and without effect on results: the weights of
+sequences above a share (``1 / share`` each length), whose occurrences need no join, and
+``2 ** BITS`` bits saying which sequences are surely not in the tables.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import whole, write_through
 
 AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-RARE, END, START, FIRST = 0, 1, 2, 3
+RARE, END, START = 0, 1, 2  # RARE: any word the corpus does not have
 DISCOUNT = 0.75
+BITS = 27
 
 
 def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").translate(AZ).split()
 
 
-@dataclass
-class Level:
-    """Contexts of one length, by their key (context without the last symbol, last symbol)."""
+class Words(dict):
+    """Symbol of each word: 64 bits of its hash."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        found = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+        return found
+
+
+WORDS = Words()
+
+
+def joined(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Key of a sequence from its context's key and its last symbol."""
+    x = context.view(np.uint64)
+    return ((x << np.uint64(21)) | (x >> np.uint64(43))).view(np.int64) ^ symbol
+
+
+def _joined(context: str, symbol: str) -> Column:
+    return F.expr(f"(shiftleft({context}, 21) | shiftrightunsigned({context}, 43)) ^ {symbol}")
 
-    keys: np.ndarray
-    parent: np.ndarray  # place of the suffix one shorter in the level above (-1: root)
-    kept: np.ndarray = None  # is a state
-    back: np.ndarray = None
-    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # context * symbols + next
-    extra: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+def symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text, all symbols with starts and ends, and each symbol's place in its text."""
+    split = [tokens(t) for t in texts]
+    size = np.array([len(t) for t in split], np.int64)
+    flat = np.fromiter(map(WORDS.__getitem__, chain.from_iterable(split)), np.int64, int(size.sum()))
+    begin = np.cumsum(size + 2) - size - 2
+    out = np.full(int((size + 2).sum()), START, np.int64)
+    out[np.arange(len(flat)) + np.repeat(2 * np.arange(len(size)) + 1, size)] = flat
+    out[begin + size + 1] = END
+    return size, out, np.arange(len(out)) - np.repeat(begin, size + 2)
+
+
+def sequences(out: np.ndarray, longest: int) -> list[np.ndarray]:
+    """For 0, 1, ... preceding symbols the key of the sequence ending at each place; those over a start mean nothing."""
+    keys = [out]
+    for _ in range(longest):
+        keys.append(joined(np.concatenate([[0], keys[-1][:-1]]), out))
+    return keys
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -55,199 +95,212 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
+class Places(dict):
+    """Place of a word in the tree's arrays, -1 if it is not held there."""
+
+    def __init__(self, symbol: np.ndarray):
+        self.symbol = symbol
+
+    def __missing__(self, word: bytes) -> int:
+        return int(_find(self.symbol, np.array([WORDS[word]]))[0])
+
+
+@dataclass
+class Level:
+    """Sequences of one length above the share: log10 weights as continuation and as context."""
+
+    keys: np.ndarray
+    logs: np.ndarray  # of count + 1, for single words
+    own: np.ndarray
+    back: np.ndarray
+
+    @property
+    def kept(self) -> np.ndarray:
+        return self.back < 0
+
+
 @dataclass
 class Tree:
-    symbols: int
-    known: dict[bytes, int]  # place in the three arrays; 0: not held here
-    symbol: np.ndarray
-    count: np.ndarray
-    root: np.ndarray
-    levels: list[Level] = field(default_factory=list)
-
-    def encode(self, texts: list[str | None]):
-        """Tokens of all texts, their places in ``known``, and symbols with starts and ends."""
-        split = [tokens(t) for t in texts]
-        size = np.array([len(t) for t in split], np.int64)
-        flat = [w for t in split for w in t]
-        get = self.known.get
-        place = np.fromiter((get(w, 0) for w in flat), np.int64, len(flat))
-        begin = np.cumsum(size + 2) - size - 2
-        out = np.full(int((size + 2).sum()), START, np.int64)
-        inside = np.arange(len(flat)) + np.repeat(2 * np.arange(len(size)) + 1, size)
-        out[inside] = self.symbol[place]
-        out[begin + size + 1] = END
-        depth = np.arange(len(out)) - np.repeat(begin, size + 2)
-        return flat, place, size, out, depth
-
-    def contexts(self, out: np.ndarray, depth: np.ndarray, length: int) -> Iterator[np.ndarray]:
-        """For each length the place of every position's context, -1 if it is none."""
-        node = np.zeros(len(out), np.int64)
-        for nr, level in enumerate(self.levels[:length]):
-            key = node[:-1] * self.symbols * (nr > 0) + out[:-1]
-            able = (depth[1:] > nr) & (node[:-1] >= 0)
-            found = np.where(able, _find(level.keys, key), -1)
-            node = np.concatenate([[-1], found])
-            yield node
+    """The part of the tables above the share, held in memory."""
+
+    levels: list[Level]
+    floor: float  # log10 of the add-one model's denominator
+    bits: np.ndarray  # of all longer sequences with a weight, held or not
+
+    @property
+    def symbol(self) -> np.ndarray:
+        return self.levels[0].keys
+
+    @property
+    def known(self) -> Places:
+        return Places(self.symbol)
+
+    def weighed(self, out: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """Per symbol log10 of its count + 1, whether it is held, its weight; by length the keys to look up and their places."""
+        keys, weight, rest = sequences(out, len(self.levels) - 1), np.zeros(len(out) + 1), []
+        logs, held = np.zeros(len(out)), np.zeros(len(out), bool)
+        for length, (level, key) in enumerate(zip(self.levels, keys)):
+            able = np.flatnonzero(depth >= length)
+            if length:
+                able = able[has(self.bits, key[able])]
+            at = _find(level.keys, key[able])
+            hit = at >= 0
+            place, at = able[hit], at[hit]
+            weight[place] += level.own[at]
+            after = level.back[at]
+            weight[place[after < 0] + 1] += after[after < 0]
+            if length == 0:
+                logs[place], held[place] = level.logs[at], True
+                rest.append(able[~hit & (depth[able] > 0)])
+            else:
+                rest.append(able[~hit])
+        return logs, held, weight[:-1], [key[at] for key, at in zip(keys, rest)], rest
 
     def log10(self, out: np.ndarray, depth: np.ndarray) -> np.ndarray:
-        """log10 probability of every symbol in its longest state (0 at starts)."""
-        p = self.root[out]
-        for level, node in zip(self.levels, self.contexts(out, depth, len(self.levels))):
-            at = np.flatnonzero(node >= 0)
-            at = at[level.kept[node[at]]]
-            if len(at):
-                own = node[at]
-                hit = _find(level.pairs, own * self.symbols + out[at])
-                p[at] = level.back[own] * p[at] + np.where(hit >= 0, level.extra[hit] if len(level.extra) else 0.0, 0.0)
-        return np.where(depth > 0, np.log10(np.where(depth > 0, p, 1.0)), 0.0)
-
-
-def word_counts(docs: DataFrame, text_col: str, most: int = 200_000) -> DataFrame:
-    """``word, n`` over all texts, folded in each task before the shuffle."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        """log10 probability of every symbol by what is held (0 at starts)."""
+        logs, _, weight, *_ = self.weighed(out, depth)
+        return np.where(depth > 0, logs - self.floor + weight, 0.0)
 
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())],
-                                              names=["word", "n"])
-        for batch in batches:
-            for text in batch.column(0):
-                held.update(tokens(text.as_py()))
-                if len(held) > most:
-                    yield out()
-                    held.clear()
-        yield out()
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word binary, n long") \
-        .groupBy("word").agg(F.sum("n").alias("n"))
+def has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """False where a key is surely missing."""
+    at = keys & ((1 << BITS) - 1)
+    return (bits[at >> 6] >> (at & 63)) & 1 == 1
+
 
+def marked(table: DataFrame) -> np.ndarray:
+    """A bit for each ``key``; keys may share one.  At most ``2 ** (BITS - 6)`` rows come to the driver."""
+    at = f"(key & {(1 << BITS) - 1}L)"
+    rows = table.groupBy(F.expr(f"cast(shiftright({at}, 6) as int)").alias("at")) \
+        .agg(F.expr(f"bit_or(shiftleft(1L, cast({at} & 63 as int)))").alias("bits")).toArrow()
+    bits = np.zeros(1 << (BITS - 6), np.int64)
+    bits[rows["at"].to_numpy()] = rows["bits"].to_numpy()
+    return bits
 
-def _continuations(docs: DataFrame, text_col: str, shared, length: int) -> DataFrame:
-    """``context, next, n``: what follows the contexts of one length, over all texts."""
+
+def _counted(docs: DataFrame, text_col: str, length: int, shared=None, most: int = 2_000_000) -> DataFrame:
+    """``context, next, n`` over all texts, folded in each task before the shuffle.
+
+    ``shared``: bits of the sequences one shorter that are in the tables.  A sequence
+    is there only if the two shorter ones it begins and ends with are.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, held, size = shared.value, [], 0
+        held, size = [], 0
 
         def out():
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(key // tree.symbols), pa.array(key % tree.symbols),
-                                               pa.array(n.astype(np.int64))], names=["context", "next", "n"])
+            context, symbol = np.concatenate(held, 1)
+            key = joined(context, symbol)
+            order = np.argsort(key)
+            key = key[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            n, at = np.diff(np.append(first, len(key))), order[first]
+            return pa.RecordBatch.from_arrays([pa.array(context[at]), pa.array(symbol[at]), pa.array(n)],
+                                              names=["context", "next", "n"])
         for whole_batch in batches:
             for start in range(0, whole_batch.num_rows, 128):
-                texts = whole_batch.slice(start, 128).column(0).to_pylist()
-                *_, symbols, depth = tree.encode(texts)
-                node = list(tree.contexts(symbols, depth, length))[-1]
-                at = np.flatnonzero(node >= 0)
-                held.append(node[at] * tree.symbols + symbols[at])
+                _, symbol, depth = symbols(whole_batch.slice(start, 128).column(0).to_pylist())
+                if length == 0:
+                    at = np.flatnonzero(depth > 0)
+                    held.append(np.stack([np.zeros(len(at), np.int64), symbol[at]]))
+                else:
+                    key = sequences(symbol, length - 1)[-1]
+                    at = np.flatnonzero(depth >= length)
+                    if shared is not None:
+                        there = has(shared.value, key)
+                        at = at[there[at] & there[at - 1]]
+                    held.append(np.stack([key[at - 1], symbol[at]]))
                 size += len(at)
-                if size > 4_000_000:
+                if size > most:
                     yield out()
                     held, size = [], 0
-        if held:
+        if size:
             yield out()
 
     return docs.select(F.col(text_col).alias("text")).mapInArrow(count, "context long, next long, n long") \
         .groupBy("context", "next").agg(F.sum("n").alias("n"))
 
 
-def _smoothed(tree: Tree, level: int, node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    """Probability of ``symbol`` after context ``node`` of a level (-1: root), along its states."""
-    p = tree.root[symbol]
-    chain, at = [], node
-    for nr in range(level, -1, -1):
-        chain.append((nr, at))
-        at = tree.levels[nr].parent[at]
-    for nr, at in reversed(chain):
-        own = tree.levels[nr]
-        hit = _find(own.pairs, at * tree.symbols + symbol)
-        p = np.where(own.kept[at], own.back[at] * p + np.where(hit >= 0, own.extra[hit] if len(own.extra) else 0.0, 0.0), p)
-    return p
-
-
-def _settle(tree: Tree, nr: int, total: np.ndarray, node: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> None:
-    """Fill in a level from its continuation counts and decide which contexts are states.
+def _settled(counts: DataFrame, shorter: DataFrame) -> DataFrame:
+    """A length of the tree from its counts and the length before.
 
-    The divergence of the counted distribution from the parent's, rare continuations
-    taken together, times twice the context's count, must pass the mean plus three
-    deviations of a chi-square with as many degrees of freedom as continuations.
+    ``key, short, n, logp, own, context, total, back``: the sequence, its suffix one
+    shorter, natural logarithms of its probability, of its weight and of what its context
+    leaves to the suffix (null: the context is no state).  The divergence of the counted
+    distribution from the suffix's, continuations not counted taken together, times twice
+    the context's count, must pass the mean plus three deviations of a chi-square with as
+    many degrees of freedom as continuations.
     """
-    level, size = tree.levels[nr], len(tree.levels[nr].keys)
-    q = _smoothed(tree, nr - 1, level.parent[node], symbol) if nr else tree.root[symbol]
-    p = n / total[node]
-    inner = np.bincount(node, p * np.log(p / q), size)
-    left_p, left_q = 1 - np.bincount(node, p, size), 1 - np.bincount(node, q, size)
-    tail = np.where(left_p > 1e-12, left_p * np.log(np.maximum(left_p, 1e-12) / np.maximum(left_q, 1e-12)), 0.0)
-    free = np.maximum(np.bincount(node, minlength=size), 1)
-    level.kept = (2 * total * (inner + tail) > free + 3 * np.sqrt(2 * free)) & (total > 0)
-    level.extra = (n - DISCOUNT) / total[node]
-    level.back = 1 - np.bincount(node, level.extra, size)
-    level.pairs = node * tree.symbols + symbol
-    use = level.kept[node]
-    level.pairs, level.extra = level.pairs[use], level.extra[use]
+    contexts = shorter.select(F.col("key").alias("context"), F.col("n").alias("total"), F.col("short").alias("suffix"))
+    rows = counts.join(contexts, "context").withColumn("short", F.when(F.col("suffix").isNull(), F.col("next"))
+                                                       .otherwise(_joined("suffix", "next")))
+    rows = rows.join(shorter.select(F.col("key").alias("short"), F.col("logp").alias("logq")), "short")
+    p, q = F.col("n") / F.col("total"), F.exp("logq")
+    states = rows.groupBy("context", "total").agg(
+        F.sum(p * (F.log(p) - F.col("logq"))).alias("inner"), F.sum(p).alias("p"), F.sum(q).alias("q"),
+        F.count("*").alias("free"), F.sum((F.col("n") - DISCOUNT) / F.col("total")).alias("taken"))
+    rest = 1 - F.col("p")
+    tail = F.when(rest > 1e-12, rest * F.log(F.greatest(rest, F.lit(1e-12)) / F.greatest(1 - F.col("q"), F.lit(1e-12)))).otherwise(0.0)
+    states = states.filter(2 * F.col("total") * (F.col("inner") + tail) > F.col("free") + 3 * F.sqrt(2 * F.col("free"))) \
+        .select("context", F.log(1 - F.col("taken")).alias("back"))
+    found = rows.join(states, "context", "left").withColumn("logp", F.when(F.col("back").isNull(), F.col("logq")).otherwise(
+        F.log(F.exp("back") * F.exp("logq") + (F.col("n") - DISCOUNT) / F.col("total"))))
+    own = F.when(F.col("back").isNull(), 0.0).otherwise(F.col("logp") - F.col("logq") - F.col("back"))
+    return found.select(_joined("context", "next").alias("key"), "short", "n", "logp", own.alias("own"),
+                        "context", "total", "back")
 
 
 @dataclass
 class Fit:
     tree: Tree
-    counts: DataFrame  # hash, n of the words not held in the tree
+    weights: DataFrame  # key, logs, known, own, back of what the tree does not hold
     tokens: int
     types: int
-    rare_tokens: int
-    rare_types: int
+    levels: list[DataFrame] = field(default_factory=list)
 
 
-def train(docs: DataFrame, depth: int = 3, symbol_share: float = 1e-4, pair_share: float = 1e-6,
-          local_share: float = 2e-6, text_col: str = "text") -> Fit:
-    """Learn from every row of ``docs``; null texts are empty texts, that is one end each."""
+def train(docs: DataFrame, depth: int = 3, symbol_share: float = 2e-7, local_share: float = 1e-6, least: int = 5,
+          text_col: str = "text") -> Fit:
+    """Learn from every row of ``docs``; null texts are empty texts, that is one end each.
+
+    ``depth`` is the order of the model.  The shares say what is held in memory when
+    scoring, sequences and single words; they change no result.
+    """
     spark = docs.sparkSession
-    counts = write_through(word_counts(docs, text_col), "pst-words")
-    texts = docs.count()
-    words, types = counts.agg(F.sum("n"), F.count("*")).first()
-    total, types = (words or 0) + texts, types + (texts > 0)
-    held = counts.filter((F.col("n") >= local_share * total) & (F.col("n") > 1)).toArrow()
-    order = sorted(zip(held.column(0).to_pylist(), held.column(1).to_pylist()))
-    known, symbol, count, nr = {}, [RARE], [0], FIRST
-    for place, (word, n) in enumerate(order, 1):
-        known[word] = place
-        count.append(n)
-        frequent = n >= symbol_share * total
-        symbol.append(nr if frequent else RARE)
-        nr += frequent
-    symbol, count = np.array(symbol, np.int64), np.array(count, np.int64)
-    single = np.zeros(nr)
-    np.add.at(single, symbol[1:], count[1:])
-    single[END] = texts
-    in_symbols = int(single[FIRST:].sum())
-    single[RARE] = (words or 0) - in_symbols
-    root = (single + 1) / (total + nr - 1)
-    root[START] = 1.0
-    tree = Tree(nr, known, symbol, count, root)
-
-    frequent = np.flatnonzero(single >= symbol_share * total)
-    keys, parent = np.union1d(frequent[frequent != END], [START]), None
+    words = write_through(_counted(docs, text_col, 0).select(F.col("next").alias("key"), "n"), "pst-0")
+    total, types = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    texts = words.filter(F.col("key") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    logp = F.log((F.col("n") + 1) / F.lit(float(total + types + 1)))
+    starts = spark.range(1).select(F.lit(START).cast("long").alias("key"), F.lit(texts).cast("long").alias("n"))
+    none = F.lit(None).cast("long").alias("short")
+    shorter = words.unionByName(starts).select("key", none, "n", logp.alias("logp"))
+
+    levels, shared = [], None
     for length in range(1, depth + 1):
-        if not len(keys) or not total:
-            break
-        tree.levels.append(Level(keys, np.full(len(keys), -1) if parent is None else parent))
-        shared = spark.sparkContext.broadcast(tree)
-        pairs = write_through(_continuations(docs, text_col, shared, length), f"pst-{length}")
-        whole_count = pairs.groupBy("context").agg(F.sum("n").alias("n")).toPandas()
-        sums = np.zeros(len(keys))
-        sums[whole_count["context"]] = whole_count["n"]
-        kept = pairs.filter((F.col("n") >= pair_share * total) & (F.col("n") > 1)).orderBy("context", "next").toPandas()
-        node, follow, n = (kept[c].to_numpy() for c in ("context", "next", "n"))
-        _settle(tree, length - 1, sums, node, follow, n)
-        longer = (n >= max(2, symbol_share * total)) & (follow != END)
-        new = node[longer] * nr + follow[longer]
-        if length == 1:
-            # Level 1 keys are the symbols themselves, so a context's suffix is its last symbol.
-            parent = _find(tree.levels[0].keys, follow[longer])
-        else:
-            parent = _find(keys, tree.levels[-1].parent[node[longer]] * nr + follow[longer])
-        keys, parent = new[parent >= 0], parent[parent >= 0]
-        shared.unpersist()
-    rest = counts.filter(~((F.col("n") >= local_share * total) & (F.col("n") > 1)))
-    rest = rest.select(F.xxhash64("word").alias("hash"), "n")
-    return Fit(tree, rest, total, types, int((words or 0) - in_symbols), int(types - (texts > 0) - (nr - FIRST)))
+        counts = _counted(docs, text_col, length, shared).filter(F.col("n") >= least)
+        levels.append(write_through(_settled(counts, shorter), f"pst-{length}"))
+        if length < depth:
+            shared = spark.sparkContext.broadcast(marked(levels[-1].select("key")))
+        shorter = levels[-1].select("key", "short", "n", "logp")
+    nothing = F.lit(0.0)
+    ten = F.lit(float(np.log(10)))
+    parts = [words.select(F.lit(0).alias("length"), "key", "n", F.log10(F.col("n") + 1.0).alias("logs"), F.lit(1).alias("known"),
+                          nothing.alias("own"), nothing.alias("back"))]
+    for length, level in enumerate(levels, 1):
+        parts.append(level.filter("own != 0").select(F.lit(length), "key", "n", nothing, F.lit(0), F.col("own") / ten, nothing))
+        states = level.filter("back IS NOT NULL").groupBy("context").agg(F.first("total"), F.first("back"))
+        parts.append(states.select(F.lit(length - 1), "context", "first(total)", nothing, F.lit(0), nothing, F.col("first(back)") / ten))
+    every = reduce(lambda a, b: a.union(b), parts).groupBy("length", "key").agg(
+        F.max("n").alias("n"), *[F.sum(c).alias(c) for c in ("logs", "known", "own", "back")])
+    every = write_through(every, "pst-weights")
+    share = F.when(F.col("length") == 0, local_share).otherwise(symbol_share)
+    hot = (F.col("n") >= share * float(max(total, 1))) & (F.col("n") > 1) | (F.col("key").isin(START, END) & (F.col("length") == 0))
+    held = every.filter(hot).orderBy("length", "key").select("length", "key", "logs", "own", "back").toArrow()
+    length = held["length"].to_numpy()
+    columns = [held[c].to_numpy() for c in ("key", "logs", "own", "back")]
+    tree = Tree([Level(*[c[length == i] for c in columns]) for i in range(depth + 1)], float(np.log10(total + types + 1)),
+                marked(every.filter("length > 0").select("key")))
+    rest = every.filter(~hot).select("length", "key", "logs", "known", "own", "back")
+    return Fit(tree, rest, total, types, levels)
 
 
 def score(docs: DataFrame, fit: Fit, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,58 +308,51 @@ def score(docs: DataFrame, fit: Fit, id_col: str = "doc_id", text_col: str = "te
 
     ``base_score`` is the add-one model of single tokens.  Null text is empty: one end.
     Null ids and repeated rows keep their row; an empty table gives an empty result;
-    only id and text are read.  Words meet their counts by a 64-bit hash.
+    only id and text are read.  Words and sequences meet their weights by 64-bit hashes.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), whole(text_col).alias("text"))
     rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
     shared = docs.sparkSession.sparkContext.broadcast(fit.tree)
+    sums = ["words", "logs", "known", "weight"]
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row of sums for each text, and a row for each sequence to look up."""
         tree = shared.value
-        logs = np.log10(tree.count + 1.0)
         for whole_batch in batches:
             for start in range(0, whole_batch.num_rows, 128):
                 batch = whole_batch.slice(start, 128)
-                _, place, size, symbols, depth = tree.encode(batch.column(1).to_pylist())
-                model = tree.log10(symbols, depth)
-                text_of = np.repeat(np.arange(len(size)), size)
-                rare = tree.symbol[place] == RARE
-                columns = [np.bincount(np.repeat(np.arange(len(size)), size + 2), model, len(size))]
-                for value in (logs[place], place > 0, rare, np.where(rare, logs[place], 0.0)):
-                    columns.append(np.bincount(text_of, value.astype(float), len(size)))
+                size, symbol, depth = symbols(batch.column(1).to_pylist())
+                logs, held, weight, keys, places = tree.weighed(symbol, depth)
+                text_of = np.repeat(np.arange(len(size)), size + 2)
+                held &= depth > 0
+                own = np.stack([size + 1.0, *(np.bincount(text_of, x, len(size)) for x in (logs, held, weight))], 1)
+                row = batch.column(2).to_numpy()
+                at, key = text_of[np.concatenate(places)], np.concatenate(keys)
+                length = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+                ids = pa.concat_arrays([batch.column(0), pa.nulls(len(at), batch.column(0).type)])
+                flat = pa.array(own.ravel())
+                ends = np.concatenate([np.arange(len(size) + 1) * own.shape[1], np.full(len(at), own.size)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), pa.array(size), *[pa.array(c.astype(float)) for c in columns]],
-                    names=["doc_id", "row", "words", "model", "logs", "hits", "rare", "rare_logs"])
-
-    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = shared.value.known.get
-        for whole_batch in batches:
-            for start in range(0, whole_batch.num_rows, 512):
-                batch = whole_batch.slice(start, 512)
-                found = [[w for w in tokens(t) if not get(w)] for t in batch.column(1).to_pylist()]
-                row = np.repeat(batch.column(2).to_numpy(), [len(f) for f in found])
-                yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array([w for f in found for w in f], pa.binary())],
-                                                 names=["row", "word"])
+                    [ids, pa.array(np.concatenate([row, row[at]])), pa.array(np.concatenate([row, key])),
+                     pa.array(np.concatenate([np.full(len(size), -1), length]), pa.int32()), lists],
+                    names=["doc_id", "row", "key", "length", "sums"])
 
     kind = dict(rows.dtypes)["doc_id"]
-    done = write_through(rows.mapInArrow(local, f"doc_id {kind}, row long, words long, model double, logs double, "
-                                                "hits double, rare double, rare_logs double"), "pst-local")
-    others = rows.mapInArrow(missing, "row long, word binary").select("row", F.xxhash64("word").alias("hash"))
-    joined = others.join(fit.counts, "hash")
-    joined = joined.groupBy("row").agg(F.sum(F.log10(F.col("n") + 1.0)).alias("more_logs"), F.count("*").alias("more_hits"))
+    parts = rows.mapInArrow(local, f"doc_id {kind}, row long, key long, length int, sums array<double>")
+    parts = parts.join(fit.weights, ["length", "key"], "left")
+    zero = F.lit(0.0)
+    values = {c: F.coalesce(F.get("sums", F.lit(i)), zero) for i, c in enumerate(sums)}
+    values["logs"] += F.coalesce("logs", zero)
+    values["known"] += F.coalesce("known", F.lit(0))
+    values["weight"] += F.coalesce("own", zero) + F.coalesce("back", zero)
     # Rows that repeat id and text share a key, so each takes its share of the sums.
-    copies = done.groupBy("row").agg(F.count("*").alias("copies"))
-    more = copies.join(joined, "row", "left").select(
-        "row", (F.coalesce("more_logs", F.lit(0.0)) / F.col("copies")).alias("more_logs"),
-        (F.coalesce("more_hits", F.lit(0)) / F.col("copies")).cast("long").alias("more_hits"))
-    tree, total = fit.tree, F.lit(float(fit.tokens + fit.types + 1))
-    ends = float(np.log10(fit.tree.root[END] * (fit.tokens + fit.tree.symbols - 1)))  # log10 of their count + 1
-    out = done.join(more, "row")
-    n_tokens = F.col("words") + 1
-    in_rare = F.lit(float(np.log10(fit.rare_tokens + fit.rare_types + 1.0)))
-    return out.select(
-        "doc_id", n_tokens.alias("n_tokens"),
-        (F.col("hits").cast("long") + F.col("more_hits") + F.lit(int(tree.root[END] * (fit.tokens + tree.symbols - 1) > 1.5))).alias("n_known"),
-        F.lit(fit.tokens).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.col("more_logs") + F.lit(ends) - n_tokens * F.log10(total)).alias("base_score"),
-        (F.col("model") + F.col("rare_logs") + F.col("more_logs") - F.col("rare") * in_rare).alias("score"))
+    found = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.count_if(F.col("length") == -1).alias("copies"),
+                                     *[F.sum(v).alias(c) for c, v in values.items()])
+    found = found.select("doc_id", *[(F.col(c) / F.col("copies")).alias(c) for c in sums],
+                         F.explode(F.expr("sequence(1L, copies)")).alias("copy"))
+    base = F.col("logs") - F.col("words") * F.lit(fit.tree.floor)
+    return found.select(
+        "doc_id", F.col("words").cast("long").alias("n_tokens"), F.round("known").cast("long").alias("n_known"),
+        F.lit(fit.tokens).cast("long").alias("train_tokens"), base.alias("base_score"),
+        (base + F.col("weight")).alias("score"))
