@@ -14,6 +14,10 @@ sum over the sequences of symbols it holds, each with its own weight: what it ad
 continuation, and what its state leaves to shorter suffixes as a context.  A text needs
 no order in the join, therefore.
 
+Sequences are shuffled by the range of their key, all that a task has of one range as
+arrays in one row: about ``BUCKET`` bytes of text make a range, so their number grows
+with the input.
+
 Two things are broadcast, both bounded and without effect on results: the weights of
 sequences above a share (``1 / share`` each length), whose occurrences need no join, and
 ``2 ** BITS`` bits saying which sequences are surely not in the tables.
@@ -25,36 +29,66 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 from hashlib import blake2b
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import whole, write_through
 
-AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 RARE, END, START = 0, 1, 2  # RARE: any word the corpus does not have
 DISCOUNT = 0.75
 BITS = 27
-
-
-def tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").translate(AZ).split()
-
-
-class Words(dict):
-    """Symbol of each word: 64 bits of its hash."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        found = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
-        return found
-
-
-WORDS = Words()
+BUCKET = 4_000_000
+AZ = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
+GAP = np.isin(np.arange(256), [32, *range(9, 14)])
+LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n of eight bytes
+LONG = 64
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """One to one on 64 bits."""
+    for factor in (0xD6E8FEB86659FD93, 0xD6E8FEB86659FD93):
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(32))
+
+
+def hashed(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Symbol of each word: 64 bits of its hash, eight bytes at a time.  ``data`` has eight bytes more than the words."""
+    blocks = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1))
+    size = end - begin
+    out = _mixed(size.astype(np.uint64) + np.uint64(3))
+    rest, at = np.arange(len(size)), 0
+    while len(rest) and at < LONG:
+        block = blocks[begin[rest] + at].view("<u8")[:, 0] & LOW[np.minimum(size[rest] - at, 8)]
+        out[rest] = _mixed(out[rest] ^ block)
+        at += 8
+        rest = rest[size[rest] > at]
+    for i in rest:
+        word = data[begin[i]:end[i]].tobytes()
+        out[i] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+    return out.view(np.int64)
+
+
+def word(of: bytes) -> int:
+    """Symbol of one word."""
+    data = np.frombuffer(of + bytes(8), np.uint8)
+    return int(hashed(data, np.array([0]), np.array([len(of)]))[0])
+
+
+def pieces(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts of a piece have about ``most`` bytes; one text is not cut."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < len(ends):
+            done = ends[start - 1] if start else 0
+            stop = max(int(np.searchsorted(ends, done + most, "right")), start + 1)
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def joined(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
@@ -67,11 +101,22 @@ def _joined(context: str, symbol: str) -> Column:
     return F.expr(f"(shiftleft({context}, 21) | shiftrightunsigned({context}, 43)) ^ {symbol}")
 
 
-def symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words of each text, all symbols with starts and ends, and each symbol's place in its text."""
-    split = [tokens(t) for t in texts]
-    size = np.array([len(t) for t in split], np.int64)
-    flat = np.fromiter(map(WORDS.__getitem__, chain.from_iterable(split)), np.int64, int(size.sum()))
+def symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text, all symbols with starts and ends, and each symbol's place in its text.  No text is null."""
+    texts = texts.cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8, at[-1] - at[0], at[0]) if at[-1] > at[0] else np.zeros(0, np.uint8)
+    at = at - at[0]
+    inside = ~GAP[raw]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    some = np.flatnonzero(np.diff(at))  # a text's first and last byte bound its words
+    first[at[some]], last[at[some + 1] - 1] = inside[at[some]], inside[at[some + 1] - 1]
+    starts = np.flatnonzero(first)
+    size = np.diff(np.searchsorted(starts, at))
+    flat = hashed(np.append(AZ[raw], np.zeros(8, np.uint8)), starts, np.flatnonzero(last) + 1)
     begin = np.cumsum(size + 2) - size - 2
     out = np.full(int((size + 2).sum()), START, np.int64)
     out[np.arange(len(flat)) + np.repeat(2 * np.arange(len(size)) + 1, size)] = flat
@@ -101,8 +146,8 @@ class Places(dict):
     def __init__(self, symbol: np.ndarray):
         self.symbol = symbol
 
-    def __missing__(self, word: bytes) -> int:
-        return int(_find(self.symbol, np.array([WORDS[word]]))[0])
+    def __missing__(self, of: bytes) -> int:
+        return int(_find(self.symbol, np.array([word(of)]))[0])
 
 
 @dataclass
@@ -178,46 +223,111 @@ def marked(table: DataFrame) -> np.ndarray:
     return bits
 
 
-def _counted(docs: DataFrame, text_col: str, length: int, shared=None, most: int = 2_000_000) -> DataFrame:
-    """``context, next, n`` over all texts, folded in each task before the shuffle.
+def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The bytes of the values between each two bounds."""
+    values = np.ascontiguousarray(values)
+    ends = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(ends), pa.py_buffer(values)])
+
+
+def _flat(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The values of all blobs, one after another; null is empty."""
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(b.as_buffer(), kind) for b in column.drop_null())])
+
+
+def _dealt(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges with any of the keys, which are in unsigned order, and the place where each begins, and the end."""
+    edges = np.searchsorted(keys.view(np.uint64), np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+    bounds = np.append(edges, len(keys))
+    used = np.flatnonzero(np.diff(bounds))
+    return used, np.append(bounds[used], len(keys))
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
+
+
+def _bits(size: int) -> int:
+    """Twos whose product is the number of ranges for ``size`` bytes of text."""
+    return max(3, (size // BUCKET).bit_length())
+
+
+def _summed(context: np.ndarray, symbol: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Distinct ``key, context, symbol, n`` in unsigned order of their keys; each counts one without ``n``."""
+    key = joined(context, symbol).view(np.uint64)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.append(np.ones(len(key[:1]), bool), key[1:] != key[:-1]))
+    key, at = key[first].view(np.int64), order[first]
+    if n is None:
+        n = np.diff(np.append(first, len(order)))
+    elif len(at):
+        n = np.add.reduceat(n[order], first, dtype=np.int64)
+    return key, context[at], symbol[at], n
+
 
-    ``shared``: bits of the sequences one shorter that are in the tables.  A sequence
-    is there only if the two shorter ones it begins and ends with are.
+def _counted(docs: DataFrame, text_col: str, length: int, bits: int, least: int, shared=None, most: int = 1_000_000) -> DataFrame:
+    """``context, next, n`` of at least ``least`` over all texts, folded in each task before the shuffle.
+
+    ``shared``: bits of the sequences one shorter that occur ``least`` times (words) or
+    are in the tables.  A sequence is there only if the two shorter ones it begins and
+    ends with are.  Without preceding symbols all words are given, ``keys, counts`` of
+    each range in unsigned order as arrays in a row.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        contexts, nexts, size = [], [], 0
 
         def out():
-            context, symbol = np.concatenate(held, 1)
-            key = joined(context, symbol)
-            order = np.argsort(key)
-            key = key[order]
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            n, at = np.diff(np.append(first, len(key))), order[first]
-            return pa.RecordBatch.from_arrays([pa.array(context[at]), pa.array(symbol[at]), pa.array(n)],
-                                              names=["context", "next", "n"])
-        for whole_batch in batches:
-            for start in range(0, whole_batch.num_rows, 128):
-                _, symbol, depth = symbols(whole_batch.slice(start, 128).column(0).to_pylist())
-                if length == 0:
-                    at = np.flatnonzero(depth > 0)
-                    held.append(np.stack([np.zeros(len(at), np.int64), symbol[at]]))
-                else:
-                    key = sequences(symbol, length - 1)[-1]
-                    at = np.flatnonzero(depth >= length)
-                    if shared is not None:
-                        there = has(shared.value, key)
-                        at = at[there[at] & there[at - 1]]
-                    held.append(np.stack([key[at - 1], symbol[at]]))
-                size += len(at)
-                if size > most:
-                    yield out()
-                    held, size = [], 0
+            context, symbol = np.concatenate(contexts), np.concatenate(nexts)
+            contexts.clear()
+            nexts.clear()
+            key, context, symbol, n = _summed(context, symbol)
+            used, bounds = _dealt(key, bits)
+            batch = _batch(bucket=used.astype(np.int32), context=_blobs(context, bounds), next=_blobs(symbol, bounds),
+                           n=_blobs(n.astype(np.int32), bounds))
+            for start in range(0, len(used), 32):
+                yield batch.slice(start, 32)
+        for batch in pieces(batches, 0):
+            _, symbol, depth = symbols(batch.column(0))
+            at = np.flatnonzero(depth >= max(length, 1))
+            if length == 0:
+                contexts.append(np.zeros(len(at), np.int64))
+            else:
+                key = sequences(symbol, length - 1)[-1]
+                there = has(shared.value, key)
+                at = at[there[at] & there[at - 1]]
+                contexts.append(key[at - 1])
+            nexts.append(symbol[at])
+            size += len(at)
+            if size > most:
+                yield from out()
+                size = 0
         if size:
-            yield out()
+            yield from out()
+
+    def fold(table: pa.Table) -> pa.Table:
+        key, context, symbol, n = _summed(_flat(table["context"], np.int64), _flat(table["next"], np.int64), _flat(table["n"], np.int32))
+        if length == 0:
+            ends = np.array([0, len(key)])
+            return pa.table({"bucket": table["bucket"][:1], "keys": _blobs(key, ends), "counts": _blobs(n, ends),
+                             "total": [int(n.sum())], "types": [len(key)]})
+        kept = n >= least
+        return pa.table({"context": context[kept], "next": symbol[kept], "n": n[kept]})
+
+    blobs = docs.select(whole(text_col).alias("text")).mapInArrow(count, "bucket int, context binary, next binary, n binary")
+    return blobs.groupBy("bucket").applyInArrow(
+        fold, "context long, next long, n long" if length else "bucket int, keys binary, counts binary, total long, types long")
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(count, "context long, next long, n long") \
-        .groupBy("context", "next").agg(F.sum("n").alias("n"))
+
+def _listed(words: DataFrame, least: float) -> DataFrame:
+    """``key, n`` of the words that occur ``least`` times."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, counts in zip(batch.column(0), batch.column(1)):
+                n = np.frombuffer(counts.as_buffer(), np.int64)
+                kept = n >= least
+                yield _batch(key=np.frombuffer(keys.as_buffer(), np.int64)[kept], n=n[kept])
+    return words.select("keys", "counts").mapInArrow(rows, "key long, n long")
 
 
 def _settled(counts: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -252,7 +362,9 @@ def _settled(counts: DataFrame, shorter: DataFrame) -> DataFrame:
 @dataclass
 class Fit:
     tree: Tree
-    weights: DataFrame  # key, logs, known, own, back of what the tree does not hold
+    words: DataFrame  # all words: ``keys, counts`` of each of ``2 ** bits`` ranges
+    weights: DataFrame  # length, key, own, back of what the tree does not hold
+    bits: int
     tokens: int
     types: int
     levels: list[DataFrame] = field(default_factory=list)
@@ -266,91 +378,194 @@ def train(docs: DataFrame, depth: int = 3, symbol_share: float = 2e-7, local_sha
     scoring, sequences and single words; they change no result.
     """
     spark = docs.sparkSession
-    words = write_through(_counted(docs, text_col, 0).select(F.col("next").alias("key"), "n"), "pst-0")
-    total, types = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    texts = words.filter(F.col("key") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    texts, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()
+    bits = _bits(size)
+    words = write_through(_counted(docs, text_col, 0, bits, 1), "pst-0")
+    total, types = words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("total", "types")]).first()
     logp = F.log((F.col("n") + 1) / F.lit(float(total + types + 1)))
-    starts = spark.range(1).select(F.lit(START).cast("long").alias("key"), F.lit(texts).cast("long").alias("n"))
+    ends = [spark.range(1).select(F.lit(s).cast("long").alias("key"), F.lit(texts).cast("long").alias("n")) for s in (START, END)]
     none = F.lit(None).cast("long").alias("short")
-    shorter = words.unionByName(starts).select("key", none, "n", logp.alias("logp"))
+    often = write_through(_listed(words, least).unionByName(ends[0]), "pst-often")
+    shorter = often.select("key", none, "n", logp.alias("logp"))
 
-    levels, shared = [], None
+    levels, shared = [], spark.sparkContext.broadcast(marked(often))
     for length in range(1, depth + 1):
-        counts = _counted(docs, text_col, length, shared).filter(F.col("n") >= least)
+        counts = write_through(_counted(docs, text_col, length, bits, least, shared), f"pst-counts-{length}")
+        shared.destroy()
         levels.append(write_through(_settled(counts, shorter), f"pst-{length}"))
         if length < depth:
             shared = spark.sparkContext.broadcast(marked(levels[-1].select("key")))
         shorter = levels[-1].select("key", "short", "n", "logp")
     nothing = F.lit(0.0)
     ten = F.lit(float(np.log(10)))
-    parts = [words.select(F.lit(0).alias("length"), "key", "n", F.log10(F.col("n") + 1.0).alias("logs"), F.lit(1).alias("known"),
-                          nothing.alias("own"), nothing.alias("back"))]
+    parts = []
     for length, level in enumerate(levels, 1):
-        parts.append(level.filter("own != 0").select(F.lit(length), "key", "n", nothing, F.lit(0), F.col("own") / ten, nothing))
+        parts.append(level.filter("own != 0").select(F.lit(length).alias("length"), "key", "n", (F.col("own") / ten).alias("own"), nothing.alias("back")))
         states = level.filter("back IS NOT NULL").groupBy("context").agg(F.first("total"), F.first("back"))
-        parts.append(states.select(F.lit(length - 1), "context", "first(total)", nothing, F.lit(0), nothing, F.col("first(back)") / ten))
+        parts.append(states.select(F.lit(length - 1), "context", "first(total)", nothing, F.col("first(back)") / ten))
     every = reduce(lambda a, b: a.union(b), parts).groupBy("length", "key").agg(
-        F.max("n").alias("n"), *[F.sum(c).alias(c) for c in ("logs", "known", "own", "back")])
+        F.max("n").alias("n"), *[F.sum(c).alias(c) for c in ("own", "back")])
     every = write_through(every, "pst-weights")
     share = F.when(F.col("length") == 0, local_share).otherwise(symbol_share)
     hot = (F.col("n") >= share * float(max(total, 1))) & (F.col("n") > 1) | (F.col("key").isin(START, END) & (F.col("length") == 0))
-    held = every.filter(hot).orderBy("length", "key").select("length", "key", "logs", "own", "back").toArrow()
+    common = _listed(words, max(2.0, local_share * float(max(total, 1)))).filter(F.col("key") != END)
+    common = common.unionByName(ends[1].filter("n > 0")).select(F.lit(0), "key", F.log10(F.col("n") + 1.0), nothing, nothing)
+    held = every.filter(hot).select("length", "key", nothing.alias("logs"), "own", "back").union(common).groupBy("length", "key") \
+        .agg(*[F.sum(c).alias(c) for c in ("logs", "own", "back")]).orderBy("length", "key").toArrow()
     length = held["length"].to_numpy()
     columns = [held[c].to_numpy() for c in ("key", "logs", "own", "back")]
     tree = Tree([Level(*[c[length == i] for c in columns]) for i in range(depth + 1)], float(np.log10(total + types + 1)),
                 marked(every.filter("length > 0").select("key")))
-    rest = every.filter(~hot).select("length", "key", "logs", "known", "own", "back")
-    return Fit(tree, rest, total, types, levels)
+    return Fit(tree, words, every.filter(~hot).select("length", "key", "own", "back"), bits, total, types, levels)
+
+
+def _salt(length: int) -> int:
+    """Tells apart keys of sequences of each length."""
+    return (length * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63)
+
 
+def _tables(fit: Fit, bits: int) -> DataFrame:
+    """Words and weights of each of ``2 ** bits`` ranges, keys in unsigned order."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, counts in zip(batch.column(0), batch.column(1)):
+                key = np.frombuffer(keys.as_buffer(), np.int64)
+                used, bounds = _dealt(key, bits)
+                yield _batch(bucket=used.astype(np.int32), keys=_blobs(key, bounds),
+                             counts=_blobs(np.frombuffer(counts.as_buffer(), np.int64), bounds))
 
-def score(docs: DataFrame, fit: Fit, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def pack(table: pa.Table) -> pa.Table:
+        key = table["key"].to_numpy()
+        order, ends = np.argsort(key.view(np.uint64)), np.array([0, len(key)])
+        return pa.table({"bucket": table["bucket"][:1], "weighed": _blobs(key[order], ends),
+                         "weights": _blobs(table["weight"].to_numpy()[order], ends)})
+
+    words = fit.words.select("bucket", "keys", "counts")
+    if bits != fit.bits:
+        words = fit.words.select("keys", "counts").mapInArrow(cut, "bucket int, keys binary, counts binary")
+    salts = F.array(*[F.lit(_salt(i)) for i in range(len(fit.tree.levels))])
+    weights = fit.weights.select(F.col("key").bitwiseXOR(F.get(salts, F.col("length"))).alias("key"), (F.col("own") + F.col("back")).alias("weight"))
+    weights = weights.select(F.expr(f"cast(shiftrightunsigned(key, {64 - bits}) as int)").alias("bucket"), "key", "weight")
+    packed = weights.groupBy("bucket").applyInArrow(pack, "bucket int, weighed binary, weights binary")
+    return words.unionByName(packed, allowMissingColumns=True)
+
+
+def score(docs: DataFrame, fit: Fit, id_col: str = "doc_id", text_col: str = "text", most: int = 1_000_000) -> DataFrame:
     """One row per row: ``doc_id, n_tokens, n_known, train_tokens, base_score, score`` (log10).
 
     ``base_score`` is the add-one model of single tokens.  Null text is empty: one end.
     Null ids and repeated rows keep their row; an empty table gives an empty result;
     only id and text are read.  Words and sequences meet their weights by 64-bit hashes.
+
+    A task's texts are cut into chunks of about ``most`` words and sequences to look up.
+    These go to the ranges of their keys and what is found returns to the chunk, so both
+    ways a row carries arrays.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), whole(text_col).alias("text"))
     rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
+    bits = max(fit.bits, _bits(docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]))
     shared = docs.sparkSession.sparkContext.broadcast(fit.tree)
     sums = ["words", "logs", "known", "weight"]
+    salts = [np.int64(_salt(i)) for i in range(len(fit.tree.levels))]
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row of sums for each text, and a row for each sequence to look up."""
-        tree = shared.value
-        for whole_batch in batches:
-            for start in range(0, whole_batch.num_rows, 128):
-                batch = whole_batch.slice(start, 128)
-                size, symbol, depth = symbols(batch.column(1).to_pylist())
-                logs, held, weight, keys, places = tree.weighed(symbol, depth)
-                text_of = np.repeat(np.arange(len(size)), size + 2)
-                held &= depth > 0
-                own = np.stack([size + 1.0, *(np.bincount(text_of, x, len(size)) for x in (logs, held, weight))], 1)
-                row = batch.column(2).to_numpy()
-                at, key = text_of[np.concatenate(places)], np.concatenate(keys)
-                length = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-                ids = pa.concat_arrays([batch.column(0), pa.nulls(len(at), batch.column(0).type)])
-                flat = pa.array(own.ravel())
-                ends = np.concatenate([np.arange(len(size) + 1) * own.shape[1], np.full(len(at), own.size)])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+        """A row of sums for each text, and a row of words and sequences to look up for each range."""
+        tree, number = shared.value, 0
+        texts, word_keys, word_places, keys, places, size = [], [], [], [], [], 0
+
+        def spread(key: list[np.ndarray], place: list[np.ndarray]):
+            key, place = np.concatenate(key), np.concatenate(place)
+            order = np.argsort(key.view(np.uint64))
+            return key[order], place[order]
+
+        def out():
+            ids, row, own = (pa.concat_arrays([t[0] for t in texts]), *(np.concatenate([t[i] for t in texts]) for i in (1, 2)))
+            # The name of a chunk holds its rows in their order, so that what another order found never meets it.
+            name = blake2b(row.tobytes() + f"{TaskContext.get().partitionId()} {number}".encode(), digest_size=8).digest()
+            chunk, n = np.frombuffer(name, np.int64), len(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((row.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int32)), pa.array(np.repeat(chunk, n)),
+                 pa.array(np.arange(n, dtype=np.int32)), ids, *map(pa.array, own.T), *[pa.nulls(n, pa.binary())] * 4], names=names)
+            for at, (key, place) in enumerate((spread(word_keys, word_places), spread(keys, places))):
+                used, bounds = _dealt(key, bits)
+                n = len(used)
+                found = [_blobs(key, bounds), _blobs(place, bounds)]
+                none = [pa.nulls(n, pa.binary())] * 2
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(np.concatenate([row, row[at]])), pa.array(np.concatenate([row, key])),
-                     pa.array(np.concatenate([np.full(len(size), -1), length]), pa.int32()), lists],
-                    names=["doc_id", "row", "key", "length", "sums"])
+                    [pa.array(used.astype(np.int32)), pa.array(np.repeat(chunk, n)), pa.nulls(n, pa.int32()), pa.nulls(n, ids.type),
+                     *[pa.nulls(n, pa.float64())] * 4, *(none + found if at else found + none)], names=names)
+
+        count = 0
+        for batch in pieces(batches, 1):
+            for start in range(0, batch.num_rows, 1 << 15):
+                piece = batch.slice(start, 1 << 15)
+                length, symbol, depth = symbols(piece.column(1))
+                logs, held, weight, wanted, at = tree.weighed(symbol, depth)
+                text_of = np.repeat(np.arange(len(length)), length + 2)
+                held &= depth > 0
+                own = np.stack([length + 1.0, *(np.bincount(text_of, x, len(length)) for x in (logs, held, weight))], 1)
+                texts.append((piece.column(0), piece.column(2).to_numpy(), own))
+                word_keys.append(wanted[0])
+                word_places.append((text_of[at[0]] + count).astype(np.uint16))
+                keys.extend(key ^ salt for key, salt in zip(wanted[1:], salts[1:]))
+                places.extend((text_of[x] + count).astype(np.uint16) for x in at[1:])
+                count += len(length)
+                size += sum(map(len, wanted))
+                if size > most or count > 1 << 15:
+                    yield from out()
+                    texts, word_keys, word_places, keys, places, size, count, number = [], [], [], [], [], 0, 0, number + 1
+        if count:
+            yield from out()
+
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The rows of sums as they are; for what is looked up the text and what it adds."""
+        asked = left.filter(pc.is_null(left["place"]))
+        known, counts = _flat(right["keys"], np.int64).view(np.uint64), _flat(right["counts"], np.int64)
+        weighed, weights = _flat(right["weighed"], np.int64).view(np.uint64), _flat(right["weights"], np.float64)
+
+        def of(key: str, place: str):
+            keys, at = _flat(asked[key], np.int64).view(np.uint64), _flat(asked[place], np.uint16)
+            size = pc.fill_null(pc.binary_length(asked[key]), 0).to_numpy() // 8
+            found = _find(weighed, keys)
+            return keys, at, np.append(0, np.cumsum(size)), np.where(found >= 0, weights[found] if len(weights) else 0.0, 0.0)
+
+        keys, at, ends, back = of("word_keys", "word_places")
+        found = _find(known, keys)
+        hit = found >= 0
+        ends = np.append(0, np.cumsum(hit))[ends]
+        more = [_blobs(at[hit], ends), _blobs(np.log10(counts[found[hit]] + 1.0), ends), _blobs(back[hit], ends)]
+        keys, at, ends, own = of("keys", "places")
+        hit = own != 0
+        ends = np.append(0, np.cumsum(hit))[ends]
+        more += [_blobs(at[hit], ends), _blobs(own[hit], ends)]
+        answers = pa.table({**{c: asked[c] for c in plain}, **dict(zip(blobs, more))})
+        base = left.filter(pc.is_valid(left["place"])).select(plain)
+        for c in blobs:
+            base = base.append_column(c, pa.nulls(len(base), pa.binary()))
+        return pa.concat_tables([base, answers])
+
+    def add(table: pa.Table) -> pa.Table:
+        """The sums of a chunk's texts with all that was found."""
+        base = table.filter(pc.is_valid(table["place"])).sort_by("place")
+        n = len(base)
+        at, logs, back = (_flat(table[c], kind) for c, kind in zip(blobs[:3], (np.uint16, np.float64, np.float64)))
+        place, own = _flat(table[blobs[3]], np.uint16), _flat(table[blobs[4]], np.float64)
+        if n == 0 or max(at.max(initial=0), place.max(initial=0)) >= n:
+            raise ValueError("the texts changed their order between two attempts of a task")
+        more = {"words": 0.0, "logs": np.bincount(at, logs, n), "known": np.bincount(at, minlength=n),
+                "weight": np.bincount(at, back, n) + np.bincount(place, own, n)}
+        return pa.table({"doc_id": base["doc_id"], **{c: base[c].to_numpy() + more[c] for c in sums}})
 
     kind = dict(rows.dtypes)["doc_id"]
-    parts = rows.mapInArrow(local, f"doc_id {kind}, row long, key long, length int, sums array<double>")
-    parts = parts.join(fit.weights, ["length", "key"], "left")
-    zero = F.lit(0.0)
-    values = {c: F.coalesce(F.get("sums", F.lit(i)), zero) for i, c in enumerate(sums)}
-    values["logs"] += F.coalesce("logs", zero)
-    values["known"] += F.coalesce("known", F.lit(0))
-    values["weight"] += F.coalesce("own", zero) + F.coalesce("back", zero)
-    # Rows that repeat id and text share a key, so each takes its share of the sums.
-    found = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.count_if(F.col("length") == -1).alias("copies"),
-                                     *[F.sum(v).alias(c) for c, v in values.items()])
-    found = found.select("doc_id", *[(F.col(c) / F.col("copies")).alias(c) for c in sums],
-                         F.explode(F.expr("sequence(1L, copies)")).alias("copy"))
+    plain = ["chunk", "place", "doc_id", *sums]
+    blobs = ["known_at", "known_logs", "known_back", "found_at", "found_own"]
+    own = f"chunk long, place int, doc_id {kind}, words double, logs double, known double, weight double"
+    asked = ["word_keys", "word_places", "keys", "places"]
+    names = ["bucket", *plain, *asked]
+    found = rows.mapInArrow(local, f"bucket int, {own}, " + ", ".join(f"{c} binary" for c in asked))
+    found = found.groupBy("bucket").cogroup(_tables(fit, bits).groupBy("bucket")) \
+        .applyInArrow(look, f"{own}, " + ", ".join(f"{c} binary" for c in blobs))
+    found = found.groupBy("chunk").applyInArrow(add, f"doc_id {kind}, " + ", ".join(f"{c} double" for c in sums))
     base = F.col("logs") - F.col("words") * F.lit(fit.tree.floor)
     return found.select(
         "doc_id", F.col("words").cast("long").alias("n_tokens"), F.round("known").cast("long").alias("n_known"),
