@@ -208,15 +208,19 @@ class Tree:
 
 
 def has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """False where a key is surely missing."""
-    at = keys & ((1 << BITS) - 1)
-    return (bits[at >> 6] >> (at & 63)) & 1 == 1
+    """False where a key is surely missing: one of its two bits is not set."""
+    found = np.ones(len(keys), bool)
+    for shift in (0, 32):
+        left = np.flatnonzero(found)
+        at = (keys[left] >> shift) & ((1 << BITS) - 1)
+        found[left] = (bits[at >> 6] >> (at & 63)) & 1 == 1
+    return found
 
 
 def marked(table: DataFrame) -> np.ndarray:
-    """A bit for each ``key``; keys may share one.  At most ``2 ** (BITS - 6)`` rows come to the driver."""
+    """Two bits for each ``key``; keys may share them.  At most ``2 ** (BITS - 6)`` rows come to the driver."""
     at = f"(key & {(1 << BITS) - 1}L)"
-    rows = table.groupBy(F.expr(f"cast(shiftright({at}, 6) as int)").alias("at")) \
+    rows = table.select("key").union(table.select(F.shiftright("key", 32))).groupBy(F.expr(f"cast(shiftright({at}, 6) as int)").alias("at")) \
         .agg(F.expr(f"bit_or(shiftleft(1L, cast({at} & 63 as int)))").alias("bits")).toArrow()
     bits = np.zeros(1 << (BITS - 6), np.int64)
     bits[rows["at"].to_numpy()] = rows["bits"].to_numpy()
@@ -243,6 +247,26 @@ def _dealt(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return used, np.append(bounds[used], len(keys))
 
 
+def _steps(places: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Ascending places between each two bounds as steps from the one before, which compress well."""
+    steps = np.diff(places, prepend=places[:1] * 0)
+    first = bounds[:-1][bounds[:-1] < bounds[1:]]
+    steps[first] = places[first]
+    return steps
+
+
+def _places(steps: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The places from their steps."""
+    ends = np.cumsum(steps, dtype=np.int64)
+    before = np.append(0, ends)[bounds[:-1]]
+    return (ends - np.repeat(before, np.diff(bounds))).astype(np.uint16)
+
+
+def _ends(blobs: pa.ChunkedArray, size: int) -> np.ndarray:
+    """Where each blob's values of ``size`` bytes begin when they are joined, and the end."""
+    return np.append(0, np.cumsum(pc.fill_null(pc.binary_length(blobs), 0).to_numpy() // size, dtype=np.int64))
+
+
 def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
 
@@ -474,9 +498,14 @@ def score(docs: DataFrame, fit: Fit, id_col: str = "doc_id", text_col: str = "te
         texts, word_keys, word_places, keys, places, size = [], [], [], [], [], 0
 
         def spread(key: list[np.ndarray], place: list[np.ndarray]):
+            """The keys by range, in each by place; the ranges and their bounds."""
             key, place = np.concatenate(key), np.concatenate(place)
-            order = np.argsort(key.view(np.uint64))
-            return key[order], place[order]
+            range_of = key.view(np.uint64) >> np.uint64(64 - bits)
+            order = np.argsort((range_of << np.uint64(16)) | place)
+            n = np.bincount(range_of.view(np.int64), minlength=1 << bits)
+            used = np.flatnonzero(n)
+            bounds = np.append(0, np.cumsum(n[used]))
+            return key[order], _steps(place[order], bounds), used, bounds
 
         def out():
             ids, row, own = (pa.concat_arrays([t[0] for t in texts]), *(np.concatenate([t[i] for t in texts]) for i in (1, 2)))
@@ -486,8 +515,7 @@ def score(docs: DataFrame, fit: Fit, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays(
                 [pa.array((row.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int32)), pa.array(np.repeat(chunk, n)),
                  pa.array(np.arange(n, dtype=np.int32)), ids, *map(pa.array, own.T), *[pa.nulls(n, pa.binary())] * 4], names=names)
-            for at, (key, place) in enumerate((spread(word_keys, word_places), spread(keys, places))):
-                used, bounds = _dealt(key, bits)
+            for at, (key, place, used, bounds) in enumerate((spread(word_keys, word_places), spread(keys, places))):
                 n = len(used)
                 found = [_blobs(key, bounds), _blobs(place, bounds)]
                 none = [pa.nulls(n, pa.binary())] * 2
@@ -524,20 +552,24 @@ def score(docs: DataFrame, fit: Fit, id_col: str = "doc_id", text_col: str = "te
         weighed, weights = _flat(right["weighed"], np.int64).view(np.uint64), _flat(right["weights"], np.float64)
 
         def of(key: str, place: str):
-            keys, at = _flat(asked[key], np.int64).view(np.uint64), _flat(asked[place], np.uint16)
-            size = pc.fill_null(pc.binary_length(asked[key]), 0).to_numpy() // 8
+            keys, ends = _flat(asked[key], np.int64).view(np.uint64), _ends(asked[key], 8)
             found = _find(weighed, keys)
-            return keys, at, np.append(0, np.cumsum(size)), np.where(found >= 0, weights[found] if len(weights) else 0.0, 0.0)
+            return keys, _places(_flat(asked[place], np.uint16), ends), ends, np.where(found >= 0, weights[found] if len(weights) else 0.0, 0.0)
 
         keys, at, ends, back = of("word_keys", "word_places")
         found = _find(known, keys)
         hit = found >= 0
         ends = np.append(0, np.cumsum(hit))[ends]
-        more = [_blobs(at[hit], ends), _blobs(np.log10(counts[found[hit]] + 1.0), ends), _blobs(back[hit], ends)]
+        more = [_blobs(_steps(at[hit], ends), ends), _blobs(counts[found[hit]], ends), _blobs(back[hit], ends)]
         keys, at, ends, own = of("keys", "places")
         hit = own != 0
         ends = np.append(0, np.cumsum(hit))[ends]
-        more += [_blobs(at[hit], ends), _blobs(own[hit], ends)]
+        at, own = at[hit], own[hit]
+        new = np.append(np.ones(len(at[:1]), bool), at[1:] != at[:-1])  # what a text finds in a range is added up
+        new[ends[:-1][ends[:-1] < ends[1:]]] = True
+        first, ends = np.flatnonzero(new), np.append(0, np.cumsum(new))[ends]
+        own = np.add.reduceat(own, first) if len(first) else own
+        more += [_blobs(_steps(at[first], ends), ends), _blobs(own, ends)]
         answers = pa.table({**{c: asked[c] for c in plain}, **dict(zip(blobs, more))})
         base = left.filter(pc.is_valid(left["place"])).select(plain)
         for c in blobs:
@@ -548,17 +580,17 @@ def score(docs: DataFrame, fit: Fit, id_col: str = "doc_id", text_col: str = "te
         """The sums of a chunk's texts with all that was found."""
         base = table.filter(pc.is_valid(table["place"])).sort_by("place")
         n = len(base)
-        at, logs, back = (_flat(table[c], kind) for c, kind in zip(blobs[:3], (np.uint16, np.float64, np.float64)))
-        place, own = _flat(table[blobs[3]], np.uint16), _flat(table[blobs[4]], np.float64)
+        at, place = (_places(_flat(table[c], np.uint16), _ends(table[c], 2)) for c in (blobs[0], blobs[3]))
+        counts, back, own = (_flat(table[c], kind) for c, kind in ((blobs[1], np.int64), (blobs[2], np.float64), (blobs[4], np.float64)))
         if n == 0 or max(at.max(initial=0), place.max(initial=0)) >= n:
             raise ValueError("the texts changed their order between two attempts of a task")
-        more = {"words": 0.0, "logs": np.bincount(at, logs, n), "known": np.bincount(at, minlength=n),
+        more = {"words": 0.0, "logs": np.bincount(at, np.log10(counts + 1.0), n), "known": np.bincount(at, minlength=n),
                 "weight": np.bincount(at, back, n) + np.bincount(place, own, n)}
         return pa.table({"doc_id": base["doc_id"], **{c: base[c].to_numpy() + more[c] for c in sums}})
 
     kind = dict(rows.dtypes)["doc_id"]
     plain = ["chunk", "place", "doc_id", *sums]
-    blobs = ["known_at", "known_logs", "known_back", "found_at", "found_own"]
+    blobs = ["known_at", "known_counts", "known_back", "found_at", "found_own"]
     own = f"chunk long, place int, doc_id {kind}, words double, logs double, known double, weight double"
     asked = ["word_keys", "word_places", "keys", "places"]
     names = ["bucket", *plain, *asked]
