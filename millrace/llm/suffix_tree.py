@@ -97,6 +97,12 @@ def joined(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return ((x << np.uint64(21)) | (x >> np.uint64(43))).view(np.int64) ^ symbol
 
 
+def parted(key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """The context's key from that of the sequence and its last symbol."""
+    x = (key ^ symbol).view(np.uint64)
+    return ((x >> np.uint64(21)) | (x << np.uint64(43))).view(np.int64)
+
+
 def _joined(context: str, symbol: str) -> Column:
     return F.expr(f"(shiftleft({context}, 21) | shiftrightunsigned({context}, 43)) ^ {symbol}")
 
@@ -230,7 +236,7 @@ def marked(table: DataFrame) -> np.ndarray:
 def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """The bytes of the values between each two bounds."""
     values = np.ascontiguousarray(values)
-    ends = (bounds * values.itemsize).astype(np.int32)
+    ends = (bounds * (values.itemsize * (values.shape[1] if values.ndim > 1 else 1))).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(ends), pa.py_buffer(values)])
 
 
@@ -239,6 +245,19 @@ def _flat(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *(np.frombuffer(b.as_buffer(), kind) for b in column.drop_null())])
 
 
+def _short(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The bytes of each key that its range does not tell."""
+    return np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :8 - bits // 8]
+
+
+def _long(column: pa.ChunkedArray, bits: int, bucket: int) -> np.ndarray:
+    """The keys of all blobs of a range."""
+    kept = 8 - bits // 8
+    short = _flat(column, np.uint8).reshape(-1, kept)
+    told = np.frombuffer((bucket >> bits % 8).to_bytes(8, "little"), np.uint8)[:8 - kept]
+    return np.concatenate([short, np.broadcast_to(told, (len(short), 8 - kept))], 1).view(np.int64)[:, 0]
+
+
 def _dealt(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Ranges with any of the keys, which are in unsigned order, and the place where each begins, and the end."""
     edges = np.searchsorted(keys.view(np.uint64), np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
@@ -305,10 +324,10 @@ def _counted(docs: DataFrame, text_col: str, length: int, bits: int, least: int,
             context, symbol = np.concatenate(contexts), np.concatenate(nexts)
             contexts.clear()
             nexts.clear()
-            key, context, symbol, n = _summed(context, symbol)
+            key, _, symbol, n = _summed(context, symbol)
             used, bounds = _dealt(key, bits)
-            batch = _batch(bucket=used.astype(np.int32), context=_blobs(context, bounds), next=_blobs(symbol, bounds),
-                           n=_blobs(n.astype(np.int32), bounds))
+            last = _blobs(symbol, bounds) if length else pa.nulls(len(used), pa.binary())
+            batch = _batch(bucket=used.astype(np.int32), key=_blobs(_short(key, bits), bounds), next=last, n=_blobs(n.astype(np.int32), bounds))
             for start in range(0, len(used), 32):
                 yield batch.slice(start, 32)
         for batch in pieces(batches, 0):
@@ -330,7 +349,9 @@ def _counted(docs: DataFrame, text_col: str, length: int, bits: int, least: int,
             yield from out()
 
     def fold(table: pa.Table) -> pa.Table:
-        key, context, symbol, n = _summed(_flat(table["context"], np.int64), _flat(table["next"], np.int64), _flat(table["n"], np.int32))
+        key = _long(table["key"], bits, table["bucket"][0].as_py())
+        symbol = _flat(table["next"], np.int64) if length else key
+        key, context, symbol, n = _summed(parted(key, symbol), symbol, _flat(table["n"], np.int32))
         if length == 0:
             ends = np.array([0, len(key)])
             return pa.table({"bucket": table["bucket"][:1], "keys": _blobs(key, ends), "counts": _blobs(n, ends),
@@ -338,7 +359,7 @@ def _counted(docs: DataFrame, text_col: str, length: int, bits: int, least: int,
         kept = n >= least
         return pa.table({"context": context[kept], "next": symbol[kept], "n": n[kept]})
 
-    blobs = docs.select(whole(text_col).alias("text")).mapInArrow(count, "bucket int, context binary, next binary, n binary")
+    blobs = docs.select(whole(text_col).alias("text")).mapInArrow(count, "bucket int, key binary, next binary, n binary")
     return blobs.groupBy("bucket").applyInArrow(
         fold, "context long, next long, n long" if length else "bucket int, keys binary, counts binary, total long, types long")
 
@@ -517,7 +538,7 @@ def score(docs: DataFrame, fit: Fit, id_col: str = "doc_id", text_col: str = "te
                  pa.array(np.arange(n, dtype=np.int32)), ids, *map(pa.array, own.T), *[pa.nulls(n, pa.binary())] * 4], names=names)
             for at, (key, place, used, bounds) in enumerate((spread(word_keys, word_places), spread(keys, places))):
                 n = len(used)
-                found = [_blobs(key, bounds), _blobs(place, bounds)]
+                found = [_blobs(_short(key, bits), bounds), _blobs(place, bounds)]
                 none = [pa.nulls(n, pa.binary())] * 2
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used.astype(np.int32)), pa.array(np.repeat(chunk, n)), pa.nulls(n, pa.int32()), pa.nulls(n, ids.type),
@@ -547,12 +568,12 @@ def score(docs: DataFrame, fit: Fit, id_col: str = "doc_id", text_col: str = "te
 
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
         """The rows of sums as they are; for what is looked up the text and what it adds."""
-        asked = left.filter(pc.is_null(left["place"]))
+        asked, bucket = left.filter(pc.is_null(left["place"])), left["bucket"][0].as_py() if len(left) else 0
         known, counts = _flat(right["keys"], np.int64).view(np.uint64), _flat(right["counts"], np.int64)
         weighed, weights = _flat(right["weighed"], np.int64).view(np.uint64), _flat(right["weights"], np.float64)
 
         def of(key: str, place: str):
-            keys, ends = _flat(asked[key], np.int64).view(np.uint64), _ends(asked[key], 8)
+            keys, ends = _long(asked[key], bits, bucket).view(np.uint64), _ends(asked[key], 8 - bits // 8)
             found = _find(weighed, keys)
             return keys, _places(_flat(asked[place], np.uint16), ends), ends, np.where(found >= 0, weights[found] if len(weights) else 0.0, 0.0)
 

@@ -90,6 +90,9 @@ def test_what_is_looked_up_travels_as_arrays(spark, monkeypatch):
     monkeypatch.setattr(suffix_tree, "BUCKET", 100)
     found = suffix_tree.score(rows.repartition(2), fit, most=300)
     assert {r["doc_id"]: r["score"] for r in found.collect()} == want
+    fine = suffix_tree.train(spark.createDataFrame([(t,) for t in learn], "text string"), symbol_share=1.0, local_share=1.0, least=2)
+    assert fine.bits >= 8
+    assert {r["doc_id"]: r["score"] for r in suffix_tree.score(rows, fine).collect()} == want
 
 
 def test_words_are_those_between_the_six_gaps():
