@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from millrace.session import shuffle_width
 
 # Text formats keep the microseconds of a timestamp only when told to.
 MICROS = {
@@ -42,11 +46,82 @@ def orc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def multi_file(spark: SparkSession, path: str) -> DataFrame:
-    """All Parquet files below ``path`` as one table, with the file each row is from."""
-    return (
-        spark.read.option("mergeSchema", True).option("recursiveFileLookup", True)
-        .parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    """All Parquet files below ``path`` as one table, with the file each row is from.
+
+    For every file it opens, Spark copies its settings under a lock that all tasks of a
+    machine share.  So when there are many files, small ones of plain columns come as
+    bytes, which Arrow reads.  Columns are Spark's in any case: it merges all schemas.
+    """
+    rows = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
+    schema, by_spark = rows.schema, rows.withColumn("file", F.col("_metadata.file_path"))
+    if (
+        not schema or any(type(f.dataType) not in PLAIN for f in schema)
+        or spark.conf.get("spark.sql.files.ignoreCorruptFiles") == "true"
+        or len(rows._jdf.inputFiles()) < MANY
+    ):
+        return by_spark
+    large = by_spark.filter(F.col("_metadata.file_size") >= SMALL)
+    # Files are chosen when the scan is planned, so without large ones it has no partition.
+    any_large = large._jdf.queryExecution().toRdd().getNumPartitions() > 0
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if not any_large:
+        del rows, by_spark, large  # and with them the driver's list of the files
+    small = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        .filter(F.col("_metadata.file_size") < SMALL).select("content", F.col("_metadata.file_path").alias("file"))
     )
+    # Spark counts 4 MB for opening a file, which makes a task of 32 of them.
+    width = max(4 * spark.sparkContext.defaultParallelism, shuffle_width(spark), size // TASK)
+    small = _read_arrow(small.coalesce(width), schema, spark.conf.get("spark.sql.caseSensitive") == "true")
+    return large.unionByName(small) if any_large else small
+
+
+MANY = 1000
+SMALL = 16 * 1024
+TASK = 128 * 1024 * 1024
+# Dates and instants are left to Spark, which knows the calendar of the file's writer.
+PLAIN = {
+    T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+    T.DecimalType, T.StringType, T.BinaryType, T.TimestampNTZType,
+}
+
+
+def _read_arrow(files: DataFrame, schema: T.StructType, case_sensitive: bool) -> DataFrame:
+    """The rows of Parquet files given as ``content, file``, with the columns of ``schema`` and ``file``."""
+    def key(name):
+        return name if case_sensitive else name.lower()
+
+    target = to_arrow_schema(schema)
+    names = [key(f.name) for f in schema]
+
+    def read(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        def table(content):
+            source = pa.BufferReader(content.as_buffer())
+            got = pq.ParquetFile(source, pre_buffer=False, coerce_int96_timestamp_unit="us").read(use_threads=False)
+            if got.schema.equals(target):
+                return got.replace_schema_metadata()
+            at = {key(n): i for i, n in enumerate(got.column_names)}
+            if len(at) < got.num_columns:
+                raise ValueError(f"two columns of one name: {got.column_names}")
+            columns = [
+                got.column(at[n]).cast(f.type) if n in at else pa.nulls(got.num_rows, f.type)
+                for n, f in zip(names, target)
+            ]
+            return pa.table(columns, schema=target)
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                tables = [table(content) for content in part.column("content")]
+                of = np.repeat(np.arange(len(tables)), [t.num_rows for t in tables])
+                whole = pa.concat_tables(tables).append_column("file", part.column("file").take(pa.array(of)))
+                yield from whole.combine_chunks().to_batches()
+
+    return files.mapInArrow(read, T.StructType([*schema.fields, T.StructField("file", T.StringType(), False)]))
 
 
 def partitioned(spark: SparkSession, root: str, *parts: str) -> DataFrame:

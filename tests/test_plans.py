@@ -278,3 +278,76 @@ def test_small_files_are_written_by_all_tasks(spark):
     assert len({f.split("-")[1] for f in per_file}) > 1
     # A table that fits one file stays one file, an empty one stays empty.
     assert [len(written(spark.range(n).coalesce(1))[1]) for n in (5, 0)] == [1, 0]
+
+
+def test_small_files_start_no_process_a_file(spark):
+    import datetime as dt
+    import os
+
+    from pyspark.sql import functions as F
+
+    from millrace.sources import sinks
+
+    rows = spark.createDataFrame(
+        [(i, None if i % 3 else f"é{i}", i / 4, i % 2 == 0, dt.datetime(2026, 1, 1, 5, 6, 7, i), dt.date(1500, 3, 1),
+          bytes([i % 256])) for i in range(100)] + [(None,) * 7] * 2,
+        "id bigint, s string, d double, b boolean, t timestamp_ntz, day date, x binary",
+    ).withColumns({"n": F.col("id").cast("decimal(20,3)"), "at": F.col("t").cast("timestamp"), "k": F.col("id").cast("tinyint")})
+    path = sinks.many_small_files(rows, 12, "small")
+    folder = path.removeprefix("file:")
+    names = sorted(n for n in os.listdir(folder) if n.endswith(".parquet"))
+    # Spark's own writer leaves a checksum file beside each, and has changed the mode of both.
+    assert len(names) >= 9 and not [n for n in os.listdir(folder) if n.endswith(".crc") or n == "_attempts"]
+    back = spark.read.parquet(path)
+    assert back.schema == rows.schema
+    key = lambda r: (r["id"] is None, r["id"])
+    assert sorted(back.collect(), key=key) == sorted(rows.collect(), key=key)
+    per_file = back.groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) == len(names) and max(r["count"] for r in per_file) <= 12
+    # Nested columns take Spark's writer.
+    nested = spark.range(30).select(F.array("id").alias("a"))
+    assert sorted(r["a"][0] for r in spark.read.parquet(sinks.many_small_files(nested, 7, "nested")).collect()) == [*range(30)]
+
+
+def test_many_small_files_are_read_as_by_spark(spark, tmp_path, monkeypatch):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from millrace.sources import files
+
+    path = str(tmp_path / "with space")
+
+    def both():
+        taken = []
+        read = files._read_arrow
+        with monkeypatch.context() as m:
+            m.setattr(files, "_read_arrow", lambda *a: taken.append(1) or read(*a))
+            plain = files.multi_file(spark, path)
+            m.setattr(files, "MANY", 2)
+            arrow = files.multi_file(spark, path)
+        assert arrow.schema == plain.schema
+        assert sorted(map(repr, arrow.collect())) == sorted(map(repr, plain.collect()))
+        assert plain.count() and arrow.select("file").distinct().count() == len({r["file"] for r in plain.collect()})
+        return len(taken)
+
+    first = spark.createDataFrame(
+        [(i, None if i % 3 else f"é{i}", i / 4, i % 2 == 0, dt.datetime(1400, 1, 1, 5, 6, 7, i), bytes([i])) for i in range(50)],
+        "Id bigint, s string, d double, b boolean, t timestamp_ntz, x binary",
+    ).withColumns({"n": F.col("Id").cast("decimal(20,3)"), "k": F.col("Id").cast("tinyint")})
+    first.repartition(5).write.parquet(f"{path}/a")
+    # Fewer columns, other order, another column, another case; one file without rows.
+    first.selectExpr("s", "Id + 100 AS id", "1.5F AS more").repartition(3).write.parquet(f"{path}/b/c")
+    first.selectExpr("s").filter("false").coalesce(1).write.parquet(f"{path}/d")
+    assert both() == 1
+    # Files above the bound come from Spark, once.
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "with space").rglob("*.parquet"))
+    assert sizes[0] < sizes[-1]
+    monkeypatch.setattr(files, "SMALL", sizes[-1])
+    assert both() == 1
+    monkeypatch.setattr(files, "SMALL", sizes[0])
+    assert both() == 1
+    monkeypatch.undo()
+    # Dates, instants and nested columns are Spark's, whole.
+    first.selectExpr("DATE'1500-01-01' AS day", "array(Id) AS a").write.parquet(f"{path}/e")
+    assert both() == 0
