@@ -86,7 +86,7 @@ def scan_orc(spark, sf):
     SELECT true AS many_files, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys FROM orders
 """)
 def scan_multifile_counts(spark, sf):
-    path = sinks.many_small_files(load(spark, sf, "orders"), 12, "orders-files")
+    path = sinks.many_small_files(load(spark, sf, "orders"), 12, "orders-files", folder_files=20_000)
     df = files.multi_file(spark, path).select("file", "o_orderkey")
     return df.agg(
         (F.min("file") < F.max("file")).alias("many_files"), F.count("*").alias("n_rows"),

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from millrace.session import shuffle_width
+from millrace.session import scratch_path, shuffle_width
 
 # Text formats keep the microseconds of a timestamp only when told to.
 MICROS = {
@@ -51,11 +52,58 @@ def multi_file(spark: SparkSession, path: str) -> DataFrame:
     For every file it opens, Spark copies its settings under a lock that all tasks of a
     machine share.  So when there are many files, small ones of plain columns come as
     bytes, which Arrow reads.  Columns are Spark's in any case: it merges all schemas.
+    The driver lists what it reads, so folders of very many files are read in rounds,
+    whose rows are kept in the shared folder.
     """
-    rows = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
+    rounds = _rounds(spark, path)
+    if len(rounds) < 2:
+        return _with_file(spark, [path])
+    staged = scratch_path(spark, "multi-file")
+    parts = []
+    for paths in rounds:
+        try:
+            rows = _with_file(spark, paths)
+        except AnalysisException as e:
+            # Folders without data files; if all are, Spark says so below.
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            continue
+        parts.append(f"{staged}/{len(parts):06d}")
+        rows.write.parquet(parts[-1])
+    if not parts:
+        return _with_file(spark, [path])
+    rows = spark.read.option("mergeSchema", True).parquet(*parts)
+    return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != "file"], "file")
+
+
+def _rounds(spark: SparkSession, path: str) -> list[list[str]]:
+    """What lies in ``path``, in path order, in lists of about ``ROUND`` files; no list if they are few."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    # A pattern is for Spark to resolve.
+    if any(c in path for c in GLOB) or not fs.exists(hadoop):
+        return []
+    inside = fs.listStatus(hadoop)
+    if len(inside) > FOLDERS:
+        return []  # one folder, which is listed at once in any case
+    seen = sorted((s.getPath().getName() + "/" * s.isDirectory(), s.getPath(), s.isDirectory()) for s in inside)
+    seen = [(p, folder) for name, p, folder in seen if not name.startswith(("_", "."))]
+    rounds, held = [], ROUND
+    for p, folder in seen:
+        n = fs.getContentSummary(p).getFileCount() if folder else 1
+        if held + n > ROUND:
+            rounds.append([])
+            held = 0
+        rounds[-1].append(p.toString())
+        held += n
+    return [] if any(c in p.getName() for p, _ in seen for c in GLOB) else rounds
+
+
+def _with_file(spark: SparkSession, paths: list[str]) -> DataFrame:
+    rows = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(*paths)
     schema, by_spark = rows.schema, rows.withColumn("file", F.col("_metadata.file_path"))
     if (
-        not schema or any(type(f.dataType) not in PLAIN for f in schema)
+        not schema or any(type(f.dataType) not in PLAIN or f.name.lower() == "file" for f in schema)
         or spark.conf.get("spark.sql.files.ignoreCorruptFiles") == "true"
         or len(rows._jdf.inputFiles()) < MANY
     ):
@@ -67,7 +115,7 @@ def multi_file(spark: SparkSession, path: str) -> DataFrame:
     if not any_large:
         del rows, by_spark, large  # and with them the driver's list of the files
     small = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
         .filter(F.col("_metadata.file_size") < SMALL).select("content", F.col("_metadata.file_path").alias("file"))
     )
     # Spark counts 4 MB for opening a file, which makes a task of 32 of them.
@@ -76,6 +124,9 @@ def multi_file(spark: SparkSession, path: str) -> DataFrame:
     return large.unionByName(small) if any_large else small
 
 
+GLOB = "*?[{\\"
+ROUND = 100_000
+FOLDERS = 10_000
 MANY = 1000
 SMALL = 16 * 1024
 TASK = 128 * 1024 * 1024

@@ -178,12 +178,13 @@ def keep_recent(df: DataFrame, ts: str, days: int) -> DataFrame:
     return df.filter(F.col(ts) >= newest - F.expr(f"INTERVAL {days} DAYS"))
 
 
-def many_small_files(df: DataFrame, rows: int, label: str) -> str:
+def many_small_files(df: DataFrame, rows: int, label: str, folder_files: int = 0) -> str:
     """Write ``df`` in files of at most ``rows`` rows, as a busy landing zone would.
 
     What a file costs is time to create it, so the rows are dealt to all cores first.
     Below a ``file:`` path Hadoop starts a process to set the mode of what it creates;
-    flat rows get there through Arrow instead.
+    flat rows get there through Arrow instead, in folders of ``folder_files`` files if
+    there are more (0: in one folder).
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
@@ -195,7 +196,7 @@ def many_small_files(df: DataFrame, rows: int, label: str) -> str:
     uri = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toUri()
     flat = len(set(df.columns)) == len(df.columns) and all(type(f.dataType) in FLAT for f in df.schema.fields)
     if total and flat and uri.getScheme() == "file":
-        _write_arrow(spread, rows, uri.getPath())
+        _write_arrow(spread, rows, uri.getPath(), folder_files)
     else:
         spread.write.option("maxRecordsPerFile", rows).parquet(path)
     return path
@@ -208,7 +209,7 @@ FLAT = {
 }
 
 
-def _write_arrow(df: DataFrame, rows: int, folder: str) -> None:
+def _write_arrow(df: DataFrame, rows: int, folder: str, folder_files: int) -> None:
     """Parquet files of at most ``rows`` rows in a folder that all machines share.
 
     Every attempt of a task has its own folder, and only those of attempts whose result
@@ -248,8 +249,12 @@ def _write_arrow(df: DataFrame, rows: int, folder: str) -> None:
             put(n, pa.Table.from_batches(rest))
         yield pa.RecordBatch.from_pydict({"own": [own]})
 
-    for r in df.mapInArrow(write, "own string").collect():
-        for file in os.scandir(f"{attempts}/{r['own']}"):
-            os.rename(file.path, f"{folder}/{file.name}")
+    done = [f"{attempts}/{r['own']}" for r in df.mapInArrow(write, "own string").collect()]
+    several = folder_files and sum(len(os.listdir(d)) for d in done) > folder_files
+    for n, file in enumerate(f for d in done for f in os.scandir(d)):
+        to = f"{folder}/{n // folder_files:06d}" if several else folder
+        if several and n % folder_files == 0:
+            os.mkdir(to)
+        os.rename(file.path, f"{to}/{file.name}")
     shutil.rmtree(attempts, ignore_errors=True)
     open(f"{folder}/_SUCCESS", "wb").close()

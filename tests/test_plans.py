@@ -351,3 +351,24 @@ def test_many_small_files_are_read_as_by_spark(spark, tmp_path, monkeypatch):
     # Dates, instants and nested columns are Spark's, whole.
     first.selectExpr("DATE'1500-01-01' AS day", "array(Id) AS a").write.parquet(f"{path}/e")
     assert both() == 0
+
+
+def test_very_many_files_are_read_in_rounds(spark, monkeypatch):
+    from millrace.sources import files, sinks
+
+    path = sinks.many_small_files(spark.range(100).selectExpr("id", "id AS Other"), 3, "small", folder_files=10)
+    spark.range(100, 107).selectExpr("id", "'x' AS later").write.parquet(f"{path}/000009")
+    spark.range(5).write.parquet(f"{path}/_hidden")
+    # Sorted first, and a round of its own: data that does not count.
+    spark.range(60).repartition(30).write.parquet(f"{path}/0/_hidden")
+    whole = files.multi_file(spark, path)
+    lists = []
+    one = files._with_file
+    monkeypatch.setattr(files, "ROUND", 25)
+    monkeypatch.setattr(files, "_with_file", lambda spark, paths: lists.append(paths) or one(spark, paths))
+    for many in (1000, 2):
+        lists.clear()
+        monkeypatch.setattr(files, "MANY", many)
+        parts = files.multi_file(spark, path)
+        assert len(lists) > 1 and parts.columns == whole.columns == ["id", "Other", "later", "file"]
+        assert sorted(map(repr, parts.collect())) == sorted(map(repr, whole.collect())) and parts.count() == 107
